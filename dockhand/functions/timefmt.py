@@ -12,7 +12,7 @@ Everything is a Column expression; nothing leaves the JVM.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Accepted ISO layouts.  Seconds are required; a fraction of
@@ -73,13 +73,22 @@ def iso_wall_clock(s: Column | str, strict: bool = False) -> Column:
     return F.when(s.isNull(), F.lit(None).cast("timestamp_ntz")).otherwise(branches.otherwise(tail))
 
 
-def wall_clock_parts(s: Column | str, strict: bool = False) -> list[Column]:
-    """year, month, day, hour of the wall clock in the text's own offset."""
-    w = iso_wall_clock(s, strict)
+def wall_clock_parts(wall: Column | str) -> list[Column]:
+    """year, month, day, hour of a wall clock (from ``iso_wall_clock``).
+
+    Takes the parsed wall clock rather than the text, so a query parses each
+    text once (in its own projection) and derives the four parts from it.
+    """
+    w = _c(wall)
     return [F.year(w).alias("year"), F.month(w).alias("month"),
             F.dayofmonth(w).alias("day"), F.hour(w).alias("hour")]
 
 
+def with_wall_clock(df: DataFrame, s: str, name: str = "wall_clock", strict: bool = False) -> DataFrame:
+    """Add the parsed wall clock of text column ``s`` as ``name`` (parsed once)."""
+    return df.withColumn(name, iso_wall_clock(s, strict))
+
+
 def iso_date(s: Column | str, strict: bool = False) -> Column:
     """``yyyy-MM-dd`` of the wall clock."""
     return F.date_format(iso_wall_clock(s, strict), DATE_TEXT)

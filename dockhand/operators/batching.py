@@ -16,7 +16,9 @@ def global_row_index(df: DataFrame, order_by: Sequence[str | Column],
 
     1. range-partition and sort within partitions (Spark samples the bounds);
     2. ``monotonically_increasing_id`` gives (partition, local position);
-    3. rows per partition: one small row per partition (a bounded broadcast);
+    3. rows per partition from ``spark_partition_id`` over the same range
+       shuffle (reused, not recomputed): one small row per partition, a
+       broadcast whose size is bounded by the partition count;
     4. prefix sums of those counts give each partition's offset.
 
     ``order_by`` must be a total order (unique), which also keeps the range
@@ -25,12 +27,13 @@ def global_row_index(df: DataFrame, order_by: Sequence[str | Column],
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     cols = [F.col(f"`{o}`") if isinstance(o, str) else o for o in order_by]
-    ranged = (df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
-              .withColumn("__mid", F.monotonically_increasing_id()))
+    ranged = df.repartitionByRange(n, *cols)
+    # counting needs no order: the count branch reads the same (reused)
+    # range shuffle without the local sort; at most n rows come out
+    counts = ranged.groupBy(F.spark_partition_id().alias("__part")).agg(F.count(F.lit(1)).alias("__cnt"))
+    ranged = ranged.sortWithinPartitions(*cols).withColumn("__mid", F.monotonically_increasing_id())
     ranged = ranged.withColumn("__part", F.shiftright(F.col("__mid"), _LOCAL_BITS)).withColumn(
         "__local", F.col("__mid").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1)))
-    # at most n rows: the partition count is the proven bound of this table
-    counts = ranged.groupBy("__part").agg(F.count(F.lit(1)).alias("__cnt"))
     offsets = counts.select(
         "__part",
         (F.sum("__cnt").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1))

@@ -234,11 +234,15 @@ def upsert_accumulate(target: DataFrame, incoming: DataFrame, keys: Sequence[str
     s_nn, s_null = _split(inc, keys)
     rest = _payload(inc, keys)
     o = F.col(_ORD) if order_by else None
-    order_free = all(policies.get(c) == "sum" for c in rest)
+    present = set(incoming.columns)
+    # columns the incoming rows lack are NULL in every row: order plays no part
+    order_free = all(policies.get(c) == "sum" for c in rest if c in present)
     specs = {}
     for c in rest:
         p = policies.get(c)
-        if p == "sum":
+        if c not in present:
+            specs[c] = F.any_value(_q(c), ignoreNulls=False)
+        elif p == "sum":
             specs[c] = F.sum(_q(c))
         elif o is None:
             specs[c] = F.any_value(_q(c), ignoreNulls=False)

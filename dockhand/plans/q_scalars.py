@@ -10,7 +10,7 @@ from dockhand.functions.maps import map_subset
 from dockhand.functions.names import snake_case
 from dockhand.functions.timefmt import (business_date, compact_ts, hour_label, hour_path, iso_date,
                                         iso_wall_clock, run_date_resolution, utc_wall_clock,
-                                        wall_clock_parts, instant_micros)
+                                        wall_clock_parts, instant_micros, with_wall_clock)
 from dockhand.plans.catalog import query, table
 
 
@@ -48,15 +48,15 @@ def q_parse_iso_ts(spark: SparkSession, sf: str) -> DataFrame:
 SELECT event_id, year(ts) AS year, month(ts) AS month, day(ts) AS day, hour(ts) AS hour FROM events
 """)
 def q_iso_ts_parts(spark: SparkSession, sf: str) -> DataFrame:
-    return _iso_events(spark, sf).select("event_id", *wall_clock_parts("s", strict=True))
+    w = with_wall_clock(_iso_events(spark, sf), "s", "w", strict=True)
+    return w.select("event_id", *wall_clock_parts("w"))
 
 
 @query("iso_date", "SELECT event_id, strftime(ts, '%Y-%m-%d') AS iso_date, "
                    f"{_WALL} AS wall_clock FROM events")
 def q_iso_date(spark: SparkSession, sf: str) -> DataFrame:
-    e = _iso_events(spark, sf)
-    return e.select("event_id", iso_date("s", strict=True).alias("iso_date"),
-                    iso_wall_clock("s", strict=True).alias("wall_clock"))
+    e = with_wall_clock(_iso_events(spark, sf), "s", "wall_clock", strict=True)
+    return e.select("event_id", F.date_format("wall_clock", "yyyy-MM-dd").alias("iso_date"), "wall_clock")
 
 
 @query("hour_label", "SELECT event_id, strftime(ts, '%Y-%m-%dT%H') || '-00-00' AS hour_label FROM events")

@@ -1,0 +1,89 @@
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import rows
+from dockhand.operators.quality import (CheckFailed, completeness, count_checks, count_check_row, is_ready,
+                                        nonempty_guard, reconcile, script_validator, table_exists)
+from dockhand.operators.retention import retention_filter, run_id_date
+
+
+def test_retention_limits(spark):
+    df = spark.createDataFrame([
+        ("user", "run_id=scheduled__2024-01-15T00:00:00+00:00"),   # exactly at the limit: kept
+        ("user", "run_id=scheduled__2024-01-14T00:00:00+00:00"),   # one day past: dropped
+        ("user", "manual__garbage"),                                # unreadable: kept
+        ("scheduler", "2024-01-27"),                                # 3 days: kept
+        ("scheduler", "2024-01-26"),                                # dropped
+        ("dag_processor_manager", "2020-01-01"),                    # never cleaned
+    ], "klass string, run_id string")
+    kept = retention_filter(df, "run_id", "klass", {"scheduler": 3, "dag_processor_manager": None},
+                            default_days=15, run_date="2024-01-30")
+    assert rows(kept, "run_id") == sorted([("run_id=scheduled__2024-01-15T00:00:00+00:00",),
+                                           ("manual__garbage",), ("2024-01-27",), ("2020-01-01",)])
+
+
+def test_unreadable_run_date_is_today(spark):
+    today = dt.date.today()
+    df = spark.createDataFrame([("c", today - dt.timedelta(days=20)), ("c", today)], "klass string, d date")
+    assert retention_filter(df, "d", "klass", {}, 15, run_date="not a date").count() == 1
+
+
+def test_run_id_date(spark):
+    df = spark.createDataFrame([("run_id=scheduled__2024-01-15T10:00:00+07:00",), ("2024-02-01",), ("x",)], "r string")
+    assert [r[0] for r in df.select(run_id_date("r")).collect()] == [dt.date(2024, 1, 15), dt.date(2024, 2, 1), None]
+
+
+@pytest.fixture
+def checks(spark):
+    spark.createDataFrame([(0,), (1,), (None,)], "v bigint").createOrReplaceTempView("dq_vals")
+    return spark
+
+
+def test_count_check_cases(checks):
+    spark = checks
+    def builder(run_date, schema, table):
+        return {"zero": "SELECT 0", "one": "SELECT 1", "null": "SELECT CAST(NULL AS BIGINT)",
+                "norow": "SELECT v FROM dq_vals WHERE v > 100", "count": "SELECT count(*) FROM dq_vals"}[table]
+    out = count_checks(spark, builder, ["zero", "one", "null", "norow", "count"], run_date="2024-01-30")
+    got = {r["check_table"]: (r["observed"], r["passed"]) for r in out.collect()}
+    assert got == {"zero": (0, False), "one": (1, True), "null": (None, False), "norow": (None, False),
+                   "count": (3, True)}
+    with pytest.raises(CheckFailed, match="zero"):
+        count_checks(spark, builder, ["one", "zero"], raise_on_failure=True)
+
+
+def test_nonempty_guard(spark, caplog):
+    empty = spark.range(0)
+    with pytest.raises(CheckFailed):
+        nonempty_guard(empty, "src")
+    assert nonempty_guard(empty, "src", on_empty="warn") is empty
+    df = spark.range(3)
+    assert nonempty_guard(df) is df
+
+
+def test_reconcile(spark):
+    df = spark.createDataFrame([(True,), (False,), (None,), (True,)], "ok boolean")
+    assert tuple(reconcile(df, "ok").first()) == (4, 2, 2)
+
+
+@pytest.mark.parametrize("present,missing", [([1, 2, 3], []), ([1, 3, 3], [2]), ([], [1, 2, 3])])
+def test_completeness(spark, present, missing):
+    exp = spark.createDataFrame([(i,) for i in (1, 2, 3)], "k int")
+    pres = spark.createDataFrame([(i,) for i in present], "k int")
+    gate = completeness(exp, pres, ["k"])
+    assert gate.count() == 3
+    assert sorted(r["k"] for r in gate.where("status = 'missing'").collect()) == missing
+    assert is_ready(gate) == (not missing)
+
+
+def test_script_validator(spark):
+    assert script_validator(spark.sql("SELECT 5"), "x").first()["passed"]
+    with pytest.raises(CheckFailed):
+        script_validator(spark.sql("SELECT 0"), "x")
+
+
+def test_table_exists(spark):
+    spark.range(1).createOrReplaceTempView("dq_exists_view")
+    assert table_exists(spark, "dq_exists_view") and not table_exists(spark, "dq_no_such_table")

@@ -1,0 +1,114 @@
+import glob
+import os
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from conftest import rows
+from dockhand.sinks.files import export_parquet, export_snapshot, fan_out_write
+from dockhand.sinks.partitions import (bulk_load_chunks, insert_dynamic, insert_static, merge_partitions,
+                                       read_partitioned, stage_and_publish)
+from dockhand.operators.merge import upsert_update
+
+SCHEMA = T.StructType([T.StructField("v", T.LongType()), T.StructField("d", T.StringType())])
+
+
+def _base(spark, path):
+    df = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b"), (4, "c")], SCHEMA)
+    insert_dynamic(df, path, ["d"], overwrite=True)
+
+
+def test_static_overwrite_replaces_one_partition(spark, tmp_dir):
+    p = os.path.join(tmp_dir, "t")
+    _base(spark, p)
+    insert_static(spark.createDataFrame([(9,)], "v bigint"), p, {"d": "a"}, overwrite=True)
+    assert rows(read_partitioned(spark, p, SCHEMA)) == [(3, "b"), (4, "c"), (9, "a")]
+
+
+def test_static_overwrite_with_no_rows_empties_it(spark, tmp_dir):
+    p = os.path.join(tmp_dir, "t")
+    _base(spark, p)
+    insert_static(spark.createDataFrame([], "v bigint"), p, {"d": "a"}, overwrite=True)
+    assert rows(read_partitioned(spark, p, SCHEMA)) == [(3, "b"), (4, "c")]
+
+
+def test_static_insert_appends(spark, tmp_dir):
+    p = os.path.join(tmp_dir, "t")
+    _base(spark, p)
+    insert_static(spark.createDataFrame([(9,)], "v bigint"), p, {"d": "b"}, overwrite=False)
+    assert read_partitioned(spark, p, SCHEMA).where("d = 'b'").count() == 2
+
+
+def test_dynamic_overwrite_keeps_absent_partitions_and_reruns_stably(spark, tmp_dir):
+    p = os.path.join(tmp_dir, "t")
+    _base(spark, p)
+    inc = spark.createDataFrame([(7, "a"), (8, "z")], SCHEMA)
+    insert_dynamic(inc, p, ["d"], overwrite=True)
+    first = rows(read_partitioned(spark, p, SCHEMA))
+    assert first == [(3, "b"), (4, "c"), (7, "a"), (8, "z")]
+    insert_dynamic(inc, p, ["d"], overwrite=True)
+    assert rows(read_partitioned(spark, p, SCHEMA)) == first
+
+
+def test_stage_and_publish_from_the_target_itself(spark, tmp_dir):
+    p = os.path.join(tmp_dir, "t")
+    _base(spark, p)
+    cur = read_partitioned(spark, p, SCHEMA)
+    stage = os.path.join(tmp_dir, "stage")
+    stage_and_publish(cur.where("d = 'a'").withColumn("v", F.col("v") * 10).drop("d"), p, {"d": "a"},
+                      overwrite=True, staging=stage)
+    assert rows(read_partitioned(spark, p, SCHEMA)) == [(3, "b"), (4, "c"), (10, "a"), (20, "a")]
+    assert not os.path.exists(stage)
+
+
+def test_stage_and_publish_partition_generator(spark, tmp_dir):
+    p = os.path.join(tmp_dir, "t")
+    df = spark.createDataFrame([(1, "x")], SCHEMA)
+    stage_and_publish(df, p, partitions_generator=lambda col: [col], col="d")
+    assert rows(read_partitioned(spark, p, SCHEMA)) == [(1, "x")]
+    with pytest.raises(TypeError):
+        stage_and_publish(df, p, partitions="d")
+
+
+def test_merge_touches_only_needed_partitions(spark, tmp_dir):
+    p = os.path.join(tmp_dir, "t")
+    df = spark.createDataFrame([(1, "a", 1), (2, "b", 2)], "k bigint, d string, v bigint")
+    insert_dynamic(df, p, ["d"], overwrite=True)
+    schema = T.StructType([T.StructField("k", T.LongType()), T.StructField("v", T.LongType()),
+                           T.StructField("d", T.StringType())])
+    b_files = sorted(glob.glob(os.path.join(p, "d=b", "*.parquet")))
+    inc = spark.createDataFrame([(1, "a", 10), (3, "a", 30)], "k bigint, d string, v bigint")
+    merge_partitions(spark, p, schema, inc, ["d"], lambda t, s: upsert_update(t, s, ["k"], ["v"]))
+    assert rows(read_partitioned(spark, p, schema), "k", "v", "d") == [(1, 10, "a"), (2, 2, "b"), (3, 30, "a")]
+    assert sorted(glob.glob(os.path.join(p, "d=b", "*.parquet"))) == b_files  # untouched
+
+
+def test_export_parquet_file_cap(spark, tmp_dir):
+    p = os.path.join(tmp_dir, "x")
+    export_parquet(spark.range(1000).coalesce(1), p, compression="gzip", max_records_per_file=300)
+    assert len(glob.glob(os.path.join(p, "*.parquet"))) == 4
+    assert spark.read.parquet(p).count() == 1000
+
+
+def test_export_snapshot_formats(spark, tmp_dir):
+    df = spark.createDataFrame([(1, "a")], "id int, s string")
+    path = export_snapshot(df, tmp_dir, "2024-01-30", "csv", name="r")
+    assert path.endswith("r/run_date=2024-01-30")
+    assert spark.read.option("header", "true").csv(path).columns == ["id", "s"]
+    with pytest.raises(ValueError):
+        export_snapshot(df, tmp_dir, "2024-01-30", "xlsx")
+
+
+def test_fan_out_write_suffixes(spark, tmp_dir):
+    df = spark.range(10)
+    paths = fan_out_write([df.where("id < 5"), df.where("id >= 5")], tmp_dir, "out")
+    assert [os.path.basename(p) for p in paths] == ["out_0", "out_1"]
+    one = fan_out_write(df, tmp_dir, "single")
+    assert os.path.basename(one[0]) == "single"
+
+
+def test_bulk_load_empty_is_noop(spark, tmp_dir):
+    empty = spark.createDataFrame([], "ts timestamp_ntz, v int")
+    assert bulk_load_chunks(empty, os.path.join(tmp_dir, "c"), "ts") is None
+    assert not os.path.exists(os.path.join(tmp_dir, "c"))
