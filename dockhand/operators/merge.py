@@ -16,8 +16,17 @@ Semantics held (row-by-row INSERT ... ON CONFLICT applied in order):
 
 Scale: incoming is reduced per key with partial aggregation (map-side
 combine, so a key holding a third of the rows is pre-reduced before the
-shuffle), then joined to the target on the key; the aggregation's hash
-partitioning on the key is reused by the join.
+shuffle).  Then a size check on the reduced side picks the join:
+
+* small (at most ``broadcast_rows`` rows and ``BROADCAST_BYTES`` estimated):
+  it is broadcast and the target streams through a broadcast hash join, so
+  the (huge) target is never shuffled; new keys are found by a second,
+  key-columns-only scan of the target;
+* otherwise: a full outer sort-merge join on the key (both sides shuffled;
+  the aggregation's hash partitioning is reused on the incoming side).
+
+For partitioned targets, ``dockhand.sinks.partitions.merge_partitions``
+also confines the read and rewrite to the partitions the incoming rows touch.
 """
 
 from __future__ import annotations
@@ -52,6 +61,41 @@ def _check_unique(df: DataFrame, what: str) -> DataFrame:
     return df.where(F.when(F.col(_N) > 1, F.raise_error(msg)).otherwise(F.lit(True))).drop(_N)
 
 
+# Default bounds for broadcasting the reduced incoming side.
+BROADCAST_ROWS = 1_000_000
+BROADCAST_BYTES = 256 * 1024 * 1024
+BROADCAST_ROWS_CONF = "dockhand.merge.broadcastRows"
+
+
+def _row_bytes(df: DataFrame) -> int:
+    """Rough width of a row, for the byte side of the broadcast bound."""
+    from pyspark.sql import types as T
+    size = 0
+    for f in df.schema.fields:
+        dtype = f.dataType
+        if isinstance(dtype, (T.StringType, T.BinaryType, T.ArrayType, T.MapType, T.StructType, T.VariantType)):
+            size += 64
+        elif isinstance(dtype, T.DecimalType):
+            size += 16
+        else:
+            size += 8
+    return max(size, 8)
+
+
+def broadcast_limit(df: DataFrame, broadcast_rows: int | None = None) -> int:
+    """Row bound for broadcasting ``df``: rows setting, capped by the byte budget."""
+    rows = broadcast_rows
+    if rows is None:
+        rows = int(df.sparkSession.conf.get(BROADCAST_ROWS_CONF, str(BROADCAST_ROWS)))
+    return max(0, min(rows, BROADCAST_BYTES // _row_bytes(df)))
+
+
+def fits_broadcast(df: DataFrame, broadcast_rows: int | None = None) -> bool:
+    """Size check before a broadcast: counts at most ``limit + 1`` rows."""
+    limit = broadcast_limit(df, broadcast_rows)
+    return limit > 0 and df.limit(limit + 1).count() <= limit
+
+
 def _split(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     nulls = _keys_null(keys)
     return df.where(~nulls), df.where(nulls)
@@ -113,14 +157,19 @@ def first_per_key(incoming: DataFrame, keys: Sequence[str], ordered: bool, what:
 
 
 def upsert_ignore(target: DataFrame, incoming: DataFrame, keys: Sequence[str],
-                  order_by: Sequence[str | Column] | None = None) -> DataFrame:
+                  order_by: Sequence[str | Column] | None = None,
+                  broadcast_rows: int | None = None) -> DataFrame:
     """ON CONFLICT (keys) DO NOTHING; unseen keys are inserted."""
     keys = list(keys)
     _check_columns(target, incoming, keys, order_by)
     inc = _as_target(incoming, target, order_by)
     s_nn, s_null = _split(inc, keys)
     first = first_per_key(s_nn, keys, bool(order_by), "upsert_ignore")
-    unseen = first.join(target.where(~_keys_null(keys)).select(*keys), on=keys, how="left_anti")
+    t_keys = target.where(~_keys_null(keys)).select(*keys)
+    if fits_broadcast(first, broadcast_rows):
+        # only the target keys that the incoming rows hit (broadcast semi join)
+        t_keys = t_keys.join(F.broadcast(first.select(*keys)), on=keys, how="left_semi")
+    unseen = first.join(t_keys, on=keys, how="left_anti")
     return target.unionByName(unseen.select(*target.columns)).unionByName(s_null.drop(_ORD))
 
 
@@ -134,18 +183,8 @@ def _reduce(incoming: DataFrame, keys: Sequence[str], specs: Mapping[str, Column
     return incoming.groupBy(*keys).agg(*aggs)
 
 
-def _merge(target: DataFrame, reduced: DataFrame, keys: Sequence[str],
-           matched: Mapping[str, Column], inserted: Mapping[str, Column]) -> DataFrame:
-    """Full outer join on keys; per-column choice for matched / new / old rows.
-
-    ``matched`` and ``inserted`` give expressions over ``t.<col>`` and
-    ``s.<col>``; columns absent from ``matched`` keep the target's value.
-    """
-    t_nn, t_null = _split(target, keys)
-    t = t_nn.withColumn(_T, F.lit(True)).alias("t")
-    s = reduced.withColumn(_S, F.lit(True)).alias("s")
-    j = t.join(s, on=list(keys), how="full_outer")
-    in_t, in_s = F.col(_T).isNotNull(), F.col(_S).isNotNull()
+def _choose(target: DataFrame, keys: Sequence[str], matched: Mapping[str, Column],
+            inserted: Mapping[str, Column], in_t: Column, in_s: Column) -> list[Column]:
     cols = []
     for f in target.schema.fields:
         n = f.name
@@ -156,7 +195,33 @@ def _merge(target: DataFrame, reduced: DataFrame, keys: Sequence[str],
         new = inserted.get(n, F.lit(None).cast(f.dataType))
         upd = matched.get(n, old)
         cols.append(F.when(in_t & in_s, upd).when(in_s, new).otherwise(old).cast(f.dataType).alias(n))
-    return j.select(*cols).unionByName(t_null)
+    return cols
+
+
+def _merge(target: DataFrame, reduced: DataFrame, keys: Sequence[str],
+           matched: Mapping[str, Column], inserted: Mapping[str, Column],
+           broadcast_rows: int | None = None) -> DataFrame:
+    """Per-column choice for matched / new / old rows, joined on the keys.
+
+    ``matched`` and ``inserted`` give expressions over ``t.<col>`` and
+    ``s.<col>``; columns absent from ``matched`` keep the target's value.
+    """
+    keys = list(keys)
+    t_nn, t_null = _split(target, keys)
+    t = t_nn.withColumn(_T, F.lit(True)).alias("t")
+    in_t, in_s = F.col(_T).isNotNull(), F.col(_S).isNotNull()
+    if fits_broadcast(reduced, broadcast_rows):
+        s = F.broadcast(reduced.withColumn(_S, F.lit(True))).alias("s")
+        body = t.join(s, on=keys, how="left").select(*_choose(target, keys, matched, inserted, in_t, in_s))
+        hit = t_nn.select(*keys).join(F.broadcast(reduced.select(*keys)), on=keys, how="left_semi")
+        fresh = reduced.join(hit, on=keys, how="left_anti").alias("s")
+        new_rows = fresh.select(*[
+            _q(f.name) if f.name in keys else
+            inserted.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in target.schema.fields])
+        return body.unionByName(new_rows).unionByName(t_null)
+    s = reduced.withColumn(_S, F.lit(True)).alias("s")
+    j = t.join(s, on=keys, how="full_outer")
+    return j.select(*_choose(target, keys, matched, inserted, in_t, in_s)).unionByName(t_null)
 
 
 def _payload(inc: DataFrame, keys: Sequence[str]) -> list[str]:
@@ -165,14 +230,15 @@ def _payload(inc: DataFrame, keys: Sequence[str]) -> list[str]:
 
 def upsert_update(target: DataFrame, incoming: DataFrame, keys: Sequence[str],
                   update_columns: Sequence[str],
-                  order_by: Sequence[str | Column] | None = None) -> DataFrame:
+                  order_by: Sequence[str | Column] | None = None,
+                  broadcast_rows: int | None = None) -> DataFrame:
     """ON CONFLICT (keys) DO UPDATE SET c = EXCLUDED.c for listed columns.
 
     Unlisted columns keep the target's value; new keys are inserted whole.
     """
     keys, listed = list(keys), list(update_columns)
     if not listed:
-        return upsert_ignore(target, incoming, keys, order_by)
+        return upsert_ignore(target, incoming, keys, order_by, broadcast_rows)
     _check_columns(target, incoming, keys, order_by)
     inc = _as_target(incoming, target, order_by)
     s_nn, s_null = _split(inc, keys)
@@ -185,11 +251,11 @@ def upsert_update(target: DataFrame, incoming: DataFrame, keys: Sequence[str],
     red = _reduce(s_nn, keys, specs, check_unique=not order_by, what="upsert_update")
     matched = {c: F.col(f"s.`{c}`") for c in listed}
     inserted = {c: F.col(f"s.`{c}`") for c in rest}
-    return _merge(target, red, keys, matched, inserted).unionByName(s_null.drop(_ORD))
+    return _merge(target, red, keys, matched, inserted, broadcast_rows).unionByName(s_null.drop(_ORD))
 
 
 def upsert_expr(target: DataFrame, incoming: DataFrame, keys: Sequence[str],
-                rules: Mapping[str, str | Column]) -> DataFrame:
+                rules: Mapping[str, str | Column], broadcast_rows: int | None = None) -> DataFrame:
     """Custom ON CONFLICT rule: ``{column: expression over t.* and s.*}``.
 
     Arbitrary rules are order-dependent under duplicates, so incoming keys
@@ -206,7 +272,7 @@ def upsert_expr(target: DataFrame, incoming: DataFrame, keys: Sequence[str],
                   check_unique=True, what="upsert_expr")
     matched = {c: (F.expr(r) if isinstance(r, str) else r) for c, r in rules.items()}
     inserted = {c: F.col(f"s.`{c}`") for c in rest}
-    return _merge(target, red, keys, matched, inserted).unionByName(s_null)
+    return _merge(target, red, keys, matched, inserted, broadcast_rows).unionByName(s_null)
 
 
 # The ready-made accumulate policies.
@@ -215,7 +281,8 @@ POLICIES = ("replace", "sum", "coalesce")
 
 def upsert_accumulate(target: DataFrame, incoming: DataFrame, keys: Sequence[str],
                       policies: Mapping[str, str],
-                      order_by: Sequence[str | Column] | None = None) -> DataFrame:
+                      order_by: Sequence[str | Column] | None = None,
+                      broadcast_rows: int | None = None) -> DataFrame:
     """Per-column replace / sum / coalesce on conflict.
 
     Incoming rows are first reduced per key: ``sum`` adds them, ``replace``
@@ -263,7 +330,7 @@ def upsert_accumulate(target: DataFrame, incoming: DataFrame, keys: Sequence[str
         else:
             matched[c] = F.coalesce(sc, tc)
     inserted = {c: F.col(f"s.`{c}`") for c in rest}
-    return _merge(target, red, keys, matched, inserted).unionByName(s_null.drop(_ORD))
+    return _merge(target, red, keys, matched, inserted, broadcast_rows).unionByName(s_null.drop(_ORD))
 
 
 def delete_then_insert(target: DataFrame, incoming: DataFrame, delete_predicate: str | Column,

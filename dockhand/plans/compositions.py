@@ -12,6 +12,8 @@ from dockhand.operators.keyed import latest_per_key
 from dockhand.operators.merge import append_load, upsert_accumulate, upsert_expr, upsert_ignore, upsert_update
 from dockhand.operators.quality import nonempty_guard
 from dockhand.plans.transforms import user_transform
+from dockhand.session import cut_lineage
+from dockhand.sinks.files import fan_out_write
 from dockhand.sinks.partitions import stage_and_publish
 from dockhand.sources.tables import dated_extract, resolve_source
 
@@ -60,6 +62,27 @@ def table_to_partitions(spark: SparkSession, path: str, target_schema: T.StructT
     return stage_and_publish(df, path, partitions, overwrite=overwrite)
 
 
+def table_to_files(spark: SparkSession, store_dir: str, name: str, *, table: str | None = None,
+                   sql: str | None = None, transform: Callable[..., DataFrame | list[DataFrame]] | None = None,
+                   transform_kwargs: Mapping[str, Any] | None = None,
+                   column_map: Mapping[str, str] | None = None, file_format: str = "parquet",
+                   run_date: str | None = None, materialize: bool = False) -> list[str]:
+    """Source -> transform (one frame or a list) -> rename each result -> files.
+
+    The rename applies to the transform's *result* (each frame of a list).
+    ``materialize`` cuts the source's lineage first (a reliable checkpoint in
+    the shared folder), so a transform fanning out into several frames reads
+    the source once and a lost executor recomputes from the checkpoint.
+    """
+    src = resolve_source(spark, table=table, sql=sql)
+    if materialize:
+        src = cut_lineage(src)
+    out = user_transform(src, transform, **(transform_kwargs or {}))
+    frames = out if isinstance(out, list) else [out]
+    frames = [rename_columns(f, column_map or {}) for f in frames]
+    return fan_out_write(frames if isinstance(out, list) else frames[0], store_dir, name, file_format, run_date)
+
+
 def table_to_kv(spark: SparkSession, keys: Sequence[str], order_by: Sequence[str | Column], *,
                 table: str | None = None, sql: str | None = None,
                 transform: Callable[..., DataFrame | list[DataFrame]] | None = None,

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from dockhand.operators.batching import ordered_layout
 from dockhand.operators.chunks import truncate
 from dockhand.session import scratch_path
-from dockhand.sinks.files import export_parquet, export_snapshot, fan_out_write
+from dockhand.sinks.files import export_parquet, export_snapshot
 from dockhand.sinks.partitions import (bulk_load_chunks, insert_dynamic, insert_static, read_partitioned,
                                        stage_and_publish)
 from dockhand.sources.documents import read_hits, scan_counts, scan_documents, write_scan
@@ -148,16 +148,19 @@ def q_export_snapshot(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("fan_out_write", """
-SELECT *, CASE o_orderstatus WHEN 'F' THEN 0 WHEN 'O' THEN 1 ELSE 2 END AS part FROM orders
+SELECT o_orderkey AS order_id, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority,
+       CASE o_orderstatus WHEN 'F' THEN 0 WHEN 'O' THEN 1 ELSE 2 END AS part
+FROM orders
 """)
 def q_fan_out_write(spark: SparkSession, sf: str) -> DataFrame:
-    o = table(spark, sf, "orders")
+    from dockhand.plans.compositions import table_to_files
+    v = view(spark, sf, "orders")
 
     def split(df: DataFrame) -> list[DataFrame]:
         return [df.where(F.col("o_orderstatus") == s) for s in ("F", "O")] + [
             df.where(~F.col("o_orderstatus").isin("F", "O"))]
-    root = scratch_path(spark, "fan_out")
-    paths = fan_out_write(split(o), root, "orders")
+    paths = table_to_files(spark, scratch_path(spark, "fan_out"), "orders", table=v, transform=split,
+                           column_map={"o_orderkey": "order_id"}, materialize=True)
     out = None
     for i, p in enumerate(paths):
         part = spark.read.parquet(p).withColumn("part", F.lit(i))

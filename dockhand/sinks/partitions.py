@@ -57,11 +57,12 @@ def insert_dynamic(df: DataFrame, path: str, partition_cols: Sequence[str], over
     """Partition values come from the data.
 
     Overwrite replaces only the partitions present in the data.  ``cluster``
-    repartitions by the partition columns first so each partition is written
-    by few tasks (few files) instead of every task writing to every one;
-    AQE splits a partition that holds a third of the rows.
+    groups rows by the partition columns first (a ``rebalance`` hint) so each
+    partition is written by few tasks (few files) instead of every task
+    writing to every one; AQE splits a partition value that holds a third of
+    the rows into several tasks instead of funnelling it through one.
     """
-    out = df.repartition(*[F.col(c) for c in partition_cols]) if cluster else df
+    out = df.hint("rebalance", *partition_cols) if cluster else df
     (out.write.mode("overwrite" if overwrite else "append")
      .option("partitionOverwriteMode", "dynamic").option("compression", compression)
      .partitionBy(*partition_cols).parquet(path))

@@ -11,6 +11,15 @@ from dockhand.operators.merge import (append_load, delete_then_insert, upsert_ac
                                       upsert_ignore, upsert_update)
 
 SCHEMA = "id bigint, name string, amount double, updated timestamp_ntz"
+
+
+@pytest.fixture(params=["broadcast", "shuffle"], autouse=True)
+def join_path(request, spark):
+    """Run every merge test on both join paths (size check passes / fails)."""
+    from dockhand.operators.merge import BROADCAST_ROWS_CONF
+    spark.conf.set(BROADCAST_ROWS_CONF, "1000000" if request.param == "broadcast" else "0")
+    yield request.param
+    spark.conf.unset(BROADCAST_ROWS_CONF)
 D = dt.datetime(2024, 1, 1)
 
 
@@ -127,3 +136,16 @@ def test_update_all_equals_ignore_swapped(spark, a, b):
     sa = spark.createDataFrame(a, "id bigint, v bigint")
     sb = spark.createDataFrame(b, "id bigint, v bigint")
     assert rows(upsert_update(sa, sb, ["id"], ["v"])) == rows(upsert_ignore(sb, sa, ["id"]))
+
+
+def test_broadcast_path_does_not_shuffle_target(spark, join_path):
+    t = spark.range(5000).select(F.col("id"), (F.col("id") * 2).alias("v"))
+    s = spark.createDataFrame([(1, 100), (9999, 5)], "id bigint, v bigint")
+    out = upsert_update(t, s, ["id"], ["v"])
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    if join_path == "broadcast":
+        assert "BroadcastHashJoin" in plan and "FullOuter" not in plan
+    else:
+        assert "FullOuter" in plan
+    assert out.count() == 5001 and out.where("id = 1").first()["v"] == 100
