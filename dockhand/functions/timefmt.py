@@ -128,3 +128,19 @@ def run_date_resolution(conf_run_date: Column | str, own_run_date: Column | str,
     conf_v = F.nullif(_c(conf_run_date), F.lit("None"))
     own_v = F.nullif(_c(own_run_date), F.lit("None"))
     return F.coalesce(conf_v, own_v, F.date_format(business_date(schedule_ts_utc, zone), DATE_TEXT))
+
+
+def resolve_run_date(conf_run_date: str | None, own_run_date: str | None, execution_ts_utc,
+                     zone: str = BUSINESS_ZONE) -> str:
+    """F8 for one run on the driver: run config, else own value, else the
+    business date of the scheduled time (``'None'`` counts as missing)."""
+    import datetime as dt
+    from zoneinfo import ZoneInfo
+
+    for v in (conf_run_date, own_run_date):
+        if v is not None and v != "None":
+            return v
+    ts = execution_ts_utc
+    if ts.tzinfo is None:
+        ts = ts.replace(tzinfo=dt.timezone.utc)
+    return ts.astimezone(ZoneInfo(zone)).strftime("%Y-%m-%d")

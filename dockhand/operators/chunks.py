@@ -10,7 +10,7 @@ are still handled as a DataFrame.
 from __future__ import annotations
 
 import datetime as dt
-from typing import Iterable, Sequence
+from typing import Any, Callable, Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -132,6 +132,28 @@ def retire_by_ids(segments: DataFrame, ids: Iterable[str]) -> DataFrame:
             .withColumn("used", F.col("used") & F.col("__hit").isNull()).drop("__hit").select(*segments.columns))
 
 
+def retire(segments: DataFrame, *, since=None, until=None,
+           interval_generator: Callable[..., Any] | None = None,
+           interval_generator_kwargs: Mapping[str, Any] | None = None,
+           segment_ids: Iterable[str] | None = None,
+           segment_ids_generator: Callable[..., Iterable[str]] | None = None,
+           segment_ids_generator_kwargs: Mapping[str, Any] | None = None,
+           granularity: str = "day") -> DataFrame:
+    """W15/W16 entry point: an interval generator beats explicit ``since``/
+    ``until``; either beats segment ids (or their generator); none is an error.
+    """
+    if interval_generator is not None or (since is not None and until is not None):
+        intervals = (interval_generator(**(interval_generator_kwargs or {}))
+                     if interval_generator is not None else (since, until))
+        if not isinstance(intervals, (list, tuple)):
+            raise TypeError("intervals must be (since, until) or a list of such pairs")
+        return retire_by_interval(segments, intervals, granularity)
+    if segment_ids is None and segment_ids_generator is None:
+        raise ValueError("give since and until, an interval generator, segment ids or an id generator")
+    ids = segment_ids if segment_ids is not None else segment_ids_generator(**(segment_ids_generator_kwargs or {}))
+    return retire_by_ids(segments, ids)
+
+
 def read_used(df: DataFrame, segments: DataFrame, ts_col: str, granularity: str = "day") -> DataFrame:
     """Rows of used chunks only (a semi join on the chunk start)."""
     used = segments.where(F.col("used")).select("chunk_start")

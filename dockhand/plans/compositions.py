@@ -99,5 +99,61 @@ def query_upsert(target: DataFrame, extracted: DataFrame, **load_kwargs: Any) ->
     return load(target, nan_to_null(extracted), **load_kwargs)
 
 
+def dated_accumulate(spark: SparkSession, target: DataFrame, sql_builder: Callable[[str], str],
+                     policies: Mapping[str, str], keys: Sequence[str], *, conf_run_date: str | None = None,
+                     own_run_date: str | None = None, execution_ts=None,
+                     order_by: Sequence[str | Column] | None = None,
+                     args: Mapping[str, Any] | None = None) -> tuple[str, DataFrame]:
+    """Resolve the run date -> dated extract -> empty only warns -> accumulate.
+
+    Returns ``(run_date, next_target)``; with no extracted rows the target
+    is returned unchanged.
+    """
+    from dockhand.functions.timefmt import resolve_run_date
+    import datetime as dt
+    run_date = resolve_run_date(conf_run_date, own_run_date, execution_ts or dt.datetime.now(dt.timezone.utc))
+    fresh = dated_extract(spark, sql_builder, run_date, on_empty="warn", args=args)
+    if fresh.isEmpty():
+        return run_date, target
+    return run_date, upsert_accumulate(target, fresh, keys, policies, order_by)
+
+
+def import_to_files(spark: SparkSession, target_dir: str, *, table: str | None = None, query: str | None = None,
+                    source=None, file_type: str = "parquet", append: bool = False,
+                    columns: Sequence[str] | None = None, where: str | None = None,
+                    split_by: str | None = None, num_partitions: int | None = None,
+                    compression: str = "snappy") -> str:
+    """Table or query import -> files (parquet or csv), append or replace."""
+    from dockhand.sources.tables import import_query, import_table
+    if (table is None) == (query is None):
+        raise ValueError("give exactly one of table or query")
+    df = (import_table(spark, table, source, columns=columns, where=where, split_by=split_by,
+                       num_partitions=num_partitions) if table is not None
+          else import_query(spark, query, source, split_by=split_by, num_partitions=num_partitions))
+    w = df.write.mode("append" if append else "overwrite").option("compression", compression)
+    if file_type == "parquet":
+        w.parquet(target_dir)
+    elif file_type == "csv":
+        w.option("header", "true").csv(target_dir)
+    else:
+        raise ValueError(f"unsupported file type {file_type!r}; use parquet or csv")
+    return target_dir
+
+
+def files_to_chunks(spark: SparkSession, root: str, path: str, ts_col: str, *, fmt: str = "parquet",
+                    glob: str | None = None, file_filter: Callable[[str], bool] | None = None,
+                    granularity: str = "day", remove_after: bool = False) -> str | None:
+    """Filtered file set -> time-chunked table (each chunk replaced);
+    optionally drop the staged file set after a successful load."""
+    from dockhand.session import remove_path
+    from dockhand.sinks.partitions import bulk_load_chunks
+    from dockhand.sources.files import read_files
+    out = bulk_load_chunks(read_files(spark, root, fmt, glob=glob, file_filter=file_filter), path, ts_col,
+                           granularity)
+    if remove_after and out is not None:
+        remove_path(spark, root)
+    return out
+
+
 def guarded(df: DataFrame, what: str, on_empty: str = "fail") -> DataFrame:
     return nonempty_guard(df, what, on_empty)
