@@ -89,10 +89,20 @@ def normalize_intervals(intervals) -> list[tuple[dt.datetime, dt.datetime]]:
     return out
 
 
+def ntz_literal(v: dt.datetime) -> Column:
+    """A ``timestamp_ntz`` literal from a naive UTC datetime.
+
+    Built from ISO text: casting text to ``timestamp_ntz`` involves no zone,
+    whereas a Python datetime literal would pass through the driver's and the
+    session's zones.
+    """
+    return F.lit(v.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def _inside_any(start: Column, end: Column, ivs: Sequence[tuple[dt.datetime, dt.datetime]]) -> Column:
     cond = F.lit(False)
     for a, b in ivs:
-        cond = cond | ((start >= F.lit(a).cast("timestamp_ntz")) & (end <= F.lit(b).cast("timestamp_ntz")))
+        cond = cond | ((start >= ntz_literal(a)) & (end <= ntz_literal(b)))
     return cond
 
 

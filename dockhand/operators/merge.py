@@ -22,8 +22,10 @@ shuffle).  Then a size check on the reduced side picks the join:
   it is broadcast and the target streams through a broadcast hash join, so
   the (huge) target is never shuffled; new keys are found by a second,
   key-columns-only scan of the target;
-* otherwise: a full outer sort-merge join on the key (both sides shuffled;
-  the aggregation's hash partitioning is reused on the incoming side).
+* otherwise: a full outer sort-merge join on the key (both sides shuffled).
+
+The reduced incoming rows are staged once in the shared folder first, so
+the incoming query runs once and every branch reads the same snapshot.
 
 For partitioned targets, ``dockhand.sinks.partitions.merge_partitions``
 also confines the read and rewrite to the partitions the incoming rows touch.
@@ -36,6 +38,8 @@ from typing import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from dockhand.session import cut_lineage
+
 _T, _S, _N = "__in_target", "__in_source", "__n_rows"
 
 
@@ -96,6 +100,17 @@ def fits_broadcast(df: DataFrame, broadcast_rows: int | None = None) -> bool:
     return limit > 0 and df.limit(limit + 1).count() <= limit
 
 
+def _stage(reduced: DataFrame, broadcast_rows: int | None) -> tuple[DataFrame, bool]:
+    """Write the reduced incoming rows once to the shared folder, then size them.
+
+    Every later use reads this one snapshot: the incoming query runs once,
+    a non-repeatable source cannot disagree with itself between the join
+    branches, and the size check is a cheap count of staged rows.
+    """
+    staged = cut_lineage(reduced)
+    return staged, fits_broadcast(staged, broadcast_rows)
+
+
 def _split(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     nulls = _keys_null(keys)
     return df.where(~nulls), df.where(nulls)
@@ -166,7 +181,8 @@ def upsert_ignore(target: DataFrame, incoming: DataFrame, keys: Sequence[str],
     s_nn, s_null = _split(inc, keys)
     first = first_per_key(s_nn, keys, bool(order_by), "upsert_ignore")
     t_keys = target.where(~_keys_null(keys)).select(*keys)
-    if fits_broadcast(first, broadcast_rows):
+    first, small = _stage(first, broadcast_rows)
+    if small:
         # only the target keys that the incoming rows hit (broadcast semi join)
         t_keys = t_keys.join(F.broadcast(first.select(*keys)), on=keys, how="left_semi")
     unseen = first.join(t_keys, on=keys, how="left_anti")
@@ -210,7 +226,8 @@ def _merge(target: DataFrame, reduced: DataFrame, keys: Sequence[str],
     t_nn, t_null = _split(target, keys)
     t = t_nn.withColumn(_T, F.lit(True)).alias("t")
     in_t, in_s = F.col(_T).isNotNull(), F.col(_S).isNotNull()
-    if fits_broadcast(reduced, broadcast_rows):
+    reduced, small = _stage(reduced, broadcast_rows)
+    if small:
         s = F.broadcast(reduced.withColumn(_S, F.lit(True))).alias("s")
         body = t.join(s, on=keys, how="left").select(*_choose(target, keys, matched, inserted, in_t, in_s))
         hit = t_nn.select(*keys).join(F.broadcast(reduced.select(*keys)), on=keys, how="left_semi")

@@ -61,9 +61,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/dockhand/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Reliable checkpoint into the shared folder (survives executor loss)."""
-    checkpoint_root(df.sparkSession)
+def cut_lineage(df: DataFrame, eager: bool = True, as_table: bool = True) -> DataFrame:
+    """Cut the lineage of ``df`` in the shared folder (survives executor loss).
+
+    ``as_table``: write it as a Parquet table under the shared scratch root
+    and read it back (columnar, fast); otherwise a reliable ``checkpoint()``.
+    Never a local checkpoint.
+    """
+    spark = df.sparkSession
+    if as_table:
+        path = scratch_path(spark, "cut")
+        df.write.mode("overwrite").parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+    checkpoint_root(spark)
     return df.checkpoint(eager=eager)
 
 

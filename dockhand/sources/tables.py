@@ -135,8 +135,8 @@ def time_window(df: DataFrame, ts_col: str, start: str | dt.datetime, hours: int
 
     The bounds are literals, so the predicate reaches the Parquet scan.
     """
-    lo = F.lit(start if isinstance(start, dt.datetime) else dt.datetime.fromisoformat(str(start)))
-    lo = lo.cast("timestamp_ntz")
+    from dockhand.operators.chunks import _ts, ntz_literal
+    lo = ntz_literal(_ts(start))
     hi = F.timestamp_add("HOUR", F.lit(hours), lo)
     ts = F.col(ts_col)
     out = df.where((ts >= lo) & (ts < hi))

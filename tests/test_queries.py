@@ -54,3 +54,18 @@ def test_no_python_in_plan(spark, name):
 def test_pandas_transform_is_batch_local(spark):
     plan = QUERIES["pandas_transform"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "MapInPandas" in plan and "Exchange" not in plan
+
+
+ZONE_SENSITIVE = ["time_window_extract", "list_segments", "retire_by_interval", "business_date", "parse_iso_ts",
+                  "iso_ts_parts", "retention_filter", "dated_reload", "bulk_load_chunks", "completeness_gate"]
+
+
+@pytest.mark.parametrize("name", ZONE_SENSITIVE)
+def test_results_do_not_depend_on_session_zone(spark, con, name):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        ok, msg = compare(QUERIES[name](spark, SF_SMALL), con, ORACLES[name])
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert ok, msg
