@@ -14,9 +14,10 @@ from dockhand.operators.batching import ordered_layout
 from dockhand.operators.chunks import truncate
 from dockhand.session import scratch_path
 from dockhand.sinks.files import export_parquet, export_snapshot
-from dockhand.sinks.partitions import (bulk_load_chunks, insert_dynamic, insert_static, read_partitioned,
-                                       stage_and_publish)
-from dockhand.sources.documents import read_hits, scan_counts, scan_documents, write_scan
+from dockhand.operators.merge import upsert_update
+from dockhand.sinks.partitions import (bulk_load_chunks, insert_dynamic, insert_static, merge_partitions,
+                                       read_partitioned, stage_and_publish)
+from dockhand.sources.documents import read_hits, scan_counts, scan_documents, scan_output_path, write_scan
 from dockhand.sources.files import file_inventory, read_files
 from dockhand.sources.tables import Source, import_query, import_table, time_window
 from dockhand.plans.catalog import query, table, view
@@ -53,7 +54,8 @@ FROM events WHERE event_type <> 'error'
 def q_document_scan(spark: SparkSession, sf: str) -> DataFrame:
     hits = read_hits(None, SOURCE_SCHEMA, text=_hit_text(spark, sf, corrupt=False))
     recs = scan_documents(hits, _parse_hit, force_str_cols=["user_id"])
-    out = write_scan(recs, scratch_path(spark, "document_scan"), page_size=100, pages_per_file=30)
+    root = scan_output_path(scratch_path(spark, "document_scan"), "2024-01-05T00:00:00+07:00")
+    out = write_scan(recs, root, page_size=100, pages_per_file=30)
     return spark.read.parquet(out)
 
 
@@ -261,3 +263,34 @@ def q_truncate_table(spark: SparkSession, sf: str) -> DataFrame:
     e.write.mode("overwrite").parquet(path)
     truncate(spark.read.parquet(path)).write.mode("overwrite").parquet(path)
     return spark.read.schema(e.schema).parquet(path)
+
+
+@query("upsert_touched_partitions", f"""
+WITH t AS (SELECT event_id, ts, user_id, event_type, value, {_D} AS d FROM events),
+     s AS (SELECT event_id, ts, user_id, event_type, value + 100 AS value, {_D} AS d FROM events
+           WHERE {_D} IN ('2024-01-03', '2024-01-04') AND event_type = 'purchase'
+           UNION ALL
+           SELECT event_id + 100000000 AS event_id, ts, user_id, 'refund' AS event_type, -value AS value, {_D} AS d
+           FROM events WHERE {_D} = '2024-01-04' AND event_type = 'purchase')
+SELECT COALESCE(t.event_id, s.event_id) AS event_id,
+       CASE WHEN t.event_id IS NOT NULL THEN t.ts ELSE s.ts END AS ts,
+       CASE WHEN t.event_id IS NOT NULL THEN t.user_id ELSE s.user_id END AS user_id,
+       CASE WHEN t.event_id IS NOT NULL THEN t.event_type ELSE s.event_type END AS event_type,
+       CASE WHEN s.event_id IS NOT NULL THEN s.value ELSE t.value END AS value,
+       COALESCE(t.d, s.d) AS d
+FROM t FULL OUTER JOIN s ON t.event_id = s.event_id
+""")
+def q_upsert_touched_partitions(spark: SparkSession, sf: str) -> DataFrame:
+    """W3 on a day-partitioned table, reading and rewriting only the two
+    partitions the incoming rows touch (the other 28 stay as written)."""
+    e, path = _day_table(spark, sf)
+    day = _day()
+    fixed = (e.where(day.isin("2024-01-03", "2024-01-04") & (F.col("event_type") == "purchase"))
+             .withColumn("value", F.col("value") + 100))
+    refunds = (e.where((day == "2024-01-04") & (F.col("event_type") == "purchase"))
+               .select((F.col("event_id") + 100000000).alias("event_id"), "ts", "user_id",
+                       F.lit("refund").alias("event_type"), (-F.col("value")).alias("value")))
+    incoming = fixed.unionByName(refunds).withColumn("d", _day())
+    merge_partitions(spark, path, _PART_SCHEMA, incoming, ["d"],
+                     lambda t, s: upsert_update(t, s, ["event_id"], ["value"]))
+    return read_partitioned(spark, path, _PART_SCHEMA)

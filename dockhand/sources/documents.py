@@ -67,6 +67,21 @@ def scan_counts(hits: DataFrame, parse: Callable[[DataFrame], Column]) -> DataFr
                     F.count_if(~parsed).alias("dropped_rows"), F.count_if(corrupt).alias("corrupt_rows"))
 
 
+def scan_output_path(root: str, run_date: str) -> str:
+    """``<root>/YYYY/MM/DD/HH-00-00`` from the wall clock of an ISO run date
+    (offset kept as written, not converted), the layout of scan exports."""
+    import datetime as dt
+    for fmt in ("%Y-%m-%dT%H:%M:%S%z", "%Y-%m-%dT%H:%M:%S.%f%z"):
+        try:
+            w = dt.datetime.strptime(run_date, fmt)
+            break
+        except ValueError:
+            continue
+    else:
+        raise ValueError(f"unparseable ISO run date: {run_date!r}")
+    return f"{root.rstrip('/')}/{w:%Y/%m/%d}/{w:%H}-00-00"
+
+
 def write_scan(records: DataFrame, path: str, page_size: int = PAGE_SIZE,
                pages_per_file: int = PAGES_PER_FILE, compression: str = "gzip") -> str:
     """Parquet files of at most ``page_size * pages_per_file`` rows each."""

@@ -9,7 +9,7 @@ from conftest import SF_SMALL, rows
 from dockhand.operators.quality import CheckFailed
 from dockhand.plans.script import run_script
 from dockhand.plans.transforms import dated_transform, pandas_transform, user_transform
-from dockhand.sources.documents import CORRUPT, read_hits, scan_counts, scan_documents
+from dockhand.sources.documents import CORRUPT, read_hits, scan_counts, scan_documents, scan_output_path
 from dockhand.sources.files import file_inventory, read_files
 from dockhand.sources.tables import Source, dated_extract, import_table, resolve_source, time_window
 
@@ -106,3 +106,10 @@ def test_user_hooks(spark):
         dated_transform(spark, lambda s, d: df, "None")
     out = pandas_transform(df, lambda p: p.assign(x=p["id"] * 2), "id long, x long")
     assert rows(out, "x") == [(0,), (2,), (4,), (6,)]
+
+
+def test_scan_output_path():
+    assert scan_output_path("/x/", "2024-01-01T23:30:00+07:00") == "/x/2024/01/01/23-00-00"
+    assert scan_output_path("/x", "2024-01-01T23:30:00.5Z") == "/x/2024/01/01/23-00-00"
+    with pytest.raises(ValueError):
+        scan_output_path("/x", "2024-01-01")
