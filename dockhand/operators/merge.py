@@ -142,10 +142,15 @@ def _as_target(df: DataFrame, target: DataFrame,
     With ``order_by``, the ordering is evaluated first (it may use incoming
     columns the target lacks) and carried as one struct column.
     """
+    from dockhand.operators.conform import _strict_cast
     cols = [_order_struct(order_by).alias(_ORD)] if order_by else []
     for f in target.schema.fields:
         if f.name in df.columns:
-            cols.append(_q(f.name).cast(f.dataType).alias(f.name))
+            src = df.schema[f.name].dataType
+            # a value that does not fit the target type fails the load (as a
+            # database insert would), whatever the session's ANSI setting
+            c = _q(f.name) if src == f.dataType else _strict_cast(_q(f.name), f.name, src, f.dataType)
+            cols.append(c.alias(f.name))
         else:
             cols.append(F.lit(None).cast(f.dataType).alias(f.name))
     return df.select(*cols)

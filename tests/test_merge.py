@@ -149,3 +149,14 @@ def test_broadcast_path_does_not_shuffle_target(spark, join_path):
     else:
         assert "FullOuter" in plan
     assert out.count() == 5001 and out.where("id = 1").first()["v"] == 100
+
+
+def test_mistyped_incoming_value_fails_the_load(spark, target):
+    inc = spark.createDataFrame([(1, "x", "not a number")], "id bigint, name string, amount string")
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    try:
+        spark.conf.set("spark.sql.ansi.enabled", "false")
+        with pytest.raises(Exception, match="cannot conform"):
+            upsert_update(target, inc, ["id"], ["amount"]).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", old)
