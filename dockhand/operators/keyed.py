@@ -6,6 +6,22 @@ from typing import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+def _orderable(dt: T.DataType) -> bool:
+    if isinstance(dt, (T.MapType, T.VariantType)):
+        return False
+    if isinstance(dt, T.ArrayType):
+        return _orderable(dt.elementType)
+    if isinstance(dt, T.StructType):
+        return all(_orderable(f.dataType) for f in dt.fields)
+    return True
+
+
+def tie_breakers(df: DataFrame, columns: Sequence[str]) -> list[Column]:
+    """Orderable columns appended to an ordering to make it total."""
+    return [F.col(f"`{c}`") for c in columns if _orderable(df.schema[c].dataType)]
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column]) -> DataFrame:
@@ -18,6 +34,7 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str |
     """
     keys = list(keys)
     rest = [c for c in df.columns if c not in keys]
-    order = F.struct(*[F.col(f"`{o}`") if isinstance(o, str) else o for o in order_by])
+    order = F.struct(*[F.col(f"`{o}`") if isinstance(o, str) else o for o in order_by],
+                     *tie_breakers(df, [c for c in rest if c not in set(o for o in order_by if isinstance(o, str))]))
     red = df.groupBy(*keys).agg(F.max_by(F.struct(*[F.col(f"`{c}`") for c in rest]), order).alias("__r"))
     return red.select(*[F.col(f"`{k}`") for k in keys], *[F.col("__r").getField(c).alias(c) for c in rest])

@@ -143,7 +143,14 @@ def _as_target(df: DataFrame, target: DataFrame,
     columns the target lacks) and carried as one struct column.
     """
     from dockhand.operators.conform import _strict_cast
-    cols = [_order_struct(order_by).alias(_ORD)] if order_by else []
+    from dockhand.operators.keyed import tie_breakers
+    cols = []
+    if order_by:
+        # the caller's order first, then the other columns as tie-breakers:
+        # the chosen first/last row is the same on every (re)computation
+        named = _order_names(order_by)
+        extra = tie_breakers(df, [c for c in df.columns if c not in named and c in target.columns])
+        cols.append(F.struct(*[_q(o) if isinstance(o, str) else o for o in order_by], *extra).alias(_ORD))
     for f in target.schema.fields:
         if f.name in df.columns:
             src = df.schema[f.name].dataType

@@ -160,3 +160,9 @@ def test_mistyped_incoming_value_fails_the_load(spark, target):
             upsert_update(target, inc, ["id"], ["amount"]).collect()
     finally:
         spark.conf.set("spark.sql.ansi.enabled", old)
+
+
+def test_ties_resolve_to_the_same_row(spark):
+    df = spark.createDataFrame([(1, "b", 5), (1, "c", 5), (1, "a", 5)], "k int, v string, o int")
+    # order_by ties on o: the other columns decide, on every run
+    assert [tuple(latest_per_key(df.repartition(3), ["k"], ["o"]).first()) for _ in range(3)] == [(1, "c", 5)] * 3
