@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 # Snapshot formats accepted by the snapshot export.
 SNAPSHOT_FORMATS = ("csv", "parquet")
@@ -75,3 +75,19 @@ def fan_out_write(frames: DataFrame | Sequence[DataFrame], store_dir: str, name:
              else f.write.mode("overwrite").parquet(p))
             out.append(p)
     return out
+
+
+def truncate_path(spark: SparkSession, path: str, fmt: str = "parquet") -> str:
+    """W17 for a folder table: no rows left, schema kept (an empty overwrite).
+
+    The schema is read from the files' metadata; the empty frame is built
+    from it, so nothing is read while the folder is rewritten.
+    """
+    schema = spark.read.format(fmt).load(path).schema
+    spark.createDataFrame([], schema).write.mode("overwrite").format(fmt).save(path)
+    return path
+
+
+def truncate_table(spark: SparkSession, name: str) -> None:
+    """W17 for a catalog table."""
+    spark.sql(f"TRUNCATE TABLE {name}")

@@ -5,7 +5,9 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from dockhand.operators.quality import (CheckFailed, completeness, count_checks, count_check_row, is_ready,
-                                        nonempty_guard, reconcile, script_validator, table_exists)
+                                        nonempty_guard, observed_counts, reconcile, script_validator,
+                                        table_exists)
+from dockhand.sources.files import file_inventory
 from dockhand.operators.retention import retention_filter, run_id_date
 
 
@@ -87,3 +89,16 @@ def test_script_validator(spark):
 def test_table_exists(spark):
     spark.range(1).createOrReplaceTempView("dq_exists_view")
     assert table_exists(spark, "dq_exists_view") and not table_exists(spark, "dq_no_such_table")
+
+
+def test_observed_count_during_write(spark, tmp_dir):
+    df, obs = observed_counts(spark.range(123))
+    df.write.parquet(tmp_dir + "/o")
+    assert obs.get["rows"] == 123
+
+
+def test_file_manifest_gate(spark):
+    expected = spark.createDataFrame([("orders.parquet",), ("events.parquet",), ("missing.parquet",)], "file_name string")
+    gate = completeness(expected, file_inventory(spark, "/root/testdata/sf0.001"), ["file_name"])
+    assert [r[0] for r in gate.where("status = 'missing'").collect()] == ["missing.parquet"]
+    assert not is_ready(gate)

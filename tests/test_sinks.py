@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from conftest import rows
-from dockhand.sinks.files import export_parquet, export_snapshot, fan_out_write
+from dockhand.sinks.files import export_parquet, export_snapshot, fan_out_write, truncate_path
 from dockhand.sinks.partitions import (bulk_load_chunks, insert_dynamic, insert_static, merge_partitions,
                                        read_partitioned, stage_and_publish)
 from dockhand.operators.merge import upsert_update
@@ -112,3 +112,11 @@ def test_bulk_load_empty_is_noop(spark, tmp_dir):
     empty = spark.createDataFrame([], "ts timestamp_ntz, v int")
     assert bulk_load_chunks(empty, os.path.join(tmp_dir, "c"), "ts") is None
     assert not os.path.exists(os.path.join(tmp_dir, "c"))
+
+
+def test_truncate_path_keeps_schema(spark, tmp_dir):
+    p = os.path.join(tmp_dir, "t")
+    spark.range(10).selectExpr("id", "cast(id as string) s").write.parquet(p)
+    truncate_path(spark, p)
+    back = spark.read.parquet(p)
+    assert back.count() == 0 and back.columns == ["id", "s"]
