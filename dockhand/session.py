@@ -56,9 +56,21 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def scratch_root(spark: SparkSession) -> str:
+    """This application's scratch folder under the shared root."""
+    return f"{checkpoint_root(spark)}/dockhand/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder under the shared scratch root."""
-    return f"{checkpoint_root(spark)}/dockhand/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique folder under this application's scratch folder."""
+    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def clear_scratch(spark: SparkSession) -> bool:
+    """Drop this application's scratch (staged inputs, lineage cuts, exports
+    made by the registered queries).  Call it when the job's results are
+    published: frames still reading scratch data fail afterwards."""
+    return remove_path(spark, scratch_root(spark))
 
 
 def cut_lineage(df: DataFrame, eager: bool = True, as_table: bool = True) -> DataFrame:

@@ -120,3 +120,11 @@ def test_truncate_path_keeps_schema(spark, tmp_dir):
     truncate_path(spark, p)
     back = spark.read.parquet(p)
     assert back.count() == 0 and back.columns == ["id", "s"]
+
+
+def test_clear_scratch(spark):
+    from dockhand.session import clear_scratch, cut_lineage, path_exists, scratch_root
+    cut_lineage(spark.range(3)).count()
+    assert path_exists(spark, scratch_root(spark))
+    assert clear_scratch(spark)
+    assert not path_exists(spark, scratch_root(spark))
