@@ -32,13 +32,11 @@ def count_check_row(check: DataFrame, table: str, run_date: str | None) -> DataF
     usually an aggregate (``SELECT count(*) ...``), so this reads one row.
     """
     if not check.columns:
-        first = F.lit(None).cast("bigint")
-        one = check.sparkSession.range(1).select(first.alias("v"))
+        v = check.sparkSession.range(1).select(F.lit(None).cast("bigint").alias("v"))
     else:
-        one = check.select(F.col(f"`{check.columns[0]}`").cast("bigint").alias("v")).limit(1)
-    # a right outer join against a one-row frame keeps the "no row" case
-    anchor = check.sparkSession.range(1).select(F.lit(1).alias("__a"))
-    v = one.withColumn("__a", F.lit(1)).join(anchor, "__a", "right").select("v")
+        # a global aggregate always yields one row: NULL when the check has none
+        first = check.select(F.col(f"`{check.columns[0]}`").cast("bigint").alias("v")).limit(1)
+        v = first.agg(F.first("v", ignorenulls=False).alias("v"))
     return v.select(F.lit(table).alias("check_table"), F.lit(run_date).cast("string").alias("run_date"),
                     F.col("v").alias("observed"),
                     F.coalesce(F.col("v") >= 1, F.lit(False)).alias("passed"))

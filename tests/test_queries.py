@@ -29,6 +29,8 @@ def test_query_matches_oracle(spark, con, name):
         assert ok, msg
     else:
         assert df.count() >= 0
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
 def test_entry_smoke(spark):
