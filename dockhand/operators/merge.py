@@ -235,19 +235,24 @@ def _merge(target: DataFrame, reduced: DataFrame, keys: Sequence[str],
     ``s.<col>``; columns absent from ``matched`` keep the target's value.
     """
     keys = list(keys)
-    t_nn, t_null = _split(target, keys)
-    t = t_nn.withColumn(_T, F.lit(True)).alias("t")
     in_t, in_s = F.col(_T).isNotNull(), F.col(_S).isNotNull()
     reduced, small = _stage(reduced, broadcast_rows)
     if small:
+        # the target streams through a broadcast join: no shuffle, and NULL
+        # keys simply find no match (they stay as they are)
+        t = target.withColumn(_T, F.lit(True)).alias("t")
         s = F.broadcast(reduced.withColumn(_S, F.lit(True))).alias("s")
         body = t.join(s, on=keys, how="left").select(*_choose(target, keys, matched, inserted, in_t, in_s))
-        hit = t_nn.select(*keys).join(F.broadcast(reduced.select(*keys)), on=keys, how="left_semi")
+        hit = target.select(*keys).join(F.broadcast(reduced.select(*keys)), on=keys, how="left_semi")
         fresh = reduced.join(hit, on=keys, how="left_anti").alias("s")
         new_rows = fresh.select(*[
             _q(f.name) if f.name in keys else
             inserted.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in target.schema.fields])
-        return body.unionByName(new_rows).unionByName(t_null)
+        return body.unionByName(new_rows)
+    # shuffle path: NULL-key target rows bypass the join (they would all hash
+    # to one reducer) and are appended unchanged
+    t_nn, t_null = _split(target, keys)
+    t = t_nn.withColumn(_T, F.lit(True)).alias("t")
     s = reduced.withColumn(_S, F.lit(True)).alias("s")
     j = t.join(s, on=keys, how="full_outer")
     return j.select(*_choose(target, keys, matched, inserted, in_t, in_s)).unionByName(t_null)
