@@ -21,12 +21,18 @@ def global_row_index(df: DataFrame, order_by: Sequence[str | Column],
        broadcast whose size is bounded by the partition count;
     4. prefix sums of those counts give each partition's offset.
 
-    ``order_by`` must be a total order (unique), which also keeps the range
-    partitions balanced: no value can pile up in one task.
+    Ties in ``order_by`` are broken by the other columns, so the numbering
+    is stable and a hot value is split across range partitions instead of
+    piling up in one task.
     """
+    from dockhand.operators.keyed import tie_breakers
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cols = [F.col(f"`{o}`") if isinstance(o, str) else o for o in order_by]
+    named = {o for o in order_by if isinstance(o, str)}
+    # the other columns break ties: the order becomes total (stable numbering)
+    # and a value shared by a third of the rows still spreads over many ranges
+    cols = [F.col(f"`{o}`") if isinstance(o, str) else o for o in order_by] + tie_breakers(
+        df, [c for c in df.columns if c not in named])
     ranged = df.repartitionByRange(n, *cols)
     # counting needs no order: the count branch reads the same (reused)
     # range shuffle without the local sort; at most n rows come out

@@ -103,3 +103,15 @@ def test_interval_argument_forms():
 def test_truncate_keeps_schema(events):
     t = truncate(events)
     assert t.count() == 0 and t.schema == events.schema
+
+
+def test_hot_order_value_spreads_over_ranges(spark):
+    # a third of the rows share one order value: the tie-breakers split it
+    df = spark.range(3000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"),
+                                  F.col("id").alias("payload"))
+    out = global_row_index(df, ["k"], num_partitions=6)
+    per_part = out.groupBy(F.spark_partition_id()).count().collect()
+    assert max(r["count"] for r in per_part) < 1000
+    assert sorted(r["row_index"] for r in out.collect()) == list(range(3000))
+    first = [r["payload"] for r in out.orderBy("row_index").limit(5).collect()]
+    assert first == [0, 3, 6, 9, 12]  # ties on k=0 ordered by payload
