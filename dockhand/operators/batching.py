@@ -70,8 +70,12 @@ def ordered_layout(df: DataFrame, order_by: Sequence[str | Column], total: bool
     ``total``: a global order across files (range partition + local sort);
     otherwise only within each output file (no shuffle).
     """
+    from dockhand.operators.keyed import tie_breakers
     cols = [F.col(f"`{o}`") if isinstance(o, str) else o for o in order_by]
     if total:
         n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        return df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
+        named = {o for o in order_by if isinstance(o, str)}
+        # tie-breakers keep a hot order value from landing in one range
+        ranged = cols + tie_breakers(df, [c for c in df.columns if c not in named])
+        return df.repartitionByRange(n, *ranged).sortWithinPartitions(*ranged)
     return df.sortWithinPartitions(*cols)
