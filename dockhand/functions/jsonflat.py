@@ -17,7 +17,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dockhand.functions.names import snake_case_name
 
 
 def _identity(name: str) -> str:
@@ -71,11 +70,14 @@ def flat_columns(schema: T.StructType, root: Column,
 
 
 def json_flatten(df: DataFrame, col: str, schema: T.StructType | None = None,
-                 col_normalize: Callable[[str], str] | None = snake_case_name, sep: str = "_",
+                 col_normalize: Callable[[str], str] | None = None, sep: str = "_",
                  keep: list[str] | None = None, strict: bool = False,
                  infer_fraction: float | None = None) -> DataFrame:
     """Flatten a JSON text column into columns (plus the ``keep`` columns).
 
+    ``col_normalize`` (identity by default; ``snake_case_name`` is the usual
+    choice) is applied to every nested path at every level.
+
     ``strict`` raises on invalid JSON (the reference's behaviour); otherwise
     invalid text gives NULL in every flattened column.
     """

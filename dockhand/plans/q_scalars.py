@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from dockhand.functions.jsonflat import json_flatten
 from dockhand.functions.maps import map_subset
-from dockhand.functions.names import snake_case
+from dockhand.functions.names import snake_case, snake_case_name
 from dockhand.functions.timefmt import (business_date, compact_ts, hour_label, hour_path, iso_date,
                                         iso_wall_clock, run_date_resolution, utc_wall_clock,
                                         wall_clock_parts, instant_micros, with_wall_clock)
@@ -138,7 +138,7 @@ def q_json_flatten(spark: SparkSession, sf: str) -> DataFrame:
                  F.from_json("props", "k bigint").alias("props"),
                  F.struct().alias("empty")).alias("eventInfo")))
     # schema inferred over every row (no sampling); nested names snake_cased
-    return json_flatten(e.select(doc.alias("js")), "js")
+    return json_flatten(e.select(doc.alias("js")), "js", col_normalize=snake_case_name)
 
 
 @query("map_subset", """

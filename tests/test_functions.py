@@ -108,7 +108,8 @@ def test_snake_case_columns(spark):
 def test_json_flatten_reference_shape(spark):
     js = '{"userId":1,"userInfo":{"firstName":"x","tags":[1,2]},"e":{}}'
     df = spark.createDataFrame([(js,)], "js string")
-    out = json_flatten(df, "js")
+    assert sorted(json_flatten(df, "js").columns) == ["userId", "userInfo_firstName", "userInfo_tags"]
+    out = json_flatten(df, "js", col_normalize=snake_case_name)
     # top-level scalar keeps its name; nested paths are normalised; lists stay lists; {} gives nothing
     assert sorted(out.columns) == ["userId", "user_info_first_name", "user_info_tags"]
     r = out.first()
@@ -133,7 +134,7 @@ def test_json_flatten_given_schema_no_inference(spark):
     from pyspark.sql import types as T
     schema = T.StructType([T.StructField("a", T.StructType([T.StructField("bC", T.LongType())]))])
     df = spark.createDataFrame([('{"a":{"bC":5}}',)], "js string")
-    out = json_flatten(df, "js", schema=schema)
+    out = json_flatten(df, "js", schema=schema, col_normalize=snake_case_name)
     assert out.columns == ["a_b_c"] and out.first()[0] == 5
 
 
