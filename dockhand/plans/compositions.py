@@ -112,7 +112,9 @@ def dated_accumulate(spark: SparkSession, target: DataFrame, sql_builder: Callab
     from dockhand.functions.timefmt import resolve_run_date
     import datetime as dt
     run_date = resolve_run_date(conf_run_date, own_run_date, execution_ts or dt.datetime.now(dt.timezone.utc))
-    fresh = dated_extract(spark, sql_builder, run_date, on_empty="warn", args=args)
+    bound = dict(args) if args else {}
+    bound.setdefault("run_date", run_date)
+    fresh = dated_extract(spark, sql_builder, run_date, on_empty="warn", args=bound)
     if fresh.isEmpty():
         return run_date, target
     return run_date, upsert_accumulate(target, fresh, keys, policies, order_by)

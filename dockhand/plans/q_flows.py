@@ -261,3 +261,29 @@ def q_completeness_gate(spark: SparkSession, sf: str) -> DataFrame:
         F.lit("2024-01-01").cast("date"), F.lit("2024-01-31").cast("date"))).alias("day"))
     present = table(spark, sf, "events").select(F.to_date("ts").alias("day"))
     return completeness(expected, present, ["day"])
+
+
+@query("dated_accumulate", """
+SELECT l_orderkey AS o_orderkey, sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS total, count(*) AS n_lines
+FROM lineitem GROUP BY l_orderkey
+""")
+def q_dated_accumulate(spark: SparkSession, sf: str) -> DataFrame:
+    """The run date resolves to the business date of the schedule (no
+    config, own value 'None'); totals accumulated before it plus the line
+    deltas from it on must give the full per-order totals."""
+    import datetime as dt
+    from dockhand.plans.compositions import dated_accumulate
+    v = view(spark, sf, "lineitem")
+    li = table(spark, sf, "lineitem")
+    target = (li.where(F.col("l_shipdate") < F.lit("1998-01-01").cast("timestamp_ntz"))
+              .groupBy(F.col("l_orderkey").alias("o_orderkey"))
+              .agg(F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("decimal(18,2)").alias("total"),
+                   F.count(F.lit(1)).alias("n_lines")))
+
+    def builder(run_date: str) -> str:
+        return (f"SELECT l_orderkey AS o_orderkey, CAST(l_extendedprice AS DECIMAL(18,2)) AS total, "
+                f"CAST(1 AS BIGINT) AS n_lines FROM {v} WHERE l_shipdate >= CAST(:run_date AS TIMESTAMP_NTZ)")
+    _, out = dated_accumulate(spark, target, builder, {"total": "sum", "n_lines": "sum"}, ["o_orderkey"],
+                              conf_run_date=None, own_run_date="None",
+                              execution_ts=dt.datetime(1997, 12, 31, 17, 30))
+    return out
