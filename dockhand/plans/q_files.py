@@ -19,7 +19,7 @@ from dockhand.sinks.partitions import (bulk_load_chunks, insert_dynamic, insert_
                                        read_partitioned, stage_and_publish)
 from dockhand.sources.documents import read_hits, scan_counts, scan_documents, scan_output_path, write_scan
 from dockhand.sources.files import file_inventory, read_files
-from dockhand.sources.tables import Source, import_query, import_table, time_window
+from dockhand.sources.tables import Source, import_query, time_window
 from dockhand.plans.catalog import query, table, view
 
 SOURCE_SCHEMA = T.StructType([
@@ -108,10 +108,11 @@ def q_file_inventory(spark: SparkSession, sf: str) -> DataFrame:
 SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate FROM orders WHERE o_orderstatus = 'F'
 """)
 def q_import_table(spark: SparkSession, sf: str) -> DataFrame:
+    from dockhand.plans.compositions import import_to_files
     src = Source(format="parquet", path=f"{sf.rstrip('/')}/{{table}}.parquet")
-    df = import_table(spark, "orders", src, columns=["o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"],
-                      where="o_orderstatus = 'F'", split_by="o_orderkey", num_partitions=4)
-    out = export_parquet(df, scratch_path(spark, "import_table"))
+    out = import_to_files(spark, scratch_path(spark, "import_table"), table="orders", source=src,
+                          columns=["o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"],
+                          where="o_orderstatus = 'F'", split_by="o_orderkey", num_partitions=4)
     return spark.read.parquet(out)
 
 
