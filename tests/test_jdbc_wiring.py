@@ -45,3 +45,30 @@ def test_import_query_split_uses_dbtable(spark, log):
     assert log[-1]["dbtable"] == "(SELECT * FROM t) import_q" and "query" not in log[-1]
     import_query(spark, "SELECT * FROM t", Source(format="jdbc"))
     assert log[-1]["query"] == "SELECT * FROM t" and "partitionColumn" not in log[-1]
+
+
+def test_jdbc_write_options(spark, monkeypatch):
+    from pyspark.sql import DataFrame
+    from dockhand.sinks.jdbc import jdbc_write
+    seen = {}
+
+    class W:
+        def format(self, f):
+            seen["format"] = f
+            return self
+
+        def mode(self, m):
+            seen["mode"] = m
+            return self
+
+        def option(self, k, v):
+            seen[k] = v
+            return self
+
+        def save(self):
+            seen["saved"] = True
+
+    monkeypatch.setattr(DataFrame, "write", property(lambda self: W()))
+    jdbc_write(spark.range(10), "jdbc:x", "stage.t", batch_size=200, num_partitions=2)
+    assert seen == {"format": "jdbc", "mode": "append", "url": "jdbc:x", "dbtable": "stage.t", "batchsize": "200",
+                    "isolationLevel": "READ_COMMITTED", "saved": True}
