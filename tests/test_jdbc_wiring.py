@@ -48,7 +48,6 @@ def test_import_query_split_uses_dbtable(spark, log):
 
 
 def test_jdbc_write_options(spark, monkeypatch):
-    from pyspark.sql import DataFrame
     from dockhand.sinks.jdbc import jdbc_write
     seen = {}
 
@@ -68,7 +67,7 @@ def test_jdbc_write_options(spark, monkeypatch):
         def save(self):
             seen["saved"] = True
 
-    monkeypatch.setattr(DataFrame, "write", property(lambda self: W()))
+    monkeypatch.setattr(type(spark.range(1)), "write", property(lambda self: W()))
     jdbc_write(spark.range(10), "jdbc:x", "stage.t", batch_size=200, num_partitions=2)
     assert seen == {"format": "jdbc", "mode": "append", "url": "jdbc:x", "dbtable": "stage.t", "batchsize": "200",
                     "isolationLevel": "READ_COMMITTED", "saved": True}
