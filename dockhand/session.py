@@ -41,6 +41,34 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
+def scale_conf(input_bytes: int, partition_bytes: int = 256 * 1024 * 1024,
+               cores: int | None = None) -> dict[str, str]:
+    """Settings that keep every task's share of a shuffle within memory.
+
+    Initial shuffle partitions are sized from the input (AQE then coalesces
+    small ones and splits skewed ones), scans read ``partition_bytes`` per
+    task, and the advisory size matches, so a 100 TB input starts at about
+    400,000 shuffle partitions of 256 MB each.
+    """
+    parts = max(1, -(-int(input_bytes) // int(partition_bytes)))
+    if cores:
+        parts = max(parts, 2 * cores)
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.optimizeSkewsInRebalancePartitions": "true",
+    }
+
+
+def apply_conf(spark: SparkSession, conf: dict[str, str]) -> None:
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and scratch tables.
 

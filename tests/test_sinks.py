@@ -128,3 +128,10 @@ def test_clear_scratch(spark):
     assert path_exists(spark, scratch_root(spark))
     assert clear_scratch(spark)
     assert not path_exists(spark, scratch_root(spark))
+
+
+def test_scale_conf():
+    from dockhand.session import scale_conf
+    c = scale_conf(100 * 1024**4)
+    assert c["spark.sql.shuffle.partitions"] == str(100 * 1024**4 // (256 * 1024**2))
+    assert scale_conf(10, cores=8)["spark.sql.shuffle.partitions"] == "16"
