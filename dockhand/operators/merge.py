@@ -163,12 +163,21 @@ def _as_target(df: DataFrame, target: DataFrame,
     return df.select(*cols)
 
 
-def append_load(target: DataFrame, incoming: DataFrame, by_name: bool = True,
-                allow_missing: bool = True) -> DataFrame:
-    """Plain append; columns matched by name (or by position)."""
+def append_load(target: DataFrame, incoming: DataFrame, by_name: bool = True) -> DataFrame:
+    """Plain append, shaped like the target.
+
+    By name (default): columns the target lacks are an error, target columns
+    the incoming rows lack are NULL.  By position: the i-th incoming column
+    goes to the i-th target column.  Either way values are cast strictly to
+    the target's types, as an INSERT into a typed table would.
+    """
     if by_name:
-        return target.unionByName(incoming, allowMissingColumns=allow_missing)
-    return target.union(incoming)
+        _check_columns(target, incoming, [])
+        return target.unionByName(_as_target(incoming, target))
+    if len(incoming.columns) != len(target.columns):
+        raise ValueError(f"positional append needs {len(target.columns)} columns, got {len(incoming.columns)}")
+    renamed = incoming.toDF(*target.columns)
+    return target.union(_as_target(renamed, target))
 
 
 def first_per_key(incoming: DataFrame, keys: Sequence[str], ordered: bool, what: str) -> DataFrame:
@@ -375,4 +384,4 @@ def delete_then_insert(target: DataFrame, incoming: DataFrame, delete_predicate:
     """
     from dockhand.operators.conform import keep_where_not
     kept = keep_where_not(target, delete_predicate)
-    return append_load(kept, _as_target(incoming, target) if by_name else incoming, by_name)
+    return append_load(kept, incoming, by_name)

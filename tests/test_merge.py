@@ -166,3 +166,10 @@ def test_ties_resolve_to_the_same_row(spark):
     df = spark.createDataFrame([(1, "b", 5), (1, "c", 5), (1, "a", 5)], "k int, v string, o int")
     # order_by ties on o: the other columns decide, on every run
     assert [tuple(latest_per_key(df.repartition(3), ["k"], ["o"]).first()) for _ in range(3)] == [(1, "c", 5)] * 3
+
+
+def test_append_rejects_unknown_columns(spark, target):
+    with pytest.raises(KeyError):
+        append_load(target, spark.createDataFrame([(1, "x")], "id bigint, zz string"))
+    with pytest.raises(ValueError):
+        append_load(target, spark.createDataFrame([(1,)], "id bigint"), by_name=False)
