@@ -122,9 +122,11 @@ def retire_by_interval(segments: DataFrame, intervals, granularity: str = "day")
     first = F.date_trunc(granularity, F.col("since")).cast("timestamp_ntz")
     first = F.when(first < F.col("since"), chunk_end(first, granularity)).otherwise(first)
     last = F.col("until") - F.make_dt_interval(F.lit(step.days), F.lit(step.seconds // 3600))
-    covered = iv.select(F.explode(F.sequence(first, last, F.make_dt_interval(
-        F.lit(step.days), F.lit(step.seconds // 3600)))).alias("chunk_start")).where(
-        F.col("chunk_start").isNotNull()).distinct().withColumn("__hit", F.lit(True))
+    step_iv = F.make_dt_interval(F.lit(step.days), F.lit(step.seconds // 3600))
+    # an interval shorter than one chunk holds none (sequence() would refuse it)
+    starts = F.when(first <= last, F.sequence(first, last, step_iv))
+    covered = (iv.select(F.explode(starts).alias("chunk_start"))
+               .distinct().withColumn("__hit", F.lit(True)))
     j = segments.join(covered, "chunk_start", "left")
     return j.withColumn("used", F.col("used") & F.col("__hit").isNull()).drop("__hit").select(*segments.columns)
 

@@ -115,3 +115,16 @@ def test_hot_order_value_spreads_over_ranges(spark):
     assert sorted(r["row_index"] for r in out.collect()) == list(range(3000))
     first = [r["payload"] for r in out.orderBy("row_index").limit(5).collect()]
     assert first == [0, 3, 6, 9, 12]  # ties on k=0 ordered by payload
+
+
+@pytest.mark.parametrize("granularity", ["day", "hour"])
+def test_long_path_short_and_unaligned_intervals(spark, monkeypatch, granularity):
+    base = dt.datetime(2024, 1, 1)
+    ev = spark.createDataFrame([(base + dt.timedelta(minutes=30 * i),) for i in range(48 * 4)], "ts timestamp_ntz")
+    seg = list_segments(ev, "ts", granularity, "ds")
+    ivs = [("2024-01-02T00:00:00", "2024-01-02T12:00:00"),      # shorter than a day
+           ("2024-01-03T00:30:00", "2024-01-03T02:00:00"),      # unaligned start
+           ("2024-01-01T05:00:00", "2024-01-01T05:10:00")]      # shorter than an hour
+    inline = rows(retire_by_interval(seg, ivs, granularity))
+    monkeypatch.setattr(chunks, "INLINE_LIMIT", 0)
+    assert rows(retire_by_interval(seg, ivs, granularity)) == inline
