@@ -17,8 +17,16 @@ from pyspark.sql import types as T
 from dockhand.session import path_exists, remove_path, scratch_path
 
 
-def _partition_path(path: str, spec: Mapping[str, Any]) -> str:
-    return path.rstrip("/") + "".join(f"/{k}={v}" for k, v in spec.items())
+def _partition_dir(spark: SparkSession, path: str, spec: Mapping[str, Any]) -> str | None:
+    """Folder of one partition as Spark wrote it (values escaped by Spark),
+    found from a file of that partition; None when it holds no rows."""
+    if not path_exists(spark, path):
+        return None
+    cond = F.lit(True)
+    for k, v in spec.items():
+        cond = cond & (F.col(k).cast("string") == F.lit(str(v)))
+    hit = spark.read.parquet(path).where(cond).select(F.col("_metadata.file_path").alias("p")).limit(1).collect()
+    return hit[0]["p"].rsplit("/", 1)[0] if hit else None
 
 
 def read_partitioned(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -42,8 +50,8 @@ def insert_static(df: DataFrame, path: str, partition: Mapping[str, Any], overwr
     staged = df.select(*[F.col(f"`{c}`") for c in cols],
                        *[F.lit(v).alias(k) for k, v in partition.items()])
     if overwrite and staged.isEmpty():
-        target = _partition_path(path, partition)
-        if path_exists(spark, target):
+        target = _partition_dir(spark, path, partition)
+        if target is not None:
             remove_path(spark, target)
         return path
     (staged.write.mode("overwrite" if overwrite else "append")

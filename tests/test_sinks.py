@@ -135,3 +135,12 @@ def test_scale_conf():
     c = scale_conf(100 * 1024**4)
     assert c["spark.sql.shuffle.partitions"] == str(100 * 1024**4 // (256 * 1024**2))
     assert scale_conf(10, cores=8)["spark.sql.shuffle.partitions"] == "16"
+
+
+def test_static_overwrite_empty_with_escaped_value(spark, tmp_dir):
+    p = os.path.join(tmp_dir, "t")
+    df = spark.createDataFrame([(1, "2024-01-05T00:00:00"), (2, "2024-01-06T00:00:00")], "v bigint, h string")
+    insert_dynamic(df, p, ["h"], overwrite=True)
+    insert_static(spark.createDataFrame([], "v bigint"), p, {"h": "2024-01-05T00:00:00"}, overwrite=True)
+    schema = T.StructType([T.StructField("v", T.LongType()), T.StructField("h", T.StringType())])
+    assert rows(read_partitioned(spark, p, schema)) == [(2, "2024-01-06T00:00:00")]
