@@ -4,10 +4,11 @@ import pytest
 
 import __spark_entry__ as entry
 from conftest import SF_SMALL
+from dockhand.plans.catalog import load_all
 from oracle import compare, duck
 
-QUERIES = entry.queries()
-ORACLES = entry.oracle_sql()
+QUERIES = {name: fn for name, (fn, _) in load_all().items()}
+ORACLES = {name: sql for name, sql in entry.oracle_sql().items() if name in QUERIES}
 
 
 @pytest.fixture(scope="module")
