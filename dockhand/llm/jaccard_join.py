@@ -4,22 +4,25 @@ Documents whose distinct five-word shingle sets have a Jaccard similarity of
 at least ``PERCENT`` / 100 are linked; the operator returns each document's
 connected component.  The steps, all of them on distributed tables:
 
+0. **Common shingles.** A hashed sample of the documents (one in ``SAMPLE``)
+   names the shingles that are frequent (at most ``MOST_COMMON`` of them).  Which
+   ones they are only decides the cost: any list gives the same links.
 1. **Sets.** One pass over the texts gives, per document, the set's size, a
    128-bit key of the whole set, its signatures and a parity sketch.
    Documents with equal sets are one node, the smallest doc_id, from here on.
 2. **Signatures.** Sets are dealt into size bands (2^(j-1), 2^j].  A band cuts
-   the shingle domain into cells by hash.  Sets at Jaccard 3/4 differ in at
-   most (|u|+|v|)/7 <= |u|/3 shingles (u the smaller), each of which spoils one
-   cell, so among the first cells of which u fills more than |u|/3, one filled
-   cell must be equal in both sets: the content of a cell is a signature.  How
-   many cells a set emits grows with its size, so the larger set emits all
-   that the smaller one relies on.  A set within 3/4 of its band's upper edge also emits for the
-   next band, so any two sets that can be similar share a band.  Bands up to
-   ``SMALL`` shingles use few cells and enumerate the subsets of each cell
-   that a similar set may have in common with it, which holds for any filling.
-   A set of a larger band whose filled cells are too few for the argument
-   (one in more than a million) is sent, with all sets it could be
-   similar to, to step 5.
+   the shingle domain into cells by hash; common shingles are left out of them.
+   Sets at Jaccard 3/4 differ in at most (|u|+|v|)/7 <= |u|/3 shingles (u
+   the smaller), each of which spoils one cell.  So if u fills more than |u|/3
+   of the first c(|u|) cells, one filled cell must be equal in both sets: the
+   content of a cell is a signature.  c grows with the size, so the larger set emits all
+   that the smaller one relies on.  A set within 3/4 of its band's upper
+   edge also emits for the next band, so any two sets that can be similar share
+   a band.  A set that fills too few cells (mostly common shingles) emits all of them, which
+   is enough when the other set of the pair fills its share, and goes to step 5 for the case
+   that neither does.  Bands up to ``SMALL`` shingles use few cells, keep common shingles and
+   enumerate the subsets of each cell that a similar set may share, which
+   holds for any filling.
 3. **Buckets.** Equal (band, cell, content) rows meet; each member is paired
    with the bucket's smallest id.  Pairs are refuted by size and by the parity
    sketch (a lower bound of the set difference), the rest compared exactly,
@@ -27,11 +30,10 @@ connected component.  The steps, all of them on distributed tables:
 4. **The rest of a bucket.** Members of one component need no comparison.
    Buckets with several components and at most ``PAIR_CAP`` members compare
    their members across components.
-5. **Large buckets** with several components (a passage that many documents
-   share fills a cell of theirs) are never paired up: their members go
-   through a prefix filter on shingles ordered from rare to common within
-   those members, an exact way to every similar pair among them, whose
-   buckets follow steps 3 and 4 without a cap.
+5. **What is left**, that is larger buckets with several components and the sets set
+   aside in step 2, is never paired up bucket by bucket: these documents go through a
+   prefix filter (common shingles last), an exact way to every similar
+   pair among them, whose buckets follow steps 3 and 4 without a cap.
 
 Null and empty texts have no shingles, ``n_shingles`` 0 and link with
 nothing.  Rows that share a doc_id are one document.  A null doc_id is
@@ -60,6 +62,9 @@ SMALL = 64      # up to here a band's cells are enumerated, not only compared
 CELL = 2        # shingles a cell holds on average at a band's upper edge
 PAIR_CAP = 32   # larger mixed buckets go through the prefix filter
 SALT = 16       # ways a very full bucket is first cut into
+SAMPLE = 32     # one document in so many is read for common shingles
+MOST_COMMON = 2_000_000
+_PLAIN = 0.88   # share of a set's shingles that the number of cells allows to be not common
 _MIN_BITS, _MAX_BITS = 64, 1 << 16
 
 FEATURES = "doc_id long, n_shingles long, set_hi long, set_lo long, unsafe boolean, sketch binary, sigs array<long>"
@@ -69,7 +74,7 @@ def _cells_emitted(size: int, cells: int) -> int:
     """Of ``cells``, the first so many hold more than size/3 filled ones (with
     a margin of several standard deviations) for a set of this size."""
     need = size / 3 + 1
-    return min(cells, int(np.ceil((need + 3 * np.sqrt(need)) / -np.expm1(-size / cells))))
+    return min(cells, int(np.ceil((need + 3 * np.sqrt(need)) / -np.expm1(-_PLAIN * size / cells))))
 
 
 def _bands(size: int) -> list[int]:
@@ -77,19 +82,29 @@ def _bands(size: int) -> list[int]:
     return [band, band + 1] if 4 * size >= 3 * (1 << band) else [band]
 
 
-def _cell_contents(hashes: np.ndarray, cells: int, band: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Occupied cells, the sum of mixed members per cell, and the member count."""
+def _cell_contents(hashes: np.ndarray, cells: int, band: int) -> tuple[np.ndarray, np.ndarray]:
+    """Filled cells and the sum of mixed members of each."""
+    if not len(hashes):
+        return np.zeros(0, np.int64), hashes
     seed = np.uint64(0xA5A5A5A5 * band + 7)
     cell = (mix(hashes ^ seed) >> np.uint64(32)) * np.uint64(cells) >> np.uint64(32)
     order = np.argsort(cell, kind="stable")
     cell, member = cell[order].astype(np.int64), mix(hashes[order] + seed)
     at = np.flatnonzero(np.diff(cell, prepend=-1))
-    return cell[at], np.add.reduceat(member, at), np.diff(at, append=len(cell))
+    return cell[at], np.add.reduceat(member, at)
 
 
-def signatures(hashes: np.ndarray) -> tuple[np.ndarray, bool]:
-    """Signatures of a set, and whether its own filling breaks the guarantee."""
+def is_common(hashes: np.ndarray, common: np.ndarray) -> np.ndarray:
+    """Which hashes are in the sorted list ``common``."""
+    if not len(common):
+        return np.zeros(len(hashes), bool)
+    return common[np.minimum(np.searchsorted(common, hashes), len(common) - 1)] == hashes
+
+
+def signatures(hashes: np.ndarray, common: np.ndarray) -> tuple[np.ndarray, bool]:
+    """Signatures of a set, and whether it fills too few cells to rely on them alone."""
     size, out, unsafe = len(hashes), [], False
+    plain = hashes[~is_common(hashes, common)]
     for band in _bands(size):
         upper = 1 << band
         tag = np.uint64(band << 48)
@@ -105,9 +120,10 @@ def signatures(hashes: np.ndarray) -> tuple[np.ndarray, bool]:
                 out.append(mix(np.array([x & 0xFFFFFFFFFFFFFFFF for x in sums], np.uint64) + tag + np.uint64(int(c) + 1)))
             continue
         cells = upper // CELL
-        at, total, _ = _cell_contents(hashes, cells, band)
+        at, total = _cell_contents(plain, cells, band)
         kept = at < _cells_emitted(size, cells)
-        unsafe |= int(kept.sum()) <= size // 3
+        if 3 * int(kept.sum()) <= size:
+            unsafe, kept = True, np.ones(len(at), bool)
         out.append(mix(total[kept] + tag + at[kept].astype(np.uint64) + np.uint64(1)))
     return np.unique(np.concatenate(out)), unsafe
 
@@ -128,20 +144,23 @@ def sketch_distance(a: bytes, b: bytes) -> int:
     return int(np.bitwise_count(folded ^ y).sum())
 
 
-def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for whole in batches:
-        for batch in slices(whole, "text"):
-            ids, rows = batch.column(0).to_pylist(), []
-            for doc_id, hashes in zip(ids, shingle_sets(batch.column(1), WORDS), strict=True):
-                if not len(hashes):
-                    rows.append((doc_id, 0, 0, 0, False, b"", []))
-                    continue
-                key = xxhash.xxh3_128_intdigest(hashes.tobytes())
-                sigs, unsafe = signatures(hashes)
-                rows.append((doc_id, len(hashes), _signed(key >> 64), _signed(key & 0xFFFFFFFFFFFFFFFF), unsafe,
-                             parity_sketch(hashes), sigs.view(np.int64)))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _ARROW, strict=True)], names=_NAMES)
+def _features(common):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in slices(whole, "text"):
+                ids, rows = batch.column(0).to_pylist(), []
+                for doc_id, hashes in zip(ids, shingle_sets(batch.column(1), WORDS), strict=True):
+                    if not len(hashes):
+                        rows.append((doc_id, 0, 0, 0, False, b"", []))
+                        continue
+                    key = xxhash.xxh3_128_intdigest(hashes.tobytes())
+                    sigs, unsafe = signatures(hashes, common.value)
+                    rows.append((doc_id, len(hashes), _signed(key >> 64), _signed(key & 0xFFFFFFFFFFFFFFFF), unsafe,
+                                 parity_sketch(hashes), sigs.view(np.int64)))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _ARROW, strict=True)], names=_NAMES)
+
+    return run
 
 
 _NAMES = ["doc_id", "n_shingles", "set_hi", "set_lo", "unsafe", "sketch", "sigs"]
@@ -159,13 +178,26 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["id", "members"])
 
 
-def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for batch in slices(whole, "text"):
-            for doc_id, hashes in zip(batch.column(0).to_pylist(), shingle_sets(batch.column(1), WORDS), strict=True):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(hashes), doc_id, np.int64)), pa.array(np.full(len(hashes), len(hashes), np.int64)),
-                     pa.array(hashes.view(np.int64))], names=["id", "n", "key"])
+            for hashes in shingle_sets(batch.column(0), WORDS):
+                yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64))], names=["key"])
+
+
+def _prefixes(common):
+    """(key, id): the shingles of each set, common ones last, of which any similar set has one."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in slices(whole, "text"):
+                ids = batch.column(0).to_pylist()
+                for doc_id, hashes in zip(ids, shingle_sets(batch.column(1), WORDS), strict=True):
+                    ordered = hashes[np.argsort(is_common(hashes, common.value), kind="stable")]
+                    first = ordered[: len(hashes) + 1 + (-PERCENT * len(hashes) // 100)].view(np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(first), pa.array(np.full(len(first), doc_id, np.int64))], names=["key", "id"])
+
+    return run
 
 
 def _near_by_sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -248,20 +280,22 @@ def _pairs_across(mixed: DataFrame) -> DataFrame:
     return one.join(two, "key").where("a < b and ca != cb").select("a", "b").distinct()
 
 
-def _prefix_rows(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """(key, id): of each set, the rarest shingles (within ``ids``) of which any similar set has one."""
-    members = settle(take_rows(docs, ids, "doc_id").select("doc_id", "text").mapInArrow(_members, "id long, n long, key long"))
-    often = members.groupBy("key").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    known = members.join(often, "key", "left")
-    rank = F.row_number().over(Window.partitionBy("id").orderBy(F.coalesce("df", F.lit(1)), "key"))
-    length = F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1
-    return settle(known.withColumn("rank", rank).where((F.col("rank") <= length) & F.col("df").isNotNull()).select("key", "id"))
+def common_shingles(docs: DataFrame) -> np.ndarray:
+    """Sorted hashes of the shingles frequent in the sample; the count they must
+    reach rises with the sample, so that no more than ``MOST_COMMON`` can."""
+    sample = docs.where(F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(SAMPLE)) == 0)
+    counts = settle(sample.select("text").mapInArrow(_shingles, "key long").groupBy("key").count().where("count >= 4"))
+    rows = counts.agg(F.sum("count")).first()[0] or 0
+    least = max(4, -(-rows // MOST_COMMON))
+    keys = counts.where(F.col("count") >= least).select("key").toArrow().column("key").to_numpy()
+    return np.sort(keys.astype(np.int64).view(np.uint64))
 
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id), one row per row of ``docs`` (doc_id, text, ...)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    found = settle(docs.mapInArrow(_features, FEATURES))
+    common = docs.sparkSession.sparkContext.broadcast(common_shingles(docs))
+    found = settle(docs.mapInArrow(_features(common), FEATURES))
     key = ["set_hi", "set_lo", "n_shingles"]
     groups = found.where("n_shingles > 0").groupBy(*key).agg(F.min("doc_id").alias("rep"))
     member = settle(found.select("doc_id", *key).join(groups, key, "left")
@@ -280,14 +314,10 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     more = _pairs_across(mixed.where(F.col("members") <= PAIR_CAP))
     links = settle(links.unionByName(_linked(node_docs, meta, more)))
 
-    crowd = mixed.where(F.col("members") > PAIR_CAP).select(F.col("id").alias("doc_id"))
-    weak = meta.where("unsafe").select(F.col("n_shingles").alias("m"))
-    if not weak.isEmpty():
-        low, high = weak.agg(F.min("m"), F.max("m")).first()
-        crowd = crowd.unionByName(meta.where(F.col("n_shingles").between(low * 3 // 4, high * 4 // 3 + 1)).select("doc_id"))
-    crowd = settle(crowd.distinct())
+    crowd = settle(mixed.where(F.col("members") > PAIR_CAP).select(F.col("id").alias("doc_id"))
+                   .unionByName(meta.where("unsafe").select("doc_id")).distinct())
     if not crowd.isEmpty():
-        prefix = _prefix_rows(node_docs, crowd)
+        prefix = settle(take_rows(node_docs, crowd, "doc_id").select("doc_id", "text").mapInArrow(_prefixes(common), "key long, id long"))
         shared = settle(_shared(prefix, prefix.where(F.pmod(F.xxhash64("id", F.lit("sample")), F.lit(16)) == 0).select("key")))
         links = settle(links.unionByName(_linked(node_docs, meta, _pairs_with_leader(shared))))
         mixed = _labelled(shared, links)
