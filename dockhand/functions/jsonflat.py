@@ -6,11 +6,14 @@ schemas; no row reaches the driver).  The driver then walks the schema and
 emits one flat ``select``: nested keys are joined with ``sep`` and normalised
 at every level, top-level scalar names are left as they are, lists stay
 lists, an empty object yields no column.  Two paths landing on the same name
-raise (Spark cannot reproduce "later key wins" on a schema).
+raise (Spark cannot reproduce "later key wins" on a schema).  Records that are
+no object (``5``, ``[1]``) take no part in the inference; strict flattening raises on
+them, lenient gives NULLs.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from typing import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -23,17 +26,14 @@ def _identity(name: str) -> str:
     return name
 
 
-def infer_json_schema(df: DataFrame, col: str, fraction: float | None = None,
-                      seed: int = 7) -> T.StructType:
-    """Merged schema of a JSON text column, computed on the executors.
+def _is_object(text: Column) -> Column:
+    return text.rlike(r"^\s*\{")
 
-    ``fraction`` samples the rows for the inference pass only (the flatten
-    itself always reads every row).  Mixed types in one field come back as
-    ``variant``.
-    """
-    src = df.select(F.try_parse_json(F.col(col)).alias("v")).where(F.col("v").isNotNull())
-    if fraction is not None and fraction < 1.0:
-        src = src.sample(fraction=fraction, seed=seed)
+
+def infer_json_schema(df: DataFrame, col: str) -> T.StructType:
+    """Merged schema of a JSON text column's objects, computed on the executors
+    over every row.  Mixed types in one field come back as ``variant``."""
+    src = df.where(_is_object(F.col(col))).select(F.try_parse_json(F.col(col)).alias("v")).where(F.col("v").isNotNull())
     ddl = src.agg(F.schema_of_variant_agg("v").alias("s")).first()["s"]
     if ddl is None or not ddl.startswith("OBJECT<"):
         return T.StructType([])
@@ -44,47 +44,66 @@ def infer_json_schema(df: DataFrame, col: str, fraction: float | None = None,
     return probe.schema["x"].dataType
 
 
+def leaf_paths(schema: T.StructType) -> Iterator[tuple[tuple[int, ...], tuple[str, ...], T.DataType]]:
+    """(positions, names, type) of every leaf of a schema; an empty object has none."""
+    todo = [((k,), (f.name,), f.dataType) for k, f in reversed(list(enumerate(schema.fields)))]
+    while todo:
+        at, names, kind = todo.pop()
+        if isinstance(kind, T.StructType):
+            todo += [((*at, k), (*names, f.name), f.dataType) for k, f in reversed(list(enumerate(kind.fields)))]
+        else:
+            yield at, names, kind
+
+
+def column_name(path: tuple[str, ...], col_normalize: Callable[[str], str], sep: str) -> str:
+    """Name of a leaf: its keys joined by ``sep``; from the second level on, the
+    name so far and the next key are normalised before they are joined."""
+    name = path[0]
+    for key in path[1:]:
+        name = f"{col_normalize(name)}{sep}{col_normalize(key)}"
+    return name
+
+
+def _by_position(schema: T.StructType) -> T.StructType:
+    """The same structs with fields named by position, so that keys which differ only in case stay apart."""
+    return T.StructType([T.StructField(f"f{k}", _by_position(f.dataType) if isinstance(f.dataType, T.StructType) else f.dataType)
+                         for k, f in enumerate(schema.fields)])
+
+
 def flat_columns(schema: T.StructType, root: Column,
                  col_normalize: Callable[[str], str] = _identity, sep: str = "_") -> list[Column]:
-    """Projection list flattening ``root`` (a struct column of ``schema``)."""
+    """Projection list flattening ``root`` (a struct column of ``schema``, fields named by position)."""
     out: dict[str, Column] = {}
-
-    def leaf(v: Column, dt: T.DataType) -> Column:
-        if isinstance(dt, T.VariantType):
-            # mixed types in one field: keep the text of the value
-            return F.try_variant_get(v, "$", "string")
-        return v
-
-    def walk(key: str, v: Column, dt: T.DataType) -> None:
-        if not isinstance(dt, T.StructType):
-            if key in out:
-                raise ValueError(f"flattened name clash on {key!r}")
-            out[key] = leaf(v, dt).alias(key)
-            return
-        for f in dt.fields:
-            walk(sep.join([col_normalize(key), col_normalize(f.name)]), v[f.name], f.dataType)
-
-    for f in schema.fields:
-        walk(f.name, root[f.name], f.dataType)
+    for at, names, kind in leaf_paths(schema):
+        name = column_name(names, col_normalize, sep)
+        if name in out:
+            raise ValueError(f"flattened name clash on {name!r}")
+        value = root
+        for k in at:
+            value = value.getField(f"f{k}")
+        # mixed types in one field: keep the text of the value
+        out[name] = (F.try_variant_get(value, "$", "string") if isinstance(kind, T.VariantType) else value).alias(name)
     return list(out.values())
 
 
 def json_flatten(df: DataFrame, col: str, schema: T.StructType | None = None,
                  col_normalize: Callable[[str], str] | None = None, sep: str = "_",
-                 keep: list[str] | None = None, strict: bool = False,
-                 infer_fraction: float | None = None) -> DataFrame:
+                 keep: list[str] | None = None, strict: bool = False) -> DataFrame:
     """Flatten a JSON text column into columns (plus the ``keep`` columns).
 
     ``col_normalize`` (identity by default; ``snake_case_name`` is the usual
-    choice) is applied to every nested path at every level.
+    choice) is applied to every nested path at every level.  Without a
+    ``schema`` the column is parsed twice, once to infer it: give one when it is known.
 
-    ``strict`` raises on invalid JSON (the reference's behaviour); otherwise
-    invalid text gives NULL in every flattened column.
+    ``strict`` raises on text that is no JSON object (the reference's
+    behaviour); otherwise such text gives NULL in every flattened column.
     """
     if schema is None:
-        schema = infer_json_schema(df, col, infer_fraction)
-    opts = {"mode": "FAILFAST"} if strict else {"mode": "PERMISSIVE"}
-    parsed = F.from_json(F.col(col), schema, opts)
+        schema = infer_json_schema(df, col)
+    text = F.col(col)
+    parsed = F.from_json(text, schema, {"mode": "FAILFAST" if strict else "PERMISSIVE"})
+    other = F.raise_error(F.concat(F.lit("not a JSON object: "), text)).cast(schema) if strict else F.lit(None).cast(schema)
+    parsed = F.when(text.isNull() | _is_object(text), parsed).otherwise(other).cast(_by_position(schema))
     cols = flat_columns(schema, F.col("__js"), col_normalize or _identity, sep)
     base = [F.col(f"`{k}`") for k in (keep or [])]
     return df.select(*base, parsed.alias("__js")).select(*base, *cols)

@@ -21,6 +21,8 @@ ISO_PATTERNS = (
     "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]XXX",
     "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]XX",
 )
+_OFFSET = r"(Z|[+-]([01][0-9]):?[0-5][0-9])$"
+_ISO_TEXT = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]{1,6})?" + _OFFSET
 # Output layouts used by the date helpers.
 DATE_TEXT = "yyyy-MM-dd"
 COMPACT_TS = "yyyyMMdd'T'HHmmss"
@@ -35,6 +37,11 @@ def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def ntz_text(ts: Column) -> Column:
+    """ISO text of a ``timestamp_ntz``, without passing through any zone."""
+    return F.translate(ts.cast("string"), " ", "T")
+
+
 def iso_instant(s: Column | str, strict: bool = False) -> Column:
     """ISO text with offset -> instant (``timestamp``).
 
@@ -63,14 +70,12 @@ def utc_wall_clock(s: Column | str, strict: bool = False) -> Column:
 def iso_wall_clock(s: Column | str, strict: bool = False) -> Column:
     """F2 core: the wall clock as written in the text (offset dropped)."""
     s = _c(s)
-    branches = None
-    for p in ISO_PATTERNS:
-        ok = F.try_to_timestamp(s, F.lit(p)).isNotNull()
-        val = F.to_timestamp_ntz(s, F.lit(p))  # evaluated only when ``ok``
-        branches = F.when(ok, val) if branches is None else branches.when(ok, val)
-    tail = (F.raise_error(F.concat(F.lit("unparseable ISO timestamp: "), s)).cast("timestamp_ntz")
-            if strict else F.lit(None).cast("timestamp_ntz"))
-    return F.when(s.isNull(), F.lit(None).cast("timestamp_ntz")).otherwise(branches.otherwise(tail))
+    # one layout check, then one cast of the part without the offset
+    wall = F.when(s.rlike(_ISO_TEXT), F.regexp_replace(s, _OFFSET, "").try_cast("timestamp_ntz"))
+    if not strict:
+        return wall
+    return F.when(s.isNull() | wall.isNotNull(), wall).otherwise(
+        F.raise_error(F.concat(F.lit("unparseable ISO timestamp: "), s)).cast("timestamp_ntz"))
 
 
 def wall_clock_parts(wall: Column | str) -> list[Column]:

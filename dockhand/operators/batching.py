@@ -7,6 +7,8 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from dockhand.session import cut_lineage
+
 _LOCAL_BITS = 33  # monotonically_increasing_id: partition index << 33 | row in partition
 
 
@@ -15,11 +17,11 @@ def global_row_index(df: DataFrame, order_by: Sequence[str | Column],
     """0-based position of every row in ``order_by`` order, without one-task windows.
 
     1. range-partition and sort within partitions (Spark samples the bounds);
-    2. ``monotonically_increasing_id`` gives (partition, local position);
-    3. rows per partition from ``spark_partition_id`` over the same range
-       shuffle (reused, not recomputed): one small row per partition, a
-       broadcast whose size is bounded by the partition count;
-    4. prefix sums of those counts give each partition's offset.
+       ``monotonically_increasing_id`` gives (partition, local position);
+    2. write that once to the shared folder: the counts and the rows come from
+       the same copy, whatever Spark would reuse or recompute;
+    3. prefix sums of the rows per partition (one small row each, a broadcast
+       whose size is bounded by the partition count) give the offsets.
 
     Ties in ``order_by`` are broken by the other columns, so the numbering
     is stable and a hot value is split across range partitions instead of
@@ -33,20 +35,17 @@ def global_row_index(df: DataFrame, order_by: Sequence[str | Column],
     # and a value shared by a third of the rows still spreads over many ranges
     cols = [F.col(f"`{o}`") if isinstance(o, str) else o for o in order_by] + tie_breakers(
         df, [c for c in df.columns if c not in named])
-    ranged = df.repartitionByRange(n, *cols)
-    # counting needs no order: the count branch reads the same (reused)
-    # range shuffle without the local sort; at most n rows come out
-    counts = ranged.groupBy(F.spark_partition_id().alias("__part")).agg(F.count(F.lit(1)).alias("__cnt"))
-    ranged = ranged.sortWithinPartitions(*cols).withColumn("__mid", F.monotonically_increasing_id())
-    ranged = ranged.withColumn("__part", F.shiftright(F.col("__mid"), _LOCAL_BITS)).withColumn(
-        "__local", F.col("__mid").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1)))
+    ranged = df.repartitionByRange(n, *cols).sortWithinPartitions(*cols).withColumn("__mid", F.monotonically_increasing_id())
+    ranged = cut_lineage(ranged.withColumn("__part", F.shiftright(F.col("__mid"), _LOCAL_BITS)).withColumn(
+        "__local", F.col("__mid").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1))).drop("__mid"))
+    counts = ranged.groupBy("__part").agg(F.count(F.lit(1)).alias("__cnt"))
     offsets = counts.select(
         "__part",
         (F.sum("__cnt").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1))
          ).alias("__off"))
     out = ranged.join(F.broadcast(offsets), "__part", "left")
     return out.withColumn("row_index", F.coalesce(F.col("__off"), F.lit(0)) + F.col("__local")).drop(
-        "__mid", "__part", "__local", "__off")
+        "__part", "__local", "__off")
 
 
 def fixed_size_batches(df: DataFrame, size: int, order_by: Sequence[str | Column],

@@ -12,25 +12,31 @@ from __future__ import annotations
 import datetime as dt
 from typing import Any, Callable, Iterable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-# Chunk granularities and their length.
-GRANULARITY = {
-    "hour": dt.timedelta(hours=1),
-    "day": dt.timedelta(days=1),
-    "week": dt.timedelta(weeks=1),
-}
-SEGMENT_TS = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
-# Interval lists longer than this are joined instead of inlined as predicates.
-INLINE_LIMIT = 256
+from dockhand.functions.timefmt import ntz_text
+
+# Chunk granularities.
+GRANULARITIES = ("hour", "day", "week")
+# Widest expansion of an interval list: about this many (bucket, piece) rows.
+BUCKETS = 100_000
 
 
 def chunk_start(ts: Column | str, granularity: str = "day") -> Column:
-    """Start of the chunk holding ``ts`` (``timestamp_ntz``, UTC wall clock)."""
-    c = F.col(ts) if isinstance(ts, str) else ts
-    return F.date_trunc(granularity, c.cast("timestamp_ntz")).cast("timestamp_ntz")
+    """Start of the chunk holding ``ts`` (``timestamp_ntz``, UTC wall clock).
+
+    ``date_trunc`` would pass through the session's zone (and move hours that a
+    daylight-saving change skips); dates and intervals of a ``timestamp_ntz`` do not.
+    """
+    if granularity not in GRANULARITIES:
+        raise ValueError(f"unsupported granularity {granularity!r}; use one of {GRANULARITIES}")
+    c = (F.col(ts) if isinstance(ts, str) else ts).cast("timestamp_ntz")
+    day = c.cast("date")
+    if granularity == "week":
+        day = F.trunc(day, "week")
+    start = day.cast("timestamp_ntz")
+    return start + F.make_dt_interval(F.lit(0), F.hour(c)) if granularity == "hour" else start
 
 
 def chunk_end(start: Column, granularity: str = "day") -> Column:
@@ -39,7 +45,8 @@ def chunk_end(start: Column, granularity: str = "day") -> Column:
 
 
 def segment_id(datasource: str, start: Column, end: Column) -> Column:
-    return F.concat_ws("_", F.lit(datasource), F.date_format(start, SEGMENT_TS), F.date_format(end, SEGMENT_TS))
+    bound = lambda t: F.concat(ntz_text(t), F.lit(".000Z"))
+    return F.concat_ws("_", F.lit(datasource), bound(start), bound(end))
 
 
 def with_chunk(df: DataFrame, ts_col: str, granularity: str = "day", name: str = "chunk_start") -> DataFrame:
@@ -99,48 +106,53 @@ def ntz_literal(v: dt.datetime) -> Column:
     return F.lit(v.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
-def _inside_any(start: Column, end: Column, ivs: Sequence[tuple[dt.datetime, dt.datetime]]) -> Column:
-    cond = F.lit(False)
-    for a, b in ivs:
-        cond = cond | ((start >= ntz_literal(a)) & (end <= ntz_literal(b)))
-    return cond
+def _bucket(ts: Column, width_days: int) -> Column:
+    since_epoch = ts - F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.floor(F.extract(F.lit("DAY"), since_epoch) / F.lit(width_days))
+
 
+def _latest_until(intervals: Sequence[tuple[dt.datetime, dt.datetime]]) -> list[tuple]:
+    """(lo, hi, until) pieces, disjoint: for a chunk that starts in [lo, hi), the
+    latest ``until`` of the intervals that began by then.  The chunk lies wholly
+    inside one of the intervals exactly if it ends by that."""
+    pieces, latest = [], dt.datetime.min
+    ordered = sorted(intervals)
+    for k, (since, until) in enumerate(ordered):
+        latest = max(latest, until)
+        following = ordered[k + 1][0] if k + 1 < len(ordered) else latest
+        hi = min(following, latest)
+        if since < hi:
+            pieces.append((since, hi, latest))
+    return pieces
 
-def retire_by_interval(segments: DataFrame, intervals, granularity: str = "day") -> DataFrame:
-    """Mark unused every chunk lying wholly inside one of the intervals."""
-    ivs = normalize_intervals(intervals)
-    if not ivs:
+
+def retire_by_interval(segments: DataFrame, intervals) -> DataFrame:
+    """Mark unused every chunk lying wholly inside one of the intervals.
+
+    Only the segment's own bounds count, whatever its length.  Intervals become
+    disjoint pieces of the time line, met with the chunk starts by an equi-join
+    on a time bucket (whose width grows with the span of the intervals, so
+    that the expansion stays bounded); each chunk meets one piece at most.
+    """
+    pieces = _latest_until(normalize_intervals(intervals))
+    if not pieces:
         return segments
-    if len(ivs) <= INLINE_LIMIT:
-        hit = _inside_any(F.col("chunk_start"), F.col("chunk_end"), ivs)
-        return segments.withColumn("used", F.col("used") & ~hit)
-    # Long lists: expand each interval to the chunk starts it holds wholly
-    # and anti-match on the chunk start (an equi-join; no nested loop).
-    spark = segments.sparkSession
-    step = GRANULARITY[granularity]
-    iv = spark.createDataFrame([(a, b) for a, b in ivs], "since timestamp_ntz, until timestamp_ntz")
-    first = F.date_trunc(granularity, F.col("since")).cast("timestamp_ntz")
-    first = F.when(first < F.col("since"), chunk_end(first, granularity)).otherwise(first)
-    last = F.col("until") - F.make_dt_interval(F.lit(step.days), F.lit(step.seconds // 3600))
-    step_iv = F.make_dt_interval(F.lit(step.days), F.lit(step.seconds // 3600))
-    # an interval shorter than one chunk holds none (sequence() would refuse it)
-    starts = F.when(first <= last, F.sequence(first, last, step_iv))
-    covered = (iv.select(F.explode(starts).alias("chunk_start"))
-               .distinct().withColumn("__hit", F.lit(True)))
-    j = segments.join(covered, "chunk_start", "left")
-    return j.withColumn("used", F.col("used") & F.col("__hit").isNull()).drop("__hit").select(*segments.columns)
+    span = sum((hi - lo for lo, hi, _ in pieces), dt.timedelta()).days
+    width = 1 + span // BUCKETS
+    listed = segments.sparkSession.createDataFrame(pieces, "__lo timestamp_ntz, __hi timestamp_ntz, __until timestamp_ntz")
+    listed = listed.withColumn("__bucket", F.explode(F.sequence(_bucket(F.col("__lo"), width), _bucket(F.col("__hi"), width))))
+    started = ((_bucket(F.col("chunk_start"), width) == F.col("__bucket"))
+               & (F.col("chunk_start") >= F.col("__lo")) & (F.col("chunk_start") < F.col("__hi")))
+    inside = F.coalesce(F.col("chunk_end") <= F.col("__until"), F.lit(False))
+    return (segments.join(listed, started, "left")
+            .withColumn("used", F.col("used") & ~inside).select(*segments.columns))
 
 
 def retire_by_ids(segments: DataFrame, ids: Iterable[str]) -> DataFrame:
-    """Mark unused the listed segment ids."""
-    ids = list(ids)
-    if not ids:
-        return segments
-    if len(ids) <= 10_000:
-        return segments.withColumn("used", F.col("used") & ~F.col("segment_id").isin(ids))
-    spark = segments.sparkSession
-    idf = spark.createDataFrame([(i,) for i in ids], "segment_id string").distinct().withColumn("__hit", F.lit(True))
-    return (segments.join(idf, "segment_id", "left")
+    """Mark unused the listed segment ids (a segment without an id stays as it is)."""
+    listed = (segments.sparkSession.createDataFrame([(i,) for i in ids], "segment_id string")
+              .where("segment_id is not null").distinct().withColumn("__hit", F.lit(True)))
+    return (segments.join(listed, "segment_id", "left")
             .withColumn("used", F.col("used") & F.col("__hit").isNull()).drop("__hit").select(*segments.columns))
 
 
@@ -149,21 +161,19 @@ def retire(segments: DataFrame, *, since=None, until=None,
            interval_generator_kwargs: Mapping[str, Any] | None = None,
            segment_ids: Iterable[str] | None = None,
            segment_ids_generator: Callable[..., Iterable[str]] | None = None,
-           segment_ids_generator_kwargs: Mapping[str, Any] | None = None,
-           granularity: str = "day") -> DataFrame:
-    """W15/W16 entry point: an interval generator beats explicit ``since``/
-    ``until``; either beats segment ids (or their generator); none is an error.
-    """
-    if interval_generator is not None or (since is not None and until is not None):
-        intervals = (interval_generator(**(interval_generator_kwargs or {}))
-                     if interval_generator is not None else (since, until))
-        if not isinstance(intervals, (list, tuple)):
-            raise TypeError("intervals must be (since, until) or a list of such pairs")
-        return retire_by_interval(segments, intervals, granularity)
-    if segment_ids is None and segment_ids_generator is None:
+           segment_ids_generator_kwargs: Mapping[str, Any] | None = None) -> DataFrame:
+    """W15/W16 entry point: retire by the first selector given, in the order
+    interval generator, bounds, ids, id generator; without any it raises."""
+    selectors = (
+        (interval_generator, lambda: retire_by_interval(segments, interval_generator(**(interval_generator_kwargs or {})))),
+        (None if since is None or until is None else (since, until), lambda: retire_by_interval(segments, (since, until))),
+        (segment_ids, lambda: retire_by_ids(segments, segment_ids)),
+        (segment_ids_generator, lambda: retire_by_ids(segments, segment_ids_generator(**(segment_ids_generator_kwargs or {})))),
+    )
+    chosen = next((run for selector, run in selectors if selector is not None), None)
+    if chosen is None:
         raise ValueError("give since and until, an interval generator, segment ids or an id generator")
-    ids = segment_ids if segment_ids is not None else segment_ids_generator(**(segment_ids_generator_kwargs or {}))
-    return retire_by_ids(segments, ids)
+    return chosen()
 
 
 def read_used(df: DataFrame, segments: DataFrame, ts_col: str, granularity: str = "day") -> DataFrame:
@@ -175,15 +185,3 @@ def read_used(df: DataFrame, segments: DataFrame, ts_col: str, granularity: str
 def truncate(df: DataFrame) -> DataFrame:
     """No rows, same schema."""
     return df.sparkSession.createDataFrame([], df.schema)
-
-
-def segments_schema() -> T.StructType:
-    return T.StructType([
-        T.StructField("segment_id", T.StringType()), T.StructField("chunk_start", T.TimestampNTZType()),
-        T.StructField("chunk_end", T.TimestampNTZType()), T.StructField("n_rows", T.LongType()),
-        T.StructField("min_ts", T.TimestampNTZType()), T.StructField("max_ts", T.TimestampNTZType()),
-        T.StructField("used", T.BooleanType())])
-
-
-def empty_segments(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], segments_schema())

@@ -27,14 +27,21 @@ def tie_breakers(df: DataFrame, columns: Sequence[str]) -> list[Column]:
 def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column]) -> DataFrame:
     """Keep, per key, the row that sorts last by ``order_by`` (later write wins).
 
-    ``groupBy + max_by(struct)`` is a partial aggregate: each task reduces its
-    share of a key before the shuffle, so a key holding a third of the rows
-    costs one row per task, not one giant group.  ``order_by`` must order the
-    rows of a key totally, or the winner among ties is arbitrary.
+    One ``max`` of a struct that starts with the order: a partial aggregate, so a
+    key holding a third of the rows costs one row per task, not one giant
+    group, and each column travels once.  The other columns break ties; columns without an
+    order (maps, variants) cannot, and are carried by ``max_by``.
     """
     keys = list(keys)
     rest = [c for c in df.columns if c not in keys]
-    order = F.struct(*[F.col(f"`{o}`") if isinstance(o, str) else o for o in order_by],
-                     *tie_breakers(df, [c for c in rest if c not in set(o for o in order_by if isinstance(o, str))]))
-    red = df.groupBy(*keys).agg(F.max_by(F.struct(*[F.col(f"`{c}`") for c in rest]), order).alias("__r"))
-    return red.select(*[F.col(f"`{k}`") for k in keys], *[F.col("__r").getField(c).alias(c) for c in rest])
+    named = [o for o in order_by if isinstance(o, str) and o in rest]
+    lead = [F.col(f"`{o}`").alias(o if o in named else f"__o{i}") if isinstance(o, str) else o.alias(f"__o{i}")
+            for i, o in enumerate(order_by)]
+    order = F.struct(*lead, *tie_breakers(df, [c for c in rest if c not in named]))
+    loose = [c for c in rest if not _orderable(df.schema[c].dataType)]
+    aggs = [F.max(order).alias("__r")]
+    if loose:
+        aggs.append(F.max_by(F.struct(*[F.col(f"`{c}`") for c in loose]), order).alias("__l"))
+    red = df.groupBy(*keys).agg(*aggs)
+    return red.select(*[F.col(f"`{k}`") for k in keys],
+                      *[F.col("__l" if c in loose else "__r").getField(c).alias(c) for c in rest])

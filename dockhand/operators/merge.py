@@ -1,8 +1,10 @@
 """Loads as next-snapshot functions.
 
-Plain Spark tables have no MERGE or DELETE, so every load here is a pure
+Plain Spark tables have no MERGE or DELETE, so every load here is a
 function ``(target, incoming) -> next target``; ``dockhand.sinks`` publishes
-the result (a new location, or only the touched partitions).
+the result (a new location, or only the touched partitions).  Building a keyed
+load runs jobs: the reduced incoming rows are written to the shared folder and
+measured before the plan is returned.  ``session.clear_scratch`` drops those copies once published.
 
 Semantics held (row-by-row INSERT ... ON CONFLICT applied in order):
 
@@ -18,7 +20,7 @@ Scale: incoming is reduced per key with partial aggregation (map-side
 combine, so a key holding a third of the rows is pre-reduced before the
 shuffle).  Then a size check on the reduced side picks the join:
 
-* small (at most ``broadcast_rows`` rows and ``BROADCAST_BYTES`` estimated):
+* small (at most ``broadcast_rows`` rows and ``BROADCAST_BYTES`` measured):
   it is broadcast and the target streams through a broadcast hash join, so
   the (huge) target is never shuffled; new keys are found by a second,
   key-columns-only scan of the target;
@@ -37,6 +39,7 @@ from typing import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from dockhand.session import cut_lineage
 
@@ -55,10 +58,6 @@ def _keys_null(keys: Sequence[str]) -> Column:
     return cond
 
 
-def _order_struct(order_by: Sequence[str | Column]) -> Column:
-    return F.struct(*[_q(o) if isinstance(o, str) else o for o in order_by])
-
-
 def _check_unique(df: DataFrame, what: str) -> DataFrame:
     """Fail the job if a reduced key came from more than one row."""
     msg = F.lit(f"{what}: duplicate keys in incoming rows; pass order_by to resolve them")
@@ -71,46 +70,55 @@ BROADCAST_BYTES = 256 * 1024 * 1024
 BROADCAST_ROWS_CONF = "dockhand.merge.broadcastRows"
 
 
-def _row_bytes(df: DataFrame) -> int:
-    """Rough width of a row, for the byte side of the broadcast bound."""
-    from pyspark.sql import types as T
-    size = 0
-    for f in df.schema.fields:
-        dtype = f.dataType
-        if isinstance(dtype, (T.StringType, T.BinaryType, T.ArrayType, T.MapType, T.StructType, T.VariantType)):
-            size += 64
-        elif isinstance(dtype, T.DecimalType):
-            size += 16
-        else:
-            size += 8
-    return max(size, 8)
+def _value_bytes(f: T.StructField) -> Column:
+    """Bytes of one value: measured for types of any width."""
+    c = _q(f.name)
+    if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+        width = F.octet_length(c)
+    elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType)):
+        width = F.octet_length(F.to_json(F.struct(c)))
+    else:
+        return F.lit(16 if isinstance(f.dataType, T.DecimalType) else 8).cast("long")
+    return F.coalesce(width, F.lit(0)).cast("long") + 8
 
 
-def broadcast_limit(df: DataFrame, broadcast_rows: int | None = None) -> int:
-    """Row bound for broadcasting ``df``: rows setting, capped by the byte budget."""
-    rows = broadcast_rows
-    if rows is None:
-        rows = int(df.sparkSession.conf.get(BROADCAST_ROWS_CONF, str(BROADCAST_ROWS)))
-    return max(0, min(rows, BROADCAST_BYTES // _row_bytes(df)))
+def measured_size(df: DataFrame) -> tuple[int, int]:
+    """Rows and bytes of a (staged) frame, in one job."""
+    width = F.lit(16).cast("long")
+    for f in df.schema.fields:
+        width = width + _value_bytes(f)
+    row = df.agg(F.count(F.lit(1)).alias("rows"), F.sum(width).alias("bytes")).first()
+    return row["rows"], row["bytes"] or 0
 
 
 def fits_broadcast(df: DataFrame, broadcast_rows: int | None = None) -> bool:
-    """Size check before a broadcast: counts at most ``limit + 1`` rows."""
-    limit = broadcast_limit(df, broadcast_rows)
-    return limit > 0 and df.limit(limit + 1).count() <= limit
+    """Size check before a broadcast: rows against the setting, measured bytes against the budget."""
+    limit = broadcast_rows
+    if limit is None:
+        limit = int(df.sparkSession.conf.get(BROADCAST_ROWS_CONF, str(BROADCAST_ROWS)))
+    if limit <= 0:
+        return False
+    rows, size = measured_size(df)
+    return rows <= limit and size <= BROADCAST_BYTES
 
 
 def _stage(reduced: DataFrame, broadcast_rows: int | None) -> tuple[DataFrame, bool]:
     """Write the reduced incoming rows once to the shared folder, then size them.
 
-    Every later use reads this one snapshot: the incoming query runs once,
+    Every later use reads this one snapshot: the incoming query runs once, and
     a non-repeatable source cannot disagree with itself between the join
-    branches, and the size check is a cheap count of staged rows.
+    branches.
     """
     staged = cut_lineage(reduced)
     return staged, fits_broadcast(staged, broadcast_rows)
 
 
+def _is_scan(df: DataFrame) -> bool:
+    """True when reading the frame twice costs two (pruned) scans and nothing more."""
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return not any(word in plan for word in ("Aggregate", "Join", "Window", "Sort", "Generate", "Repartition", "MapIn"))
+
+
 def _split(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     nulls = _keys_null(keys)
     return df.where(~nulls), df.where(nulls)
@@ -132,6 +140,21 @@ def _check_columns(target: DataFrame, incoming: DataFrame, keys: Sequence[str],
         raise KeyError(f"key columns missing: {missing}")
 
 
+def _resolved(names: Mapping[str, object] | Sequence[str], target: DataFrame, keys: Sequence[str], what: str) -> dict[str, str]:
+    """Given name -> target column, by the session's case rule; unknown names and keys raise."""
+    exact = target.sparkSession.conf.get("spark.sql.caseSensitive", "false").lower() == "true"
+    fold = (lambda n: n) if exact else str.lower
+    have = {fold(c): c for c in target.columns}
+    out = {n: have.get(fold(n)) for n in names}
+    unknown = [n for n, c in out.items() if c is None]
+    if unknown:
+        raise KeyError(f"{what}: columns not in target: {unknown}")
+    held = {fold(k) for k in keys}
+    if any(fold(c) in held for c in out.values()):
+        raise KeyError(f"{what}: key columns cannot be updated: {[n for n, c in out.items() if fold(c) in held]}")
+    return out
+
+
 _ORD = "__ord"
 
 
@@ -143,14 +166,8 @@ def _as_target(df: DataFrame, target: DataFrame,
     columns the target lacks) and carried as one struct column.
     """
     from dockhand.operators.conform import _strict_cast
-    from dockhand.operators.keyed import tie_breakers
+    from dockhand.operators.keyed import _orderable
     cols = []
-    if order_by:
-        # the caller's order first, then the other columns as tie-breakers:
-        # the chosen first/last row is the same on every (re)computation
-        named = _order_names(order_by)
-        extra = tie_breakers(df, [c for c in df.columns if c not in named and c in target.columns])
-        cols.append(F.struct(*[_q(o) if isinstance(o, str) else o for o in order_by], *extra).alias(_ORD))
     for f in target.schema.fields:
         if f.name in df.columns:
             src = df.schema[f.name].dataType
@@ -160,9 +177,25 @@ def _as_target(df: DataFrame, target: DataFrame,
             cols.append(c.alias(f.name))
         else:
             cols.append(F.lit(None).cast(f.dataType).alias(f.name))
+    if order_by:
+        # the caller's order first, then the shaped columns as tie-breakers: the
+        # chosen first/last row is the same on every (re)computation, and the
+        # least or greatest order struct holds that row's values (see _pick)
+        lead = [(_q(o) if isinstance(o, str) else o).alias(f"__o{i}") for i, o in enumerate(order_by)]
+        fill = [c for f, c in zip(target.schema.fields, cols) if _orderable(f.dataType)]
+        cols.append(F.struct(*lead, *fill).alias(_ORD))
     return df.select(*cols)
 
 
+def _pick(df: DataFrame, column: str, last: bool) -> Column:
+    """Aggregate: a column's value in the first or last row by ``__ord``.  All such
+    columns share one min or max of the order struct; only columns without an
+    order of their own (maps, variants) need a ``min_by``/``max_by``."""
+    if column in df.schema[_ORD].dataType.names:
+        return (F.max if last else F.min)(_ORD).getField(column)
+    return (F.max_by if last else F.min_by)(_q(column), F.col(_ORD))
+
+
 def append_load(target: DataFrame, incoming: DataFrame, by_name: bool = True) -> DataFrame:
     """Plain append, shaped like the target.
 
@@ -183,12 +216,13 @@ def append_load(target: DataFrame, incoming: DataFrame, by_name: bool = True) ->
 def first_per_key(incoming: DataFrame, keys: Sequence[str], ordered: bool, what: str) -> DataFrame:
     """One row per (non-NULL) key: the first by ``__ord``; unique otherwise."""
     rest = [c for c in incoming.columns if c not in keys and c != _ORD]
-    row = F.struct(*[_q(c) for c in rest])
+    if ordered and rest:
+        return incoming.groupBy(*keys).agg(*[_pick(incoming, c, last=False).alias(c) for c in rest])
     if ordered:
-        out = incoming.groupBy(*keys).agg(F.min_by(row, F.col(_ORD)).alias("__r"))
-    else:
-        out = _check_unique(incoming.groupBy(*keys).agg(
-            F.any_value(row).alias("__r"), F.count(F.lit(1)).alias(_N)), what)
+        return incoming.select(*keys).distinct()
+    row = F.struct(*[_q(c) for c in rest])
+    out = _check_unique(incoming.groupBy(*keys).agg(
+        F.any_value(row).alias("__r"), F.count(F.lit(1)).alias(_N)), what)
     return out.select(*[_q(k) for k in keys], *[F.col("__r").getField(c).alias(c) for c in rest])
 
 
@@ -246,6 +280,8 @@ def _merge(target: DataFrame, reduced: DataFrame, keys: Sequence[str],
     keys = list(keys)
     in_t, in_s = F.col(_T).isNotNull(), F.col(_S).isNotNull()
     reduced, small = _stage(reduced, broadcast_rows)
+    if not _is_scan(target):
+        target = cut_lineage(target)  # read twice below: a target that is more than a scan is computed once
     if small:
         # the target streams through a broadcast join: no shuffle, and NULL
         # keys simply find no match (they stay as they are)
@@ -279,16 +315,16 @@ def upsert_update(target: DataFrame, incoming: DataFrame, keys: Sequence[str],
 
     Unlisted columns keep the target's value; new keys are inserted whole.
     """
-    keys, listed = list(keys), list(update_columns)
-    if not listed:
+    keys = list(keys)
+    if not update_columns:
         return upsert_ignore(target, incoming, keys, order_by, broadcast_rows)
     _check_columns(target, incoming, keys, order_by)
+    listed = list(_resolved(list(update_columns), target, keys, "update_columns").values())
     inc = _as_target(incoming, target, order_by)
     s_nn, s_null = _split(inc, keys)
     rest = _payload(inc, keys)
     if order_by:
-        o = F.col(_ORD)
-        specs = {c: (F.max_by(_q(c), o) if c in listed else F.min_by(_q(c), o)) for c in rest}
+        specs = {c: _pick(inc, c, last=c in listed) for c in rest}
     else:
         specs = {c: F.any_value(_q(c), ignoreNulls=False) for c in rest}
     red = _reduce(s_nn, keys, specs, check_unique=not order_by, what="upsert_update")
@@ -308,12 +344,13 @@ def upsert_expr(target: DataFrame, incoming: DataFrame, keys: Sequence[str],
     if not rules:
         raise ValueError("upsert_expr needs a conflict rule (the ON CONFLICT text)")
     _check_columns(target, incoming, keys)
+    names = _resolved(rules, target, keys, "rules")
     inc = _as_target(incoming, target)
     s_nn, s_null = _split(inc, keys)
     rest = _payload(inc, keys)
     red = _reduce(s_nn, keys, {c: F.any_value(_q(c), ignoreNulls=False) for c in rest},
                   check_unique=True, what="upsert_expr")
-    matched = {c: (F.expr(r) if isinstance(r, str) else r) for c, r in rules.items()}
+    matched = {names[c]: (F.expr(r) if isinstance(r, str) else r) for c, r in rules.items()}
     inserted = {c: F.col(f"s.`{c}`") for c in rest}
     return _merge(target, red, keys, matched, inserted, broadcast_rows).unionByName(s_null)
 
@@ -335,11 +372,14 @@ def upsert_accumulate(target: DataFrame, incoming: DataFrame, keys: Sequence[str
     target's value where the incoming one is NULL; unlisted keep the target.
     Only ``sum`` is order-free; the others need ``order_by`` under duplicates.
     """
+    from dockhand.operators.keyed import _orderable
     keys = list(keys)
     bad = {c: p for c, p in policies.items() if p not in POLICIES}
     if bad:
         raise ValueError(f"unknown policies {bad}; use one of {POLICIES}")
     _check_columns(target, incoming, keys, order_by)
+    names = _resolved(policies, target, keys, "policies")
+    policies = {names[c]: p for c, p in policies.items()}
     inc = _as_target(incoming, target, order_by)
     s_nn, s_null = _split(inc, keys)
     rest = _payload(inc, keys)
@@ -356,12 +396,13 @@ def upsert_accumulate(target: DataFrame, incoming: DataFrame, keys: Sequence[str
             specs[c] = F.sum(_q(c))
         elif o is None:
             specs[c] = F.any_value(_q(c), ignoreNulls=False)
-        elif p == "replace":
-            specs[c] = F.max_by(_q(c), o)
         elif p == "coalesce":
-            specs[c] = F.max_by(_q(c), F.when(_q(c).isNotNull(), o))
+            # the order alone, not the whole row, decides among the rows that have a value
+            lead = F.struct(*[o.getField(f"__o{i}") for i in range(len(order_by))], _q(c).alias("v"))
+            specs[c] = (F.max(F.when(_q(c).isNotNull(), lead)).getField("v") if _orderable(inc.schema[c].dataType)
+                        else F.max_by(_q(c), F.when(_q(c).isNotNull(), o)))
         else:
-            specs[c] = F.min_by(_q(c), o)
+            specs[c] = _pick(inc, c, last=p == "replace")
     red = _reduce(s_nn, keys, specs, check_unique=(o is None and not order_free), what="upsert_accumulate")
     matched = {}
     for c, p in policies.items():

@@ -6,10 +6,13 @@ from __future__ import annotations
 import logging
 from typing import Callable, Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from dockhand.session import cut_lineage
+
 log = logging.getLogger(__name__)
 
 
@@ -67,16 +70,18 @@ def count_checks(spark: SparkSession, sql_builder: Callable[[str | None, str, st
 def nonempty_guard(df: DataFrame, what: str = "source", on_empty: str = "fail") -> DataFrame:
     """Q2: fail (or warn) when the frame has no row.
 
-    ``isEmpty`` reads at most one row, so the guard is cheap even on a huge
-    source; the frame is returned unchanged.
+    The frame is staged once in the shared folder and the staged copy is
+    tested and returned, so a query behind it runs once, not once for the
+    guard and once for the load.
     """
     if on_empty not in ("fail", "warn"):
         raise ValueError("on_empty must be 'fail' or 'warn'")
-    if df.isEmpty():
+    staged = cut_lineage(df)
+    if staged.isEmpty():
         if on_empty == "fail":
             raise CheckFailed(f"{what} has no rows")
         log.warning("%s has no rows; nothing to load", what)
-    return df
+    return staged
 
 
 def observed_counts(df: DataFrame, name: str = "rows") -> tuple[DataFrame, Observation]:
@@ -85,6 +90,15 @@ def observed_counts(df: DataFrame, name: str = "rows") -> tuple[DataFrame, Obser
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
 
 
+def wrote_rows(df: DataFrame, obs: Observation) -> bool:
+    """Whether the observed write had rows.  A plan known to be empty is optimised
+    away with its metrics; testing such a frame again costs nothing."""
+    try:
+        return obs.get["rows"] > 0
+    except (KeyError, Py4JJavaError):
+        return not df.isEmpty()
+
+
 def reconcile(source: DataFrame, kept_flag: Column | str) -> DataFrame:
     """Q4: ``(source_rows, parsed_rows, dropped_rows)`` in one aggregate pass."""
     k = F.col(kept_flag) if isinstance(kept_flag, str) else kept_flag
@@ -123,3 +137,9 @@ def script_validator(result: DataFrame, name: str = "script", run_date: str | No
 def table_exists(spark: SparkSession, name: str) -> bool:
     """Q6: the target table exists in the catalog."""
     return spark.catalog.tableExists(name)
+
+
+def require_table(spark: SparkSession, name: str) -> None:
+    """Q6 as a gate: raise when the target table does not exist."""
+    if not table_exists(spark, name):
+        raise CheckFailed(f"target table {name} does not exist")

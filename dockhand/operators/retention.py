@@ -8,19 +8,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Layouts of a dated run id and the scheduled-run prefix.
+from dockhand.functions.timefmt import iso_wall_clock
+
+# Fixed value: the scheduled-run prefix.
 RUN_ID_PREFIX = "run_id=scheduled__"
-DATE_LAYOUTS = ("yyyy-MM-dd'T'HH:mm:ssXXX", "yyyy-MM-dd")
 # Default limits, in days, for system and user classes.
 SYSTEM_RETAIN_DAYS = 3
 USER_RETAIN_DAYS = 15
 
 
 def run_id_date(run_id: Column | str) -> Column:
-    """Date of a scheduled run id; NULL when unreadable."""
+    """Date of a scheduled run id, in the text's own offset (``+07:00`` or
+    ``+0700``) whatever the session's zone; NULL when unreadable."""
     c = F.col(run_id) if isinstance(run_id, str) else run_id
     s = F.regexp_replace(c, "^" + RUN_ID_PREFIX, "")
-    return F.coalesce(*[F.to_date(F.try_to_timestamp(s, F.lit(p))) for p in DATE_LAYOUTS])
+    plain = F.when(s.rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}$"), F.try_to_date(s))
+    return F.coalesce(iso_wall_clock(s).cast("date"), plain)
 
 
 def resolve_run_date(run_date: str | None) -> Column:

@@ -3,18 +3,21 @@
 from __future__ import annotations
 
 from typing import Any, Callable, Mapping, Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dockhand.operators.conform import conform_schema, keep_where_not, nan_to_null, rename_columns
 from dockhand.operators.keyed import latest_per_key
 from dockhand.operators.merge import append_load, upsert_accumulate, upsert_expr, upsert_ignore, upsert_update
-from dockhand.operators.quality import nonempty_guard
-from dockhand.plans.transforms import user_transform
-from dockhand.session import cut_lineage
-from dockhand.sinks.files import fan_out_write
-from dockhand.sinks.partitions import stage_and_publish
+from dockhand.operators.quality import nonempty_guard, require_table
+from dockhand.plans.transforms import dated_transform, user_transform
+from dockhand.session import cut_lineage, remove_path
+from dockhand.sinks.files import export_parquet, export_snapshot, fan_out_write, write_csv, write_text
+from dockhand.sinks.partitions import bulk_load_chunks, stage_and_publish
+from dockhand.sources.files import read_files
 from dockhand.sources.tables import dated_extract, resolve_source
 
 
@@ -34,64 +37,106 @@ def load(target: DataFrame, incoming: DataFrame, keys: Sequence[str] = (),
     return upsert_ignore(target, incoming, keys, order_by)
 
 
-def dated_reload(spark: SparkSession, target: DataFrame, sql_builder: Callable[[str], str], run_date: str,
-                 delete_predicate: str | Column | None = None, **load_kwargs: Any) -> DataFrame:
-    """Dated extract -> guard -> NaN to NULL -> (delete) -> load."""
-    fresh = nan_to_null(dated_extract(spark, sql_builder, run_date, on_empty="fail"))
+def _shaped(df: DataFrame, column_map: Mapping[str, str] | None, transform: Callable[..., Any] | None,
+            transform_kwargs: Mapping[str, Any] | None, rename: str) -> DataFrame | list[DataFrame]:
+    """P3 and U1 in the order asked for: the rename before or after the transform."""
+    if rename not in ("before", "after"):
+        raise ValueError("rename must be 'before' or 'after'")
+    names = column_map or {}
+    if rename == "before":
+        df = rename_columns(df, names)
+    out = user_transform(df, transform, **(transform_kwargs or {}))
+    if rename == "before":
+        return out
+    return [rename_columns(f, names) for f in out] if isinstance(out, list) else rename_columns(out, names)
+
+
+def dated_source(spark: SparkSession, run_date: str, sql_builder: Callable[[str], str] | None = None,
+                 transform: Callable[..., DataFrame] | None = None, transform_kwargs: Mapping[str, Any] | None = None) -> DataFrame:
+    """X2/X3 head: dated SQL or a dated user transform -> guard -> NaN to NULL.  The source runs once."""
+    if (sql_builder is None) == (transform is None):
+        raise ValueError("give exactly one of sql_builder or transform")
+    if sql_builder is not None:
+        return nan_to_null(dated_extract(spark, sql_builder, run_date, on_empty="fail"))
+    made = dated_transform(spark, transform, run_date, **(transform_kwargs or {}))
+    return nan_to_null(nonempty_guard(made, f"transform for {run_date}", "fail"))
+
+
+def dated_reload(spark: SparkSession, target: DataFrame, sql_builder: Callable[[str], str] | None, run_date: str,
+                 delete_predicate: str | Column | None = None, transform: Callable[..., DataFrame] | None = None,
+                 transform_kwargs: Mapping[str, Any] | None = None, **load_kwargs: Any) -> DataFrame:
+    """Dated extract (or dated user transform) -> guard -> NaN to NULL -> (delete) -> load.
+
+    Returns the next target; ``sinks.partitions.replace_table`` publishes it."""
+    fresh = dated_source(spark, run_date, sql_builder, transform, transform_kwargs)
     if delete_predicate is not None:
         target = keep_where_not(target, delete_predicate)
     return load(target, fresh, **load_kwargs)
 
 
+def dated_report(spark: SparkSession, store_dir: str, name: str, run_date: str, sql_builder: Callable[[str], str] | None = None,
+                 transform: Callable[..., DataFrame] | None = None, transform_kwargs: Mapping[str, Any] | None = None,
+                 file_format: str = "csv") -> str:
+    """Dated source -> guard -> NaN to NULL -> snapshot folder of the run date."""
+    rows = dated_source(spark, run_date, sql_builder, transform, transform_kwargs)
+    return export_snapshot(rows, store_dir, run_date, file_format, name=name)
+
+
 def table_to_partitions(spark: SparkSession, path: str, target_schema: T.StructType, *,
                         table: str | None = None, sql: str | None = None,
-                        column_map: Mapping[str, str] | None = None,
+                        sql_generator: Callable[..., str] | None = None,
+                        sql_generator_kwargs: Mapping[str, Any] | None = None,
+                        column_map: Mapping[str, str] | None = None, rename: str = "before",
                         transform: Callable[..., DataFrame] | None = None,
                         transform_kwargs: Mapping[str, Any] | None = None,
                         partitions: Mapping[str, Any] | Sequence[str] | None = None,
+                        partitions_generator: Callable[..., Any] | None = None,
+                        partitions_generator_kwargs: Mapping[str, Any] | None = None,
                         overwrite: bool = False) -> str:
-    """Source -> rename -> transform -> conform -> staged partition publish.
+    """Source -> rename / transform -> conform -> staged partition publish.
 
     Partition columns are resolved before conforming, so dynamic partition
     columns are cast too.
     """
-    df = resolve_source(spark, table=table, sql=sql)
-    df = rename_columns(df, column_map or {})
-    df = user_transform(df, transform, **(transform_kwargs or {}))
+    df = resolve_source(spark, table=table, sql=sql, sql_generator=sql_generator, **(sql_generator_kwargs or {}))
+    df = _shaped(df, column_map, transform, transform_kwargs, rename)
     df = conform_schema(df, target_schema, strict=True, keep_extra=False)
-    return stage_and_publish(df, path, partitions, overwrite=overwrite)
+    return stage_and_publish(df, path, partitions, overwrite=overwrite, partitions_generator=partitions_generator,
+                             **(partitions_generator_kwargs or {}))
 
 
 def table_to_files(spark: SparkSession, store_dir: str, name: str, *, table: str | None = None,
-                   sql: str | None = None, transform: Callable[..., DataFrame | list[DataFrame]] | None = None,
+                   sql: str | None = None, sql_generator: Callable[..., str] | None = None,
+                   sql_generator_kwargs: Mapping[str, Any] | None = None,
+                   transform: Callable[..., DataFrame | list[DataFrame]] | None = None,
                    transform_kwargs: Mapping[str, Any] | None = None,
-                   column_map: Mapping[str, str] | None = None, file_format: str = "parquet",
+                   column_map: Mapping[str, str] | None = None, rename: str = "after", file_format: str = "parquet",
                    run_date: str | None = None, materialize: bool = False) -> list[str]:
     """Source -> transform (one frame or a list) -> rename each result -> files.
 
-    The rename applies to the transform's *result* (each frame of a list).
-    ``materialize`` cuts the source's lineage first (a reliable checkpoint in
+    ``materialize`` cuts the source's lineage first (a table in
     the shared folder), so a transform fanning out into several frames reads
-    the source once and a lost executor recomputes from the checkpoint.
+    the source once and a lost executor recomputes from that copy.
     """
-    src = resolve_source(spark, table=table, sql=sql)
+    src = resolve_source(spark, table=table, sql=sql, sql_generator=sql_generator, **(sql_generator_kwargs or {}))
     if materialize:
         src = cut_lineage(src)
-    out = user_transform(src, transform, **(transform_kwargs or {}))
-    frames = out if isinstance(out, list) else [out]
-    frames = [rename_columns(f, column_map or {}) for f in frames]
-    return fan_out_write(frames if isinstance(out, list) else frames[0], store_dir, name, file_format, run_date)
+    return fan_out_write(_shaped(src, column_map, transform, transform_kwargs, rename), store_dir, name, file_format, run_date)
 
 
 def table_to_kv(spark: SparkSession, keys: Sequence[str], order_by: Sequence[str | Column], *,
                 table: str | None = None, sql: str | None = None,
+                sql_generator: Callable[..., str] | None = None,
+                sql_generator_kwargs: Mapping[str, Any] | None = None,
                 transform: Callable[..., DataFrame | list[DataFrame]] | None = None,
-                column_map: Mapping[str, str] | None = None) -> DataFrame | list[DataFrame]:
-    """Source -> transform -> rename (each frame) -> latest row per key."""
-    out = user_transform(resolve_source(spark, table=table, sql=sql), transform)
-    frames = out if isinstance(out, list) else [out]
-    res = [latest_per_key(rename_columns(f, column_map or {}), keys, order_by) for f in frames]
-    return res if isinstance(out, list) else res[0]
+                column_map: Mapping[str, str] | None = None, rename: str = "after",
+                target: str | None = None) -> DataFrame | list[DataFrame]:
+    """(target exists) -> source -> transform -> rename (each frame) -> latest row per key."""
+    if target is not None:
+        require_table(spark, target)
+    src = resolve_source(spark, table=table, sql=sql, sql_generator=sql_generator, **(sql_generator_kwargs or {}))
+    out = _shaped(src, column_map, transform, None, rename)
+    return [latest_per_key(f, keys, order_by) for f in out] if isinstance(out, list) else latest_per_key(out, keys, order_by)
 
 
 def query_upsert(target: DataFrame, extracted: DataFrame, **load_kwargs: Any) -> DataFrame:
@@ -124,38 +169,37 @@ def import_to_files(spark: SparkSession, target_dir: str, *, table: str | None =
                     source=None, file_type: str = "parquet", append: bool = False,
                     columns: Sequence[str] | None = None, where: str | None = None,
                     split_by: str | None = None, num_partitions: int | None = None,
-                    compression: str = "snappy") -> str:
-    """Table or query import -> files (parquet or csv), append or replace."""
+                    compression: str | None = None, delimiter: str = ",") -> str:
+    """Table or query import -> files (parquet, csv or delimited text), append or replace."""
     from dockhand.sources.tables import import_query, import_table
     if (table is None) == (query is None):
         raise ValueError("give exactly one of table or query")
     df = (import_table(spark, table, source, columns=columns, where=where, split_by=split_by,
                        num_partitions=num_partitions) if table is not None
           else import_query(spark, query, source, split_by=split_by, num_partitions=num_partitions))
-    w = df.write.mode("append" if append else "overwrite").option("compression", compression)
+    mode = "append" if append else "overwrite"
     if file_type == "parquet":
-        w.parquet(target_dir)
-    elif file_type == "csv":
-        w.option("header", "true").csv(target_dir)
-    else:
-        raise ValueError(f"unsupported file type {file_type!r}; use parquet or csv")
-    return target_dir
+        return export_parquet(df, target_dir, compression or "snappy", mode=mode)
+    if file_type == "csv":
+        return write_csv(df, target_dir, mode, sep=delimiter, compression=compression)
+    if file_type == "text":
+        return write_text(df, target_dir, mode, delimiter, compression=compression)
+    raise ValueError(f"unsupported file type {file_type!r}; use parquet, csv or text")
 
 
 def files_to_chunks(spark: SparkSession, root: str, path: str, ts_col: str, *, fmt: str = "parquet",
-                    glob: str | None = None, file_filter: Callable[[str], bool] | None = None,
+                    glob: str | None = None, name_predicate: Callable[[Column], Column] | None = None,
+                    file_filter: Callable[[str], bool] | None = None,
                     granularity: str = "day", remove_after: bool = False) -> str | None:
-    """Filtered file set -> time-chunked table (each chunk replaced);
-    optionally drop the staged file set after a successful load."""
-    from dockhand.session import remove_path
-    from dockhand.sinks.partitions import bulk_load_chunks
-    from dockhand.sources.files import read_files
-    out = bulk_load_chunks(read_files(spark, root, fmt, glob=glob, file_filter=file_filter), path, ts_col,
-                           granularity)
+    """Filtered file set -> time-chunked table (each chunk replaced).
+
+    ``remove_after`` drops, after a successful load, the files that were
+    loaded; files that the filters left out, and files without rows, stay.
+    """
+    files = read_files(spark, root, fmt, glob=glob, name_predicate=name_predicate, file_filter=file_filter)
+    out = bulk_load_chunks(files, path, ts_col, granularity)
     if remove_after and out is not None:
-        remove_path(spark, root)
+        # one path at a time: the list is never held by the driver
+        for row in files.select(F.col("_metadata.file_path").alias("p")).distinct().toLocalIterator():
+            remove_path(spark, unquote(row["p"]))
     return out
-
-
-def guarded(df: DataFrame, what: str, on_empty: str = "fail") -> DataFrame:
-    return nonempty_guard(df, what, on_empty)

@@ -9,7 +9,6 @@ from pyspark.sql import types as T
 
 from dockhand.operators.conform import conform_schema, nan_to_null
 from dockhand.operators.merge import upsert_update
-from dockhand.operators.quality import count_check_row
 from dockhand.plans.catalog import table, view
 from dockhand.sources.tables import dated_extract
 
@@ -31,7 +30,3 @@ def flagship(spark: SparkSession, sf: str, run_date: str = "2000-01-01") -> Data
     fresh = nan_to_null(dated_extract(spark, builder, run_date, args={"run_date": run_date}))
     fresh = conform_schema(fresh.withColumn("o_orderstatus", F.lit("U")), TARGET, keep_extra=False)
     return upsert_update(target, fresh, ["o_orderkey"], ["o_orderstatus", "o_totalprice"])
-
-
-def flagship_check(spark: SparkSession, sf: str) -> DataFrame:
-    return count_check_row(flagship(spark, sf).agg(F.count(F.lit(1))), "orders", "2000-01-01")

@@ -6,19 +6,20 @@ writes, then returns a frame that reads the written data back.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dockhand.operators.batching import ordered_layout
-from dockhand.operators.chunks import truncate
+from dockhand.functions.timefmt import ntz_text
+from dockhand.operators.chunks import chunk_start
 from dockhand.session import scratch_path
-from dockhand.sinks.files import export_parquet, export_snapshot
+from dockhand.sinks.files import export_parquet, export_snapshot, truncate_path
 from dockhand.operators.merge import upsert_update
 from dockhand.sinks.partitions import (bulk_load_chunks, insert_dynamic, insert_static, merge_partitions,
                                        read_partitioned, stage_and_publish)
 from dockhand.sources.documents import read_hits, scan_counts, scan_documents, scan_output_path, write_scan
-from dockhand.sources.files import file_inventory, read_files
+from dockhand.sources.files import file_inventory, file_row_counts, read_files
 from dockhand.sources.tables import Source, import_query, time_window
 from dockhand.plans.catalog import query, table, view
 
@@ -95,13 +96,20 @@ def q_time_window_extract(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("filtered_file_read", "SELECT * FROM orders")
 def q_filtered_file_read(spark: SparkSession, sf: str) -> DataFrame:
-    return read_files(spark, sf, "parquet", glob="*.parquet",
-                      file_filter=lambda name: name.startswith("orders"))
+    schema = table(spark, sf, "orders").schema
+    return read_files(spark, sf, "parquet", glob="*.parquet", schema=schema,
+                      name_predicate=lambda name: name.startswith("orders"))
 
 
-@query("file_inventory", None)
+_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
+           "pages", "benchmark", "labels", "conversations")
+
+
+@query("file_inventory", " UNION ALL ".join(
+    f"SELECT '{t}.parquet' AS file_name, count(*) AS rows, true AS has_bytes FROM {t}" for t in _TABLES))
 def q_file_inventory(spark: SparkSession, sf: str) -> DataFrame:
-    return file_inventory(spark, sf, glob="*.parquet").select("file_name", "length")
+    files = file_inventory(spark, sf, glob="*.parquet").select("file_name", (F.col("length") > 0).alias("has_bytes"))
+    return files.join(file_row_counts(spark, sf, glob="*.parquet"), "file_name")
 
 
 @query("import_table", """
@@ -135,6 +143,15 @@ def q_export_parquet(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(out)
 
 
+@query("export_row_cap", "SELECT count(*) AS n_rows, 0 AS files_over_cap, least(count(*), 1000) AS largest_file FROM events")
+def q_export_row_cap(spark: SparkSession, sf: str) -> DataFrame:
+    """The rows-per-file cap, seen from the written files."""
+    out = export_parquet(table(spark, sf, "events"), scratch_path(spark, "export_row_cap"), max_records_per_file=1000)
+    per_file = file_row_counts(spark, out)
+    return per_file.agg(F.sum("rows").alias("n_rows"), F.count_if(F.col("rows") > 1000).cast("int").alias("files_over_cap"),
+                        F.max("rows").alias("largest_file"))
+
+
 @query("ordered_export", "SELECT * FROM orders")
 def q_ordered_export(spark: SparkSession, sf: str) -> DataFrame:
     o = ordered_layout(table(spark, sf, "orders"), ["o_orderdate", "o_orderkey"], total=True)
@@ -142,6 +159,60 @@ def q_ordered_export(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(out)
 
 
+@query("ordered_export_order", "SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS out_of_order FROM orders")
+def q_ordered_export_order(spark: SparkSession, sf: str) -> DataFrame:
+    """The order itself: inside each file by row position, and from file to file by name."""
+    o = ordered_layout(table(spark, sf, "orders"), ["o_orderdate", "o_orderkey"], total=True)
+    out = export_parquet(o, scratch_path(spark, "ordered_export_order"), max_records_per_file=5000)
+    rows = spark.read.parquet(out).select(F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("at"),
+                                          F.struct("o_orderdate", "o_orderkey").alias("k"))
+    inside = Window.partitionBy("file").orderBy("at")
+    files = (rows.withColumn("down", F.lag("k").over(inside) > F.col("k")).groupBy("file")
+             .agg(F.min("k").alias("lo"), F.max("k").alias("hi"), F.count(F.lit(1)).alias("n"), F.count_if("down").alias("down")))
+    across = files.withColumn("over", F.lag("hi").over(Window.orderBy("file")) > F.col("lo"))  # a row per file
+    return across.agg(F.sum("n").alias("n_rows"), (F.sum("down") + F.count_if("over")).alias("out_of_order"))
+
+
+@query("import_to_csv", """
+SELECT event_id, CAST(ts + INTERVAL 123456 MICROSECOND AS VARCHAR) AS ts_text, 'say "' || event_type || '", twice' AS said FROM events
+""")
+def q_import_to_csv(spark: SparkSession, sf: str) -> DataFrame:
+    """X9 to CSV: microseconds and quotes survive the round trip."""
+    from dockhand.plans.compositions import import_to_files
+    v = view(spark, sf, "events")
+    out = import_to_files(spark, scratch_path(spark, "import_csv"), file_type="csv",
+                          query=f"SELECT event_id, ts + INTERVAL '0.123456' SECOND AS ts, concat('say \"', event_type, '\", twice') AS said FROM {v}")
+    back = (spark.read.schema("event_id long, ts timestamp_ntz, said string").option("header", "true").option("escape", '"')
+            .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS").csv(out))
+    return back.select("event_id", F.col("ts").cast("string").alias("ts_text"), "said")
+
+
+@query("import_to_text", """
+SELECT CAST(o_orderkey AS VARCHAR) || '|' || o_orderstatus || '|' || CASE WHEN o_orderstatus = 'F' THEN 'null' ELSE o_orderpriority END AS line
+FROM orders
+""")
+def q_import_to_text(spark: SparkSession, sf: str) -> DataFrame:
+    """X9 to delimited text."""
+    from dockhand.plans.compositions import import_to_files
+    v = view(spark, sf, "orders")
+    out = import_to_files(spark, scratch_path(spark, "import_text"), file_type="text", delimiter="|",
+                          query=f"SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderstatus <> 'F' THEN o_orderpriority END AS p FROM {v}")
+    return spark.read.text(out).select(F.col("value").alias("line"))
+
+
+@query("files_to_chunks", """
+SELECT *, strftime(date_trunc('hour', ts), '%Y-%m-%dT%H:%M:%S') AS chunk FROM events
+""")
+def q_files_to_chunks(spark: SparkSession, sf: str) -> DataFrame:
+    """Staged files that pass the filter, loaded by hour and dropped after."""
+    from dockhand.plans.compositions import files_to_chunks
+    e = table(spark, sf, "events")
+    staged, path = scratch_path(spark, "staged_files"), scratch_path(spark, "hour_chunks")
+    e.write.parquet(f"{staged}/loaded")
+    files_to_chunks(spark, staged, path, "ts", glob="part-*", granularity="hour", remove_after=True)
+    return read_partitioned(spark, path, T.StructType([*e.schema.fields, T.StructField("chunk", T.StringType())]))
+
+
 @query("export_snapshot", "SELECT * FROM orders")
 def q_export_snapshot(spark: SparkSession, sf: str) -> DataFrame:
     o = table(spark, sf, "orders")
@@ -205,6 +276,19 @@ def q_partition_overwrite_static(spark: SparkSession, sf: str) -> DataFrame:
     return read_partitioned(spark, path, _PART_SCHEMA)
 
 
+@query("partition_overwrite_empty", """
+SELECT event_id, strftime(date_trunc('hour', ts), '%Y-%m-%dT%H:%M:%S') AS h FROM events
+WHERE date_trunc('hour', ts) <> TIMESTAMP '2024-01-05 03:00:00'
+""")
+def q_partition_overwrite_empty(spark: SparkSession, sf: str) -> DataFrame:
+    """W7 with no rows, on a partition value that folder names escape."""
+    e = table(spark, sf, "events").select("event_id", ntz_text(chunk_start("ts", "hour")).alias("h"))
+    path = scratch_path(spark, "events_by_hour")
+    insert_dynamic(e, path, ["h"], overwrite=True)
+    insert_static(e.select("event_id").where("event_id < 0"), path, {"h": "2024-01-05T03:00:00"}, overwrite=True)
+    return read_partitioned(spark, path, e.schema)
+
+
 @query("partition_overwrite_dynamic", f"""
 SELECT event_id, ts, user_id, event_type, value, {_D} AS d FROM events
 WHERE {_D} NOT IN ('2024-01-05', '2024-01-06')
@@ -262,8 +346,7 @@ def q_truncate_table(spark: SparkSession, sf: str) -> DataFrame:
     e = table(spark, sf, "events")
     path = scratch_path(spark, "truncate")
     e.write.mode("overwrite").parquet(path)
-    truncate(spark.read.parquet(path)).write.mode("overwrite").parquet(path)
-    return spark.read.schema(e.schema).parquet(path)
+    return spark.read.parquet(truncate_path(spark, path))
 
 
 @query("upsert_touched_partitions", f"""
@@ -272,18 +355,21 @@ WITH t AS (SELECT event_id, ts, user_id, event_type, value, {_D} AS d FROM event
            WHERE {_D} IN ('2024-01-03', '2024-01-04') AND event_type = 'purchase'
            UNION ALL
            SELECT event_id + 100000000 AS event_id, ts, user_id, 'refund' AS event_type, -value AS value, {_D} AS d
-           FROM events WHERE {_D} = '2024-01-04' AND event_type = 'purchase')
+           FROM events WHERE {_D} = '2024-01-04' AND event_type = 'purchase'
+           UNION ALL
+           SELECT event_id, ts, user_id, event_type, value, '2024-01-04' AS d FROM events WHERE {_D} = '2024-01-10' AND event_type = 'error')
 SELECT COALESCE(t.event_id, s.event_id) AS event_id,
        CASE WHEN t.event_id IS NOT NULL THEN t.ts ELSE s.ts END AS ts,
        CASE WHEN t.event_id IS NOT NULL THEN t.user_id ELSE s.user_id END AS user_id,
        CASE WHEN t.event_id IS NOT NULL THEN t.event_type ELSE s.event_type END AS event_type,
        CASE WHEN s.event_id IS NOT NULL THEN s.value ELSE t.value END AS value,
-       COALESCE(t.d, s.d) AS d
+       COALESCE(s.d, t.d) AS d
 FROM t FULL OUTER JOIN s ON t.event_id = s.event_id
 """)
 def q_upsert_touched_partitions(spark: SparkSession, sf: str) -> DataFrame:
     """W3 on a day-partitioned table, reading and rewriting only the two
-    partitions the incoming rows touch (the other 28 stay as written)."""
+    partitions the incoming rows touch and the one that keys move from (the
+    other 27 stay as written)."""
     e, path = _day_table(spark, sf)
     day = _day()
     fixed = (e.where(day.isin("2024-01-03", "2024-01-04") & (F.col("event_type") == "purchase"))
@@ -291,7 +377,8 @@ def q_upsert_touched_partitions(spark: SparkSession, sf: str) -> DataFrame:
     refunds = (e.where((day == "2024-01-04") & (F.col("event_type") == "purchase"))
                .select((F.col("event_id") + 100000000).alias("event_id"), "ts", "user_id",
                        F.lit("refund").alias("event_type"), (-F.col("value")).alias("value")))
-    incoming = fixed.unionByName(refunds).withColumn("d", _day())
+    moved = e.where((day == "2024-01-10") & (F.col("event_type") == "error")).withColumn("d", F.lit("2024-01-04"))
+    incoming = fixed.unionByName(refunds).withColumn("d", _day()).unionByName(moved)
     merge_partitions(spark, path, _PART_SCHEMA, incoming, ["d"],
-                     lambda t, s: upsert_update(t, s, ["event_id"], ["value"]))
+                     lambda t, s: upsert_update(t, s, ["event_id"], ["value", "d"]), keys=["event_id"])
     return read_partitioned(spark, path, _PART_SCHEMA)

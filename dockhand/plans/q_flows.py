@@ -9,13 +9,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dockhand.operators.chunks import list_segments, retire_by_ids, retire_by_interval
-from dockhand.operators.merge import delete_then_insert
 from dockhand.operators.quality import completeness
 from dockhand.operators.retention import retention_filter
 from dockhand.plans.catalog import query, table, view
-from dockhand.plans.compositions import dated_reload, query_upsert, table_to_kv, table_to_partitions
+from dockhand.plans.compositions import dated_reload, dated_report, query_upsert, table_to_kv, table_to_partitions
 from dockhand.plans.script import run_script
-from dockhand.plans.transforms import dated_transform, pandas_transform, user_transform
+from dockhand.plans.transforms import pandas_transform, user_transform
 from dockhand.session import scratch_path
 from dockhand.sinks.partitions import read_partitioned
 from dockhand.sources.tables import import_query, resolve_source
@@ -95,8 +94,22 @@ def q_dated_transform(spark: SparkSession, sf: str) -> DataFrame:
         # corrected definition for one day: error events no longer count
         day = e.where((F.to_date("ts") == F.lit(run_date).cast("date")) & (F.col("event_type") != "error"))
         return _daily_totals(day)
-    fresh = dated_transform(spark, fresh_day, "2024-01-10")
-    return delete_then_insert(target, fresh, F.col("day") == F.lit("2024-01-10").cast("date"))
+    return dated_reload(spark, target, None, "2024-01-10", transform=fresh_day,
+                        delete_predicate=F.col("day") == F.lit("2024-01-10").cast("date"))
+
+
+@query("dated_report", """
+SELECT user_id, count(*) AS n_events, sum(CAST(value AS DECIMAL(18,2))) AS total
+FROM events WHERE CAST(ts AS DATE) = DATE '2024-01-10' GROUP BY user_id
+""")
+def q_dated_report(spark: SparkSession, sf: str) -> DataFrame:
+    """Dated transform -> guard -> NaN to NULL -> Parquet snapshot of the run date."""
+    e = table(spark, sf, "events")
+
+    def report(spark_: SparkSession, run_date: str) -> DataFrame:
+        return _daily_totals(e.where(F.to_date("ts") == F.lit(run_date).cast("date"))).drop("day")
+    out = dated_report(spark, scratch_path(spark, "reports"), "daily", "2024-01-10", transform=report, file_format="parquet")
+    return spark.read.parquet(out)
 
 
 @query("pandas_transform", """
@@ -167,7 +180,7 @@ FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
 def q_table_to_kv(spark: SparkSession, sf: str) -> DataFrame:
     v = view(spark, sf, "lineitem")
     kv = table_to_kv(spark, ["order_id", "line"], LINE_ORDER,
-                     sql=f"SELECT * FROM {v}",
+                     sql_generator=lambda name: f"SELECT * FROM {name}", sql_generator_kwargs={"name": v}, target=v,
                      column_map={"l_orderkey": "order_id", "l_linenumber": "line"})
     return kv.select("order_id", "line", F.col("l_partkey").alias("part_id"), F.col("l_quantity").alias("qty"),
                      F.col("l_shipdate").alias("shipped"))
@@ -227,6 +240,39 @@ def q_retire_by_interval(spark: SparkSession, sf: str) -> DataFrame:
                                ("2024-01-20T00:00:00Z", "2024-01-21T12:00:00Z")])
 
 
+_HOUR = "date_trunc('hour', ts)"
+_HOUR_SEG = _SEG.replace("date_trunc('day', ts)", _HOUR).replace("INTERVAL 1 DAY", "INTERVAL 1 HOUR")
+_HOURLY = f"""SELECT {_HOUR_SEG} AS segment_id, {_HOUR} AS chunk_start, {_HOUR} + INTERVAL 1 HOUR AS chunk_end,
+       count(*) AS n_rows, min(ts) AS min_ts, max(ts) AS max_ts, """
+
+
+@query("retire_by_interval_hourly", f"""
+{_HOURLY}
+       NOT (({_HOUR} >= TIMESTAMP '2024-01-05' AND {_HOUR} + INTERVAL 1 HOUR <= TIMESTAMP '2024-01-08')
+         OR ({_HOUR} >= TIMESTAMP '2024-01-20 00:30:00' AND {_HOUR} + INTERVAL 1 HOUR <= TIMESTAMP '2024-01-21 12:30:00')) AS used
+FROM events GROUP BY {_HOUR}
+""")
+def q_retire_by_interval_hourly(spark: SparkSession, sf: str) -> DataFrame:
+    """Hour chunks and a long list: two intervals that count among 600 that hold no chunk."""
+    seg = list_segments(table(spark, sf, "events"), "ts", "hour", datasource="events")
+    empty = [(f"2001-{m:02d}-{d:02d}T00:00:00Z", f"2001-{m:02d}-{d:02d}T{h:02d}:00:00Z")
+             for m in range(1, 13) for d in range(1, 26) for h in (5, 23)]
+    return retire_by_interval(seg, [*empty, ("2024-01-05T00:00:00Z", "2024-01-08T00:00:00Z"),
+                                    ("2024-01-20T00:30:00Z", "2024-01-21T12:30:00Z")])
+
+
+@query("retire_by_ids_hourly", f"""
+{_HOURLY} {_HOUR} NOT IN (TIMESTAMP '2024-01-10 05:00:00', TIMESTAMP '2024-01-11 23:00:00') AS used
+FROM events GROUP BY {_HOUR}
+""")
+def q_retire_by_ids_hourly(spark: SparkSession, sf: str) -> DataFrame:
+    """Hour chunks and a long list of ids, nearly all unknown."""
+    seg = list_segments(table(spark, sf, "events"), "ts", "hour", datasource="events")
+    ids = [f"events_{k}" for k in range(12_000)] + ["events_2024-01-10T05:00:00.000Z_2024-01-10T06:00:00.000Z",
+                                                     "events_2024-01-11T23:00:00.000Z_2024-01-12T00:00:00.000Z"]
+    return retire_by_ids(seg, ids)
+
+
 @query("retire_by_ids", f"""
 SELECT {_SEG} AS segment_id, date_trunc('day', ts) AS chunk_start,
        date_trunc('day', ts) + INTERVAL 1 DAY AS chunk_end, count(*) AS n_rows, min(ts) AS min_ts,
@@ -250,6 +296,21 @@ def q_retention_filter(spark: SparkSession, sf: str) -> DataFrame:
     return retention_filter(e, "ts", "event_type", {"error": 3}, default_days=15, run_date="2024-01-30")
 
 
+@query("retention_run_ids", """
+SELECT event_id, event_type FROM events
+WHERE event_id % 7 = 0 OR NOT (CAST(ts AS DATE) + CASE WHEN event_type = 'error' THEN 3 ELSE 15 END < DATE '2024-01-30')
+""")
+def q_retention_run_ids(spark: SparkSession, sf: str) -> DataFrame:
+    """W20 over run-id text, in the text's own offset; unreadable ids stay."""
+    e = table(spark, sf, "events")
+    offset = F.when(F.col("event_id") % 2 == 0, "+07:00").otherwise("+0700")
+    run_id = F.when(F.col("event_id") % 7 == 0, "manual").otherwise(
+        F.concat(F.lit("run_id=scheduled__"), F.substring(F.translate(F.col("ts").cast("string"), " ", "T"), 1, 19), offset))
+    kept = retention_filter(e.select("event_id", "event_type", run_id.alias("run_id")), "run_id", "event_type",
+                            {"error": 3}, default_days=15, run_date="2024-01-30")
+    return kept.drop("run_id")
+
+
 @query("completeness_gate", """
 SELECT d.day, CASE WHEN e.day IS NULL THEN 'missing' ELSE 'existing' END AS status
 FROM (SELECT CAST(unnest(generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-31', INTERVAL 1 DAY)) AS DATE)

@@ -253,14 +253,16 @@ def q_latest_per_key(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("fixed_size_batches", """
-SELECT o_orderkey,
+SELECT *, o_orderstatus || '!' AS tag,
        CAST(floor((row_number() OVER (ORDER BY o_orderkey) - 1) / 500) AS BIGINT) AS batch_id,
        CAST((row_number() OVER (ORDER BY o_orderkey) - 1) % 500 AS BIGINT) AS batch_row
 FROM orders
 """)
 def q_fixed_size_batches(spark: SparkSession, sf: str) -> DataFrame:
-    b = fixed_size_batches(table(spark, sf, "orders").select("o_orderkey"), 500, ["o_orderkey"])
-    return b.select("o_orderkey", "batch_id", "batch_row")
+    # a map column has no order: it is carried, not a tie-breaker
+    o = table(spark, sf, "orders").withColumn("tags", F.create_map(F.lit("tag"), F.concat("o_orderstatus", F.lit("!"))))
+    b = fixed_size_batches(o, 500, ["o_orderkey"])
+    return b.withColumn("tag", F.col("tags")["tag"]).drop("tags", "row_index")
 
 
 @query("dq_count_check", """

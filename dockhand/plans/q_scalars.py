@@ -141,6 +141,22 @@ def q_json_flatten(spark: SparkSession, sf: str) -> DataFrame:
     return json_flatten(e.select(doc.alias("js")), "js", col_normalize=snake_case_name)
 
 
+@query("json_flatten_mixed", """
+SELECT CASE WHEN event_id % 10 IN (0, 1) THEN NULL ELSE event_id END AS id,
+       CASE WHEN event_id % 10 IN (0, 1) THEN NULL ELSE event_type END AS info_kind,
+       CASE WHEN event_id % 10 IN (0, 1) THEN NULL ELSE user_id END AS info_kind_upper
+FROM events
+""")
+def q_json_flatten_mixed(spark: SparkSession, sf: str) -> DataFrame:
+    """Records that are no object give NULLs; keys that differ only in case stay apart."""
+    e = table(spark, sf, "events")
+    doc = F.concat(F.lit('{"id":'), F.col("event_id").cast("string"), F.lit(',"info":{"kind":"'), F.col("event_type"),
+                   F.lit('","Kind":'), F.col("user_id").cast("string"), F.lit("}}"))
+    js = F.when(F.col("event_id") % 10 == 0, "5").when(F.col("event_id") % 10 == 1, "[1]").otherwise(doc)
+    return json_flatten(e.select(js.alias("js")), "js",
+                        col_normalize=lambda n: n.lower() + "_upper" if n[:1].isupper() else n)
+
+
 @query("map_subset", """
 SELECT event_id,
        '{"k":"' || json_extract_string(props, '$.k') || '","user":"' || CAST(user_id AS VARCHAR) || '"}'

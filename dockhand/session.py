@@ -15,6 +15,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _CKPT_KEY = "spark.checkpoint.dir"
+_LOCAL_ROOTS: dict[str, str] = {}  # by application, where no folder is configured
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
@@ -75,10 +76,12 @@ def checkpoint_root(spark: SparkSession) -> str:
     Read from the session; set our own only where the cluster names none.
     """
     sc = spark.sparkContext
-    root = sc.getConf().get(_CKPT_KEY, None) or spark.conf.get(_CKPT_KEY, None)
+    root = sc.getConf().get(_CKPT_KEY, None) or spark.conf.get(_CKPT_KEY, None) or _LOCAL_ROOTS.get(sc.applicationId)
     if not root:
-        # Unset (tests, a laptop): choose our own; clusters always name one.
-        root = tempfile.mkdtemp(prefix="dockhand-ckpt-")
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError(f"set {_CKPT_KEY} to a folder that driver and executors share")
+        # Unset (tests, a laptop): choose our own once; clusters always name one.
+        root = _LOCAL_ROOTS.setdefault(sc.applicationId, tempfile.mkdtemp(prefix="dockhand-ckpt-"))
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(root)
     return root.rstrip("/")
@@ -125,6 +128,14 @@ def remove_path(spark: SparkSession, path: str) -> bool:
     return bool(fs.delete(hpath, True))
 
 
+def move_path(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a folder within its Hadoop FileSystem; raises when it does not happen."""
+    jvm = spark.sparkContext._jvm
+    a, b = (jvm.org.apache.hadoop.fs.Path(p) for p in (source, target))
+    if not a.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).rename(a, b):
+        raise OSError(f"could not move {source} to {target}")
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)

@@ -5,12 +5,32 @@ from __future__ import annotations
 from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Snapshot formats accepted by the snapshot export.
 SNAPSHOT_FORMATS = ("csv", "parquet")
 TS_NTZ_TEXT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite", header: bool = True, sep: str = ",",
+              compression: str | None = None) -> str:
+    """CSV as other readers expect it: doubled quotes, microseconds kept, no
+    codec unless asked for."""
+    w = (df.write.mode(mode).option("header", str(header).lower()).option("sep", sep).option("escape", '"')
+         .option("timestampNTZFormat", TS_NTZ_TEXT).option("timestampFormat", TS_NTZ_TEXT + "XXX"))
+    (w.option("compression", compression) if compression else w).csv(path)
+    return path
+
+
+def write_text(df: DataFrame, path: str, mode: str = "overwrite", delimiter: str = ",", null_text: str = "null",
+               compression: str | None = None) -> str:
+    """Delimited text lines without header or quoting; NULL is ``null_text``."""
+    cells = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(null_text)) for c in df.columns]
+    w = df.select(F.concat_ws(delimiter, *cells).alias("value")).write.mode(mode)
+    (w.option("compression", compression) if compression else w).text(path)
+    return path
+
+
 def export_parquet(df: DataFrame, path: str, compression: str = "snappy",
                    max_records_per_file: int | None = None, partition_by: Sequence[str] = (),
                    mode: str = "overwrite") -> str:
@@ -44,12 +64,10 @@ def export_snapshot(df: DataFrame, store_dir: str, run_date: str, file_format: s
         raise ValueError(f"unsupported snapshot format {file_format!r}; use one of {SNAPSHOT_FORMATS}")
     path = snapshot_path(store_dir, run_date, name)
     out = df.coalesce(1) if single_file else df
-    w = out.write.mode("overwrite")
     if file_format == "csv":
-        (w.option("header", "true").option("timestampNTZFormat", TS_NTZ_TEXT)
-         .option("timestampFormat", TS_NTZ_TEXT + "XXX").csv(path))
+        write_csv(out, path)
     else:
-        w.parquet(path)
+        out.write.mode("overwrite").parquet(path)
     return path
 
 
@@ -71,8 +89,7 @@ def fan_out_write(frames: DataFrame | Sequence[DataFrame], store_dir: str, name:
             out.append(export_snapshot(f, store_dir, run_date, file_format, name=n))
         else:
             p = f"{store_dir.rstrip('/')}/{n}"
-            (f.write.mode("overwrite").option("header", "true").csv(p) if file_format == "csv"
-             else f.write.mode("overwrite").parquet(p))
+            write_csv(f, p) if file_format == "csv" else f.write.mode("overwrite").parquet(p)
             out.append(p)
     return out
 

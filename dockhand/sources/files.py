@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from typing import Callable
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,9 +17,10 @@ def read_files(spark: SparkSession, root: str, fmt: str = "parquet", *, glob: st
 
     ``glob`` is Spark's ``pathGlobFilter``; ``name_predicate`` is a Column
     predicate on ``_metadata.file_name`` that Spark applies to the file list
-    before reading (files are pruned, not rows).  ``file_filter`` is a plain
-    Python predicate on base names, applied to the file list (which the
-    driver holds for planning anyway) to pick explicit paths.
+    before reading (files are pruned, not rows): prefer it.  ``file_filter`` is a plain
+    Python predicate on base names; Spark cannot run it while planning, so it
+    picks among the files of the relation's own listing, which the driver
+    holds for planning anyway.
     """
     r = spark.read.format(fmt).option("recursiveFileLookup", str(recursive).lower())
     if glob:
@@ -28,8 +30,7 @@ def read_files(spark: SparkSession, root: str, fmt: str = "parquet", *, glob: st
     for k, v in options.items():
         r = r.option(k, v)
     if file_filter is not None:
-        inv = file_inventory(spark, root, glob=glob, recursive=recursive)
-        paths = [row["path"] for row in inv.select("path", "file_name").collect() if file_filter(row["file_name"])]
+        paths = [p for p in r.load(root).inputFiles() if file_filter(unquote(p.rsplit("/", 1)[1]))]
         if not paths:
             raise FileNotFoundError(f"no file under {root} passes the filter")
         df = r.load(paths)
@@ -52,3 +53,12 @@ def file_inventory(spark: SparkSession, root: str, *, glob: str | None = None,
     df = r.load(root)
     return df.select("path", F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"),
                      F.col("modificationTime").alias("modified"), "length")
+
+
+def file_row_counts(spark: SparkSession, root: str, fmt: str = "parquet", *, glob: str | None = None,
+                    recursive: bool = True) -> DataFrame:
+    """``file_name, rows`` of every file that holds rows, read from the files themselves."""
+    r = spark.read.format(fmt).option("recursiveFileLookup", str(recursive).lower())
+    if glob:
+        r = r.option("pathGlobFilter", glob)
+    return r.load(root).groupBy(F.col("_metadata.file_name").alias("file_name")).agg(F.count(F.lit(1)).alias("rows"))

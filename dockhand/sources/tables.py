@@ -62,8 +62,8 @@ def import_table(spark: SparkSession, table: str, source: Source | None = None,
     JDBC: the subset and filter run in the database (a subquery, like a
     ``--where``), and ``split_by`` becomes a partitioned read over the
     column's min..max.  Files/catalog: ``select``/``where`` that Catalyst
-    prunes and pushes into the scan; ``split_by`` lays out the output in
-    ``num_partitions`` ranges of that column.
+    prunes and pushes into the scan, which is parallel already: ``split_by``
+    plays no part there (a range shuffle would move the whole import).
     """
     src = source or Source()
     cols = ", ".join(columns) if columns else "*"
@@ -78,8 +78,6 @@ def import_table(spark: SparkSession, table: str, source: Source | None = None,
         df = df.select(*[F.col(f"`{c}`") for c in columns])
     if where:
         df = df.where(F.expr(where))
-    if split_by and num_partitions:
-        df = df.repartitionByRange(num_partitions, F.col(split_by))
     return df
 
 
@@ -100,10 +98,7 @@ def import_query(spark: SparkSession, query: str, source: Source | None = None,
         if fetch_size:
             r = r.option("fetchsize", str(fetch_size))
         return r.load()
-    df = spark.sql(query, args=dict(args) if args else None)
-    if split_by and num_partitions:
-        df = df.repartitionByRange(num_partitions, F.col(split_by))
-    return df
+    return spark.sql(query, args=dict(args) if args else None)
 
 
 def resolve_source(spark: SparkSession, table: str | None = None, sql: str | None = None,
