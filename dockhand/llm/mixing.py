@@ -67,8 +67,9 @@ def source_rates(docs: DataFrame, weights: dict[str, float] | None = None, tempe
         share = F.lit(0.0)
         for source, weight in weights.items():
             share = F.when(F.col("source") == source, F.lit(float(weight))).otherwise(share)
-    per = per.withColumn("share", share).where("share > 0")
+    per = per.withColumn("share", share)
     all_shares, all_bytes = per.agg(F.sum("share"), F.sum("bytes")).first()
+    per = per.where("share > 0")
     rate = F.col("share") / F.lit(all_shares) * epochs * F.lit(all_bytes) / F.col("bytes")
     return settle(per.select("source", "bytes", rate.alias("rate")).withColumn("cdf", _cumulative("rate")))
 
