@@ -10,6 +10,16 @@ from pyspark.sql import functions as F
 from dockhand.session import cut_lineage
 
 BROADCAST_ROWS = 1_000_000  # narrow id rows: about 16 MB on an executor
+BATCH_ROWS = 1000           # rows of text in an Arrow batch: a few MB, not Spark's default of 10,000 rows
+
+
+def text_batches(df: DataFrame) -> DataFrame:
+    """Keep Arrow batches of texts small in this session (they are held by the
+    JVM and by each Python worker at once); a smaller setting stays."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(key)) <= BATCH_ROWS:
+        conf.set(key, str(BATCH_ROWS))
+    return df
 
 
 def settle(df: DataFrame, release: bool = False) -> DataFrame:

@@ -35,6 +35,8 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
+from dockhand.llm.common import text_batches
+
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 CONTEXT = 2048
 WINDOW = 1 << 20
@@ -163,7 +165,7 @@ def pack_tokens(docs: DataFrame, vocabulary_path: str = VOCABULARY, context: int
     def run(batches):
         yield from pack_batches(batches, TaskContext.get().partitionId(), shared.value, context, window_tokens)
 
-    return docs.selectExpr("cast(doc_id as long) as doc_id", "text").mapInArrow(run, SCHEMA)
+    return text_batches(docs).selectExpr("cast(doc_id as long) as doc_id", "text").mapInArrow(run, SCHEMA)
 
 
 def position_ids(resets: list[int], context: int) -> np.ndarray:

@@ -41,6 +41,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from dockhand.llm.common import text_batches
+
 KINDS = ("email", "ip", "card", "phone")
 FIT_DOCS = 2000
 FIT_NODES = 20_000
@@ -340,7 +342,7 @@ def find_pii(docs: DataFrame) -> DataFrame:
                  pa.array(rows["spans"], pa.string())],
                 names=["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, _FOUND)
+    return text_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, _FOUND)
 
 
 def mask(text: str, spans: str) -> str:

@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
+from dockhand.llm.common import text_batches
 from dockhand.llm.shingles import slices, text_buffers, word_hashes
 
 PER_CLASS = 2000
@@ -154,7 +155,7 @@ def with_score(docs: DataFrame, model: QualityModel, name: str = "score") -> Dat
                 scores = score_texts(batch.column(batch.schema.get_field_index("text")), known)
                 yield batch.append_column(name, pa.array(scores, pa.float64()))
 
-    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(name, DoubleType())]))
+    return text_batches(docs).mapInArrow(run, StructType([*docs.schema.fields, StructField(name, DoubleType())]))
 
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:

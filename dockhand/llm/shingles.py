@@ -15,7 +15,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 _B = np.uint64(0x9E3779B97F4A7C15)
 _B_INV = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _MIX1 = np.uint64(0xBF58476D1CE4E5B9)
