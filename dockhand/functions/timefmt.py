@@ -12,6 +12,9 @@ Everything is a Column expression; nothing leaves the JVM.
 
 from __future__ import annotations
 
+import datetime as dt
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -115,6 +118,14 @@ def hour_path(s: Column | str, strict: bool = False) -> tuple[Column, Column]:
     return F.date_format(w, DAY_PATH), F.date_format(w, HOUR_FILE)
 
 
+def hour_path_text(s: str) -> tuple[str, str]:
+    """F6 for one text on the driver."""
+    if not re.match(_ISO_TEXT, s):
+        raise ValueError(f"unparseable ISO timestamp: {s!r}")
+    wall = dt.datetime.fromisoformat(s[:19])
+    return f"{wall:%Y/%m/%d}", f"{wall:%H}-00-00"
+
+
 def business_date(ts_utc: Column | str, zone: str = BUSINESS_ZONE) -> Column:
     """calendar date in the business zone of a UTC wall-clock timestamp.
 
@@ -139,7 +150,6 @@ def resolve_run_date(conf_run_date: str | None, own_run_date: str | None, execut
                      zone: str = BUSINESS_ZONE) -> str:
     """F8 for one run on the driver: run config, else own value, else the
     business date of the scheduled time (``'None'`` counts as missing)."""
-    import datetime as dt
     from zoneinfo import ZoneInfo
 
     for v in (conf_run_date, own_run_date):

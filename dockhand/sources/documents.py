@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from dockhand.functions.timefmt import hour_path_text
 from dockhand.operators.conform import force_string
 
 CORRUPT = "_corrupt_record"
@@ -70,16 +71,7 @@ def scan_counts(hits: DataFrame, parse: Callable[[DataFrame], Column]) -> DataFr
 def scan_output_path(root: str, run_date: str) -> str:
     """``<root>/YYYY/MM/DD/HH-00-00`` from the wall clock of an ISO run date
     (offset kept as written, not converted), the layout of scan exports."""
-    import datetime as dt
-    for fmt in ("%Y-%m-%dT%H:%M:%S%z", "%Y-%m-%dT%H:%M:%S.%f%z"):
-        try:
-            w = dt.datetime.strptime(run_date, fmt)
-            break
-        except ValueError:
-            continue
-    else:
-        raise ValueError(f"unparseable ISO run date: {run_date!r}")
-    return f"{root.rstrip('/')}/{w:%Y/%m/%d}/{w:%H}-00-00"
+    return "/".join([root.rstrip("/"), *hour_path_text(run_date)])
 
 
 def write_scan(records: DataFrame, path: str, page_size: int = PAGE_SIZE,
