@@ -32,8 +32,9 @@ connected component.  The steps, all of them on distributed tables:
    their members across components.
 5. **What is left**, that is larger buckets with several components and the sets set
    aside in step 2, is never paired up bucket by bucket: these documents go through a
-   prefix filter (common shingles last), an exact way to every similar
-   pair among them, whose buckets follow steps 3 and 4 without a cap.
+   prefix filter (rarest shingles among them first), an exact way to every similar
+   pair among them, whose buckets follow steps 3 and 4 without a cap; pairs
+   that rare shingles alone put too far apart are not made.
 
 Null and empty texts have no shingles, ``n_shingles`` 0 and link with
 nothing.  Rows that share a doc_id are one document.  A null doc_id is
@@ -52,7 +53,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from dockhand.llm.common import drop_rows, settle, small_side, take_rows
+from dockhand.llm.common import drop_rows, settle, small_side, take_rows, text_batches
 from dockhand.llm.graph import connected_components
 from dockhand.llm.shingles import mix, shingle_sets, slices
 
@@ -181,23 +182,17 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for batch in slices(whole, "text"):
-            for hashes in shingle_sets(batch.column(0), WORDS):
-                yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64))], names=["key"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(list(shingle_sets(batch.column(0), WORDS))).view(np.int64))], names=["key"])
 
 
-def _prefixes(common):
-    """(key, id): the shingles of each set, common ones last, of which any similar set has one."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for batch in slices(whole, "text"):
-                ids = batch.column(0).to_pylist()
-                for doc_id, hashes in zip(ids, shingle_sets(batch.column(1), WORDS), strict=True):
-                    ordered = hashes[np.argsort(is_common(hashes, common.value), kind="stable")]
-                    first = ordered[: len(hashes) + 1 + (-PERCENT * len(hashes) // 100)].view(np.int64)
-                    yield pa.RecordBatch.from_arrays([pa.array(first), pa.array(np.full(len(first), doc_id, np.int64))], names=["key", "id"])
-
-    return run
+def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for whole in batches:
+        for batch in slices(whole, "text"):
+            sets = list(shingle_sets(batch.column(1), WORDS))
+            sizes = np.array([len(s) for s in sets], np.int64)
+            ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids, sizes)), pa.array(np.repeat(sizes, sizes)),
+                                              pa.array(np.concatenate(sets).view(np.int64))], names=["id", "n", "key"])
 
 
 def _near_by_sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -233,29 +228,27 @@ def _linked(docs: DataFrame, meta: DataFrame, pairs: DataFrame) -> DataFrame:
 
 
 def _shared(rows: DataFrame, sample: DataFrame) -> DataFrame:
-    """(key, id, leader) of every row whose key has another id: the leader is
-    the smallest id.  Keys that are frequent in ``sample`` are first cut into
+    """(key, id, leader) of every row whose key has another id.  The leader is the
+    smallest id, or, where rows have an ``r`` (shingles that few other sets have), the
+    id of least r: the set nearest to what its group has in common.  Keys that are frequent in ``sample`` are first cut into
     ``SALT`` parts by id, so that no task takes a whole hot bucket; the parts'
     leaders are then brought together."""
     hot = settle(sample.groupBy("key").count().where("count >= 64").select("key"))
     if hot.isEmpty():
-        return _led(rows, ["key"])
-    marked = (rows.join(_flagged(hot), "key", "left")
+        return _led(rows, ["key"]).select("key", "id", F.col("lead.id").alias("leader"))
+    marked = (rows.join(small_side(hot).withColumn("hot", F.lit(True)), "key", "left")
               .withColumn("salt", F.when(F.col("hot"), F.pmod(F.xxhash64("id"), F.lit(SALT))).otherwise(F.lit(-1))))
     parts = settle(_led(marked, ["key", "salt"], keep_single=F.col("salt") >= 0), release=True)
-    heads = parts.where("salt >= 0").groupBy("key").agg(F.min("leader").alias("head"))
+    heads = parts.where("salt >= 0").groupBy("key").agg(F.min("lead").alias("head"))
     return (parts.join(heads, "key", "left")
-            .select("key", "id", F.coalesce("head", "leader").alias("leader")))
-
-
-def _flagged(hot: DataFrame) -> DataFrame:
-    return small_side(hot).withColumn("hot", F.lit(True))
+            .select("key", "id", F.coalesce("head.id", "lead.id").alias("leader")))
 
 
 def _led(rows: DataFrame, by: list[str], keep_single=None) -> DataFrame:
-    w = Window.partitionBy(*by).orderBy("id")
-    led = rows.select(*by, "id", F.first("id").over(w).alias("leader"), F.lead("id").over(w).alias("nxt"))
-    met = (F.col("id") != F.col("leader")) | F.col("nxt").isNotNull()
+    order = [c for c in ("r", "id") if c in rows.columns]
+    w = Window.partitionBy(*by).orderBy(*order)
+    led = rows.select(*by, "id", F.first(F.struct(*order)).over(w).alias("lead"), F.lead("id").over(w).alias("nxt"))
+    met = (F.col("id") != F.col("lead.id")) | F.col("nxt").isNotNull()
     return led.where(met if keep_single is None else met | keep_single).drop("nxt")
 
 
@@ -273,11 +266,43 @@ def _labelled(shared: DataFrame, links: DataFrame) -> DataFrame:
     return settle(tagged.join(mixed, "key"))
 
 
-def _pairs_across(mixed: DataFrame) -> DataFrame:
-    """Pairs of a bucket's members in different components; those with the leader were compared before."""
-    one = mixed.where("id != leader").select("key", F.col("id").alias("a"), F.col("comp").alias("ca"))
-    two = mixed.where("id != leader").select("key", F.col("id").alias("b"), F.col("comp").alias("cb"))
-    return one.join(two, "key").where("a < b and ca != cb").select("a", "b").distinct()
+def _pairs_across(mixed: DataFrame, own: DataFrame | None = None) -> DataFrame:
+    """Pairs of a bucket's members in different components; those with the leader were compared before.
+
+    ``own`` (id, n, r): sizes and how many shingles at most ``PAIR_CAP`` sets have.
+    Give it for the large buckets of a prefix filter whose small buckets are paired in full: a
+    pair met only in large ones shares none of those r (they stand before in the prefix), and the other
+    shingles differ at least by their counts; the pair is possible only if that
+    leaves the difference within 1/7 of both sizes.
+    """
+    mixed = mixed.where("id != leader")
+    possible = (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb"))
+    if own is not None:
+        # a pair that shares several keys is made at the least of them only
+        keys = mixed.groupBy("id").agg(F.sort_array(F.collect_set("key")).alias("keys"))
+        mixed = mixed.join(own, "id").join(keys, "id")
+        possible &= (F.col("ra") + F.col("rb") + F.abs(F.col("na") - F.col("ra") - F.col("nb") + F.col("rb"))) * 7 <= F.col("na") + F.col("nb")
+    one, two = (mixed.select("key", F.col("id").alias(side), F.col("comp").alias(f"c{side}"),
+                             *[F.col(c).alias(c + side) for c in ("n", "r", "keys") if c in mixed.columns]) for side in "ab")
+    possible = (one["key"] == two["key"]) & possible
+    if own is not None:
+        possible &= F.array_min(F.array_intersect("keysa", "keysb")) == one["key"]
+    return one.join(two, possible).select("a", "b").distinct()
+
+
+def _rare_first(docs: DataFrame, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Prefix rows (key, id, r): of each set, the rarest shingles (within ``ids``) of
+    which any similar set has one; and (id, n, r) for ``_pairs_across``."""
+    members = settle(take_rows(docs, ids, "doc_id").select("doc_id", "text").mapInArrow(_members, "id long, n long, key long"))
+    often = members.groupBy("key").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    known = settle(members.join(often, "key", "left"))
+    own = settle(known.groupBy("id").agg(F.max("n").alias("n"), F.count_if(F.col("df").isNull()).alias("alone"),
+                                         F.count_if(F.coalesce("df", F.lit(1)) <= PAIR_CAP).alias("r")))
+    # shingles that no other set has stand first in the order: they use up the prefix without rows
+    length = F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1 - F.col("alone")
+    rank = F.row_number().over(Window.partitionBy("id").orderBy("df", "key"))
+    ranked = known.where("df is not null").drop("n").withColumn("rank", rank).join(own, "id").where(F.col("rank") <= length)
+    return settle(ranked.select("key", "id", "r")), own.drop("alone")
 
 
 def common_shingles(docs: DataFrame) -> np.ndarray:
@@ -293,7 +318,7 @@ def common_shingles(docs: DataFrame) -> np.ndarray:
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id), one row per row of ``docs`` (doc_id, text, ...)."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    docs = text_batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
     common = docs.sparkSession.sparkContext.broadcast(common_shingles(docs))
     found = settle(docs.mapInArrow(_features(common), FEATURES))
     key = ["set_hi", "set_lo", "n_shingles"]
@@ -317,11 +342,13 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     crowd = settle(mixed.where(F.col("members") > PAIR_CAP).select(F.col("id").alias("doc_id"))
                    .unionByName(meta.where("unsafe").select("doc_id")).distinct())
     if not crowd.isEmpty():
-        prefix = settle(take_rows(node_docs, crowd, "doc_id").select("doc_id", "text").mapInArrow(_prefixes(common), "key long, id long"))
+        prefix, own = _rare_first(node_docs, crowd)
         shared = settle(_shared(prefix, prefix.where(F.pmod(F.xxhash64("id", F.lit("sample")), F.lit(16)) == 0).select("key")))
         links = settle(links.unionByName(_linked(node_docs, meta, _pairs_with_leader(shared))))
         mixed = _labelled(shared, links)
-        links = settle(links.unionByName(_linked(node_docs, meta, _pairs_across(mixed))))
+        few = F.col("members") <= PAIR_CAP
+        more = _pairs_across(mixed.where(few)).unionByName(_pairs_across(mixed.where(~few), own)).distinct()
+        links = settle(links.unionByName(_linked(node_docs, meta, more)))
     comp = connected_components(links)
     return (member.join(comp.withColumnRenamed("id", "rep"), "rep", "left")
             .select("doc_id", "n_shingles", F.coalesce("component", "rep").alias("component_id")))
