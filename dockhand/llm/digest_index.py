@@ -70,7 +70,8 @@ class DigestIndex:
 
     def add(self, digests: DataFrame) -> None:
         """Append the digests (digest, doc_id) not yet known, each with its smallest doc_id."""
-        distinct = digests.groupBy("digest").agg(F.min("doc_id").alias("keep_id"))
+        # settled, or the optimiser moves the join below the aggregate and shuffles every copy
+        distinct = settle(digests.groupBy("digest").agg(F.min("doc_id").alias("keep_id")))
         new = distinct.hint("merge").join(self.known().select("digest").hint("merge"), "digest", "left_anti")
         staged = settle(new.select("digest", "keep_id"))  # read fully before the table it came from grows
         (staged.repartition(self.buckets, "digest").write.format("parquet").mode("append")
