@@ -80,6 +80,14 @@ def test_awkward_rows(spark):
     assert J.jaccard_components(empty).count() == 0
 
 
+def test_rows_that_share_a_doc_id_are_one_document(spark):
+    text = {k: " ".join(f"{k}{i}" for i in range(30)) for k in "abc"}
+    near = {k: t + " tail" for k, t in text.items()}
+    rows = [(1, text["a"]), (5, text["a"]), (5, text["b"]), (7, near["b"]), (8, text["c"]), (5, near["c"]), (9, "x y z")]
+    got = {(r["doc_id"], r["component_id"]) for r in J.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {(1, 1), (5, 1), (7, 1), (8, 1), (9, 9)}
+
+
 def test_one_of_each_group_stays_with_all_columns(spark):
     kept = J.keep_one_per_component(awkward(spark))
     assert kept.columns == awkward(spark).columns
