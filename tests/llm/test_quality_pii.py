@@ -6,6 +6,7 @@ import pytest
 from helpers import awkward, docs
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from conftest import SF_MID
 from dockhand.llm import pii, quality
@@ -26,7 +27,7 @@ def test_held_out_accuracy(spark):
 def test_held_out_labels_teach_nothing(spark):
     table, labels = (spark.read.parquet(f"{SF_MID}/{t}.parquet") for t in ("documents", "labels"))
     model = quality.fit_quality(table, labels)
-    turned = labels.withColumn("quality", pytest.importorskip("pyspark.sql.functions").expr(
+    turned = labels.withColumn("quality", F.expr(
         "case when crc32(cast(cast(doc_id as string) as binary)) % 4 = 2 then 1 - quality else quality end"))
     other = quality.fit_quality(table, turned)
     assert (model.references == other.references).all() and (model.labels == other.labels).all() and model.base_rate == other.base_rate
