@@ -7,7 +7,7 @@ import gc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dockhand.session import cut_lineage
+from dockhand.session import cut_lineage, remove_path
 
 BROADCAST_ROWS = 1_000_000  # narrow id rows: about 16 MB on an executor
 BATCH_ROWS = 1000           # rows of text in an Arrow batch: a few MB, not Spark's default of 10,000 rows
@@ -33,6 +33,13 @@ def settle(df: DataFrame, release: bool = False) -> DataFrame:
     return out
 
 
+def discard(settled: DataFrame) -> None:
+    """Delete the files of a settled frame that nothing reads any more."""
+    files = settled.inputFiles()
+    if files:
+        remove_path(settled.sparkSession, files[0].rsplit("/", 1)[0])
+
+
 def small_side(df: DataFrame, most_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Mark a settled frame of narrow rows for broadcast if its counted rows
     stay within ``most_rows``; beyond that the join shuffles."""

@@ -53,7 +53,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from dockhand.llm.common import drop_rows, settle, small_side, take_rows, text_batches
+from dockhand.llm.common import discard, drop_rows, settle, small_side, take_rows, text_batches
 from dockhand.llm.graph import connected_components
 from dockhand.llm.shingles import mix, shingle_sets, slices
 
@@ -221,10 +221,14 @@ def _linked(docs: DataFrame, meta: DataFrame, pairs: DataFrame) -> DataFrame:
              .where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * PERCENT)
              .select("a", "b", "na", "nb", "sa", "sb"))
     near = settle(sized.mapInArrow(_near_by_sketch, "a long, b long"))
+    if near.isEmpty():
+        return near
     ids = settle(near.select(F.col("a").alias("doc_id")).unionByName(near.select(F.col("b").alias("doc_id"))).distinct())
     sets = settle(take_rows(docs, ids, "doc_id").select("doc_id", "text").mapInArrow(_sets, "id long, members binary"))
     full = (near.join(sets.toDF("a", "ma"), "a").join(sets.toDF("b", "mb"), "b").select("a", "b", "ma", "mb"))
-    return settle(full.mapInArrow(_near_exactly, "a long, b long").distinct(), release=True)
+    links = settle(full.mapInArrow(_near_exactly, "a long, b long").distinct(), release=True)
+    discard(sets)
+    return links
 
 
 def _shared(rows: DataFrame, sample: DataFrame) -> DataFrame:
@@ -239,8 +243,8 @@ def _shared(rows: DataFrame, sample: DataFrame) -> DataFrame:
     marked = (rows.join(small_side(hot).withColumn("hot", F.lit(True)), "key", "left")
               .withColumn("salt", F.when(F.col("hot"), F.pmod(F.xxhash64("id"), F.lit(SALT))).otherwise(F.lit(-1))))
     parts = settle(_led(marked, ["key", "salt"], keep_single=F.col("salt") >= 0), release=True)
-    heads = parts.where("salt >= 0").groupBy("key").agg(F.min("lead").alias("head"))
-    return (parts.join(heads, "key", "left")
+    heads = settle(parts.where("salt >= 0").groupBy("key").agg(F.min("lead").alias("head")))
+    return (parts.join(small_side(heads), "key", "left")
             .select("key", "id", F.coalesce("head.id", "lead.id").alias("leader")))
 
 
@@ -256,14 +260,13 @@ def _pairs_with_leader(shared: DataFrame) -> DataFrame:
     return shared.where("id != leader").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
 
 
-def _labelled(shared: DataFrame, links: DataFrame) -> DataFrame:
+def _labelled(shared: DataFrame, comp: DataFrame) -> DataFrame:
     """(key, id, comp) of the buckets that hold several components."""
-    comp = connected_components(links)
     tagged = shared.join(comp, "id", "left").select("key", "id", "leader", F.coalesce("component", "id").alias("comp"))
     tagged = settle(tagged)
-    mixed = (tagged.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"),
-                                       F.count(F.lit(1)).alias("members")).where("lo < hi").select("key", "members"))
-    return settle(tagged.join(mixed, "key"))
+    mixed = settle(tagged.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"),
+                                             F.count(F.lit(1)).alias("members")).where("lo < hi").select("key", "members"))
+    return settle(tagged.join(small_side(mixed), "key"))
 
 
 def _pairs_across(mixed: DataFrame, own: DataFrame | None = None) -> DataFrame:
@@ -324,32 +327,44 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     key = ["set_hi", "set_lo", "n_shingles"]
     groups = found.where("n_shingles > 0").groupBy(*key).agg(F.min("doc_id").alias("rep"))
     member = settle(found.select("doc_id", *key).join(groups, key, "left")
-                    .select("doc_id", "n_shingles", F.coalesce("rep", "doc_id").alias("rep")))
-    others = settle(member.where("doc_id != rep").select("doc_id").distinct())
-    nodes = drop_rows(found.where("n_shingles > 0 and doc_id is not null"), others, "doc_id")
+                    .select("doc_id", "n_shingles", "set_hi", F.coalesce("rep", "doc_id").alias("rep")))
+    others = settle(member.where("doc_id != rep").select("doc_id", "set_hi", "rep").distinct())
+    nodes = (found.where("n_shingles > 0 and doc_id is not null")
+             .join(small_side(others.select("doc_id", "set_hi")), ["doc_id", "set_hi"], "left_anti"))
     meta = settle(nodes.select("doc_id", "n_shingles", "sketch", "unsafe"))
+    # a doc_id with several texts is one document: it ties their sets together
+    several = others.select("doc_id").unionByName(meta.select("doc_id")).groupBy("doc_id").count().where("count > 1")
+    tied = settle(others.join(several, "doc_id", "left_semi").select(F.col("doc_id").alias("a"), F.col("rep").alias("b")))
     rows = nodes.select(F.explode("sigs").alias("key"), F.col("doc_id").alias("id"))
     sample = (nodes.where(F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(16)) == 0)
               .select(F.explode("sigs").alias("key")))
     shared = settle(_shared(rows, sample), release=True)
+    discard(found)  # the signatures are the largest table; all that is read from here on was settled apart
 
     node_docs = docs.where("doc_id is not null")
-    links = _linked(node_docs, meta, _pairs_with_leader(shared))
-    mixed = _labelled(shared, links)
-    more = _pairs_across(mixed.where(F.col("members") <= PAIR_CAP))
-    links = settle(links.unionByName(_linked(node_docs, meta, more)))
+    links = tied.unionByName(_linked(node_docs, meta, _pairs_with_leader(shared)))
+    comp = connected_components(links)
 
-    crowd = settle(mixed.where(F.col("members") > PAIR_CAP).select(F.col("id").alias("doc_id"))
-                   .unionByName(meta.where("unsafe").select("doc_id")).distinct())
+    def with_links(*pairs: DataFrame) -> DataFrame:
+        """Components after the similar ones among further candidate pairs."""
+        nonlocal links
+        more = [x for x in (_linked(node_docs, meta, p) for p in pairs) if not x.isEmpty()]
+        for x in more:
+            links = links.unionByName(x)
+        return connected_components(links) if more else comp
+
+    mixed = _labelled(shared, comp)
+    few = F.col("members") <= PAIR_CAP
+    crowd = settle(mixed.where(~few).select(F.col("id").alias("doc_id")).unionByName(meta.where("unsafe").select("doc_id")).distinct())
+    if not mixed.isEmpty():
+        comp = with_links(_pairs_across(mixed.where(few)))
     if not crowd.isEmpty():
         prefix, own = _rare_first(node_docs, crowd)
         shared = settle(_shared(prefix, prefix.where(F.pmod(F.xxhash64("id", F.lit("sample")), F.lit(16)) == 0).select("key")))
-        links = settle(links.unionByName(_linked(node_docs, meta, _pairs_with_leader(shared))))
-        mixed = _labelled(shared, links)
-        few = F.col("members") <= PAIR_CAP
-        more = _pairs_across(mixed.where(few)).unionByName(_pairs_across(mixed.where(~few), own)).distinct()
-        links = settle(links.unionByName(_linked(node_docs, meta, more)))
-    comp = connected_components(links)
+        comp = with_links(_pairs_with_leader(shared))
+        mixed = _labelled(shared, comp)
+        if not mixed.isEmpty():
+            comp = with_links(_pairs_across(mixed.where(few)).unionByName(_pairs_across(mixed.where(~few), own)).distinct())
     return (member.join(comp.withColumnRenamed("id", "rep"), "rep", "left")
             .select("doc_id", "n_shingles", F.coalesce("component", "rep").alias("component_id")))
 
