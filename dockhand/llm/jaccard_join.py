@@ -325,7 +325,8 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     common = docs.sparkSession.sparkContext.broadcast(common_shingles(docs))
     found = settle(docs.mapInArrow(_features(common), FEATURES))
     key = ["set_hi", "set_lo", "n_shingles"]
-    groups = found.where("n_shingles > 0").groupBy(*key).agg(F.min("doc_id").alias("rep"))
+    # settled apart, so that the join below is a plain one whose hot sets Spark can split
+    groups = settle(found.where("n_shingles > 0").groupBy(*key).agg(F.min("doc_id").alias("rep")))
     member = settle(found.select("doc_id", *key).join(groups, key, "left")
                     .select("doc_id", "n_shingles", "set_hi", F.coalesce("rep", "doc_id").alias("rep")))
     others = settle(member.where("doc_id != rep").select("doc_id", "set_hi", "rep").distinct())
