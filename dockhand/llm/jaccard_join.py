@@ -168,6 +168,9 @@ _NAMES = ["doc_id", "n_shingles", "set_hi", "set_lo", "unsafe", "sketch", "sigs"
 _ARROW = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary(), pa.list_(pa.int64())]
 
 
+_MEMBERS = "id long, set long, n long, key long"
+
+
 def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
@@ -189,10 +192,29 @@ def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for batch in slices(whole, "text"):
             sets = list(shingle_sets(batch.column(1), WORDS))
-            sizes = np.array([len(s) for s in sets], np.int64)
-            ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids, sizes)), pa.array(np.repeat(sizes, sizes)),
-                                              pa.array(np.concatenate(sets).view(np.int64))], names=["id", "n", "key"])
+            yield _exploded(batch.column(0), np.zeros(len(sets), np.int64), sets)
+
+
+def _keyed_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for whole in batches:
+        for batch in slices(whole, "text"):
+            sets = [h.tobytes() for h in shingle_sets(batch.column(1), WORDS)]
+            keys = [_signed(xxhash.xxh3_128_intdigest(x) >> 64) for x in sets]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.int64()), pa.array(sets, pa.binary())], names=["id", "set", "members"])
+
+
+def _members_of_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in batch.column(2)]
+        if sets:
+            yield _exploded(batch.column(0), batch.column(1).to_numpy(zero_copy_only=False), sets)
+
+
+def _exploded(ids: pa.Array, keys: np.ndarray, sets: list[np.ndarray]) -> pa.RecordBatch:
+    sizes = np.array([len(s) for s in sets], np.int64)
+    ids = ids.to_numpy(zero_copy_only=False).astype(np.int64)
+    return pa.RecordBatch.from_arrays([pa.array(np.repeat(ids, sizes)), pa.array(np.repeat(keys, sizes)), pa.array(np.repeat(sizes, sizes)),
+                                       pa.array(np.concatenate(sets).view(np.int64))], names=["id", "set", "n", "key"])
 
 
 def _near_by_sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -295,17 +317,29 @@ def _pairs_across(mixed: DataFrame, own: DataFrame | None = None) -> DataFrame:
 
 def _rare_first(docs: DataFrame, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Prefix rows (key, id, r): of each set, the rarest shingles (within ``ids``) of
-    which any similar set has one; and (id, n, r) for ``_pairs_across``."""
-    members = settle(take_rows(docs, ids, "doc_id").select("doc_id", "text").mapInArrow(_members, "id long, n long, key long"))
+    which any similar set has one; and (id, n, r) for ``_pairs_across``.
+
+    An id that stands in several rows counts once per distinct set: each has its own
+    prefix, and its own row of (id, n, r)."""
+    rows = take_rows(docs, ids, "doc_id").select("doc_id", "text")
+    several = settle(rows.groupBy("doc_id").count().where("count > 1").select("doc_id"))
+    repeated = not several.isEmpty()
+    once = drop_rows(rows, several, "doc_id") if repeated else rows
+    members = once.mapInArrow(_members, _MEMBERS)
+    if repeated:
+        sets = take_rows(rows, several, "doc_id").mapInArrow(_keyed_sets, "id long, set long, members binary")
+        members = members.unionByName(sets.dropDuplicates(["id", "set"]).mapInArrow(_members_of_sets, _MEMBERS))
+    members = settle(members)
     often = members.groupBy("key").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     known = settle(members.join(often, "key", "left"))
-    own = settle(known.groupBy("id").agg(F.max("n").alias("n"), F.count_if(F.col("df").isNull()).alias("alone"),
-                                         F.count_if(F.coalesce("df", F.lit(1)) <= PAIR_CAP).alias("r")))
+    own = settle(known.groupBy("id", "set").agg(F.max("n").alias("n"), F.count_if(F.col("df").isNull()).alias("alone"),
+                                                F.count_if(F.coalesce("df", F.lit(1)) <= PAIR_CAP).alias("r")))
     # shingles that no other set has stand first in the order: they use up the prefix without rows
     length = F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1 - F.col("alone")
-    rank = F.row_number().over(Window.partitionBy("id").orderBy("df", "key"))
-    ranked = known.where("df is not null").drop("n").withColumn("rank", rank).join(own, "id").where(F.col("rank") <= length)
-    return settle(ranked.select("key", "id", "r")), own.drop("alone")
+    rank = F.row_number().over(Window.partitionBy("id", "set").orderBy("df", "key"))
+    ranked = known.where("df is not null").drop("n").withColumn("rank", rank).join(own, ["id", "set"]).where(F.col("rank") <= length)
+    prefix = ranked.groupBy("key", "id").agg(F.min("r").alias("r")) if repeated else ranked.select("key", "id", "r")
+    return settle(prefix), own.select("id", "n", "r").distinct() if repeated else own.select("id", "n", "r")
 
 
 def common_shingles(docs: DataFrame) -> np.ndarray:

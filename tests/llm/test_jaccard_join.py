@@ -88,6 +88,31 @@ def test_rows_that_share_a_doc_id_are_one_document(spark):
     assert got == {(1, 1), (5, 1), (7, 1), (8, 1), (9, 9)}
 
 
+@pytest.mark.parametrize("cap", [1, 32])
+def test_repeated_rows_lose_no_link_of_unsafe_sets(spark, monkeypatch, cap):
+    rows, common, want = [], [], set()
+    for k, times in enumerate((1, 2, 5, 1)):
+        both = [f"s{k}_{i}" for i in range(90)]  # 86 shingles of both, 14 of each alone: 86 / 114
+        x, y = (" ".join(both + [f"{name}{k}_{i}" for i in range(14)]) for name in "xy")
+        rows += [(10 * k, x)] * times + [(10 * k + 1, y)]
+        want |= {(10 * k, 10 * k), (10 * k + 1, 10 * k)}
+        common += shingle_sets(pa.array([" ".join(both)]))
+    other = " ".join([f"s3_{i}" for i in range(30)] + [f"z{i}" for i in range(74)])  # a second set of one doc_id
+    rows += [(31, other), (32, other)]
+    monkeypatch.setattr(J, "PAIR_CAP", cap)
+    monkeypatch.setattr(J, "common_shingles", lambda docs: np.sort(np.concatenate(common)))
+    got = {(r["doc_id"], r["component_id"]) for r in J.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == want | {(32, 30)}
+
+
+def test_repeated_rows_equal_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(J, "PAIR_CAP", 1)
+    texts = _corpus(7)
+    rows = [(i, t) for i, t in enumerate(texts) for _ in range(1 + i % 3)]
+    got = {(r["doc_id"], r["component_id"]) for r in J.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == set(components({i: shingles(words(t)) for i, t in enumerate(texts)}).items())
+
+
 def test_one_of_each_group_stays_with_all_columns(spark):
     kept = J.keep_one_per_component(awkward(spark))
     assert kept.columns == awkward(spark).columns
