@@ -10,15 +10,16 @@ node.  A node has features of its shape and of the word before it.  Neighbouring
 chain edges; candidates with the same key, however far apart (equal digits or the
 same last seven digits; the same address in any case), by skip edges whose potential is shared and favours
 equal labels.  Candidates under a base span are observed.  Loopy
-sum-product message passing runs over each document until the beliefs settle
-(at most ``ROUNDS``).  A candidate whose belief in a kind reaches ``CERTAIN`` and
+sum-product message passing runs over each document until the messages settle
+(the limit of rounds grows with the nodes).  A candidate whose belief in a kind reaches ``CERTAIN`` and
 that overlaps no base span is an added span of that kind: a number written
 without its country code, say, in a document that spells it out elsewhere.
-Repeats of a key are joined to the next one only, a chain through all of them, so
-edges grow with the tokens and not with their square.
+All repeats of a key are joined to one hub, so edges grow with the tokens and not
+with their square, and any two repeats are two steps apart, wherever they stand.  A hub is
+observed if one of its candidates is: each repeat then meets that label directly.
 
 The weights are fitted by pseudo-likelihood (each label given its features and its
-neighbours' labels) on the base labels of at most ``FIT_DOCS`` documents, with
+neighbours' labels, of repeats the one before and the one after) on the base labels of at most ``FIT_DOCS`` documents, with
 the decisive features hidden at random, so that the rest of a token's shape and its
 neighbours carry weight as well.
 
@@ -46,7 +47,9 @@ from dockhand.llm.common import text_batches
 KINDS = ("email", "ip", "card", "phone")
 FIT_DOCS = 2000
 FIT_NODES = 20_000
-ROUNDS = 20
+ROUNDS = 1000      # and ROUNDS_PER_NODE more for each node: a limit for messages that never settle
+ROUNDS_PER_NODE = 4
+SETTLED = 1e-6     # a smaller change of a message is none
 CERTAIN = 0.97
 CONSISTENCY = 4.0  # log potential that skip edges give to equal labels, besides the fitted one
 OBSERVED = 12.0    # log potential of a base span's kind at the candidates it covers
@@ -196,7 +199,7 @@ def _key(token: str) -> str:
 
 
 def graph(text: str) -> tuple[list[tuple[int, int]], np.ndarray, list[tuple[int, int, int]]]:
-    """Nodes (spans), their features, and edges (i, j, type): 0 chain, 1 skip."""
+    """Nodes (spans), their features, and edges (i, j, type): 0 chain, 1 skip (a repeat and the next one)."""
     spans = candidates(text)
     edges, last = [], {}
     for j, (start, end) in enumerate(spans):
@@ -226,24 +229,48 @@ def beliefs(unary: np.ndarray, edges: list[tuple[int, int, int]], pair: np.ndarr
     src, dst = np.concatenate([i, j]), np.concatenate([j, i])
     potential = np.exp(np.concatenate([pair[kind], pair[kind].transpose(0, 2, 1)]))
     back = np.concatenate([np.arange(len(i)) + len(i), np.arange(len(i))])
-    message = np.zeros((len(src), unary.shape[1]))
-    for _ in range(ROUNDS):
-        total = unary.copy()
-        np.add.at(total, dst, message)
-        out = total[src] - message[back]
+    message, total = np.zeros((len(src), unary.shape[1])), unary.copy()
+    at = np.arange(len(src))  # messages that may still change
+    for _ in range(ROUNDS + ROUNDS_PER_NODE * len(unary)):
+        out = total[src[at]] - message[back[at]]
         out = np.exp(out - out.max(1, keepdims=True))
-        new = np.log(np.einsum("el,elm->em", out, potential) + 1e-300)
+        new = np.log(np.einsum("el,elm->em", out, potential[at]) + 1e-300)
         new -= np.logaddexp.reduce(new, axis=1, keepdims=True)
-        moved = np.abs(new - message).max()
-        message = 0.5 * message + 0.5 * new if moved > 1e-6 else new
-        if moved <= 1e-6:
+        change = new - message[at]
+        moved = np.abs(change).max(1) > SETTLED
+        change[moved] *= 0.5
+        message[at] += change
+        np.add.at(total, dst[at], change)
+        if not moved.any():
             break
+        touched, live = np.zeros(len(unary), bool), np.zeros(len(src), bool)
+        touched[dst[at[moved]]] = live[at[moved]] = True
+        at = np.flatnonzero(live | touched[src])
     total = unary.copy()
     np.add.at(total, dst, message)
     x = np.exp(total - total.max(1, keepdims=True))
     return x / x.sum(1, keepdims=True)
 
 
+def with_hubs(unary: np.ndarray, edges: list[tuple[int, int, int]], observed: dict[int, int]) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """Skip edges replaced by edges to one hub for all candidates of a key;
+    ``observed`` (node: label) makes the hub observed as well, whatever the number of its repeats."""
+    out, hub, members = [e for e in edges if e[2] == 0], {}, []
+    for i, j, kind in edges:
+        if kind == 1:
+            if i not in hub:
+                hub[i] = len(members)
+                members.append([i])
+            hub[j] = hub[i]
+            members[hub[i]].append(j)
+    own = np.zeros((len(members), unary.shape[1]))
+    for h, nodes in enumerate(members):
+        out += [(i, len(unary) + h, 1) for i in nodes]
+        for label in {observed[i] for i in nodes if i in observed}:
+            own[h, label] = OBSERVED * len(nodes)
+    return np.concatenate([unary, own]), out
+
+
 def fit(features: np.ndarray, neighbours: np.ndarray, labels: np.ndarray, seed: int = 1) -> tuple[np.ndarray, np.ndarray]:
     """Pseudo-likelihood fit: log potentials of features (labels x width) and of edges (type x label x label).
 
@@ -307,7 +334,8 @@ def added_spans(text: str, base: list[tuple[int, int, str]], field) -> list[tupl
     truth = np.array(_truth(spans, base))
     seen = np.flatnonzero(truth != _OTHER)
     unary[seen, truth[seen]] += OBSERVED
-    belief = beliefs(unary, edges, pair + np.array([0, CONSISTENCY])[:, None, None] * np.eye(_OTHER + 1))
+    unary, edges = with_hubs(unary, edges, {int(i): int(truth[i]) for i in seen})
+    belief = beliefs(unary, edges, pair + np.array([0, CONSISTENCY])[:, None, None] * np.eye(_OTHER + 1))[: len(spans)]
     covered = _Cover(base)
     return [(*span, KINDS[kind]) for span, kind, p in zip(spans, belief.argmax(1), belief.max(1), strict=True)
             if kind != _OTHER and p >= CERTAIN and not covered.meets(*span)]

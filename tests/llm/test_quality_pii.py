@@ -99,6 +99,26 @@ def test_field_adds_what_skip_edges_support(spark):
     assert added <= 5
 
 
+@pytest.mark.parametrize("lean", [0, 2])
+def test_field_reaches_every_repeat_of_a_long_text(lean):
+    import numpy as np
+    weights, pair = np.zeros((5, pii._WIDTH)), np.zeros((2, 5, 5))
+    weights[-1, 0], pair[1] = lean, (8 - pii.CONSISTENCY) * np.eye(5)  # tokens flat or leaning to other
+    first, again = "Call +1 (755) 555-9729 now. ", "Many words in between them here, really, and some more. Ring 755-555-9729 today. "
+    for text, repeats in ((first + again * 100, 100), (again * 60 + first + again * 60, 120), (again * 100, 0)):
+        added = pii.added_spans(text, pii.base_spans(text), (weights, pair))
+        assert len(added) == repeats and all(text[s:e] == "755-555-9729" and kind == "phone" for s, e, kind in added)
+
+
+def test_messages_settle_on_a_long_chain():
+    import numpy as np
+    unary, pair = np.zeros((300, 2)), np.zeros((2, 2, 2))
+    unary[0, 1], pair[0] = 20, 6 * np.eye(2)
+    got = pii.beliefs(unary, [(i, i + 1, 0) for i in range(299)], pair)[:, 1]
+    stay = np.exp(6) / (np.exp(6) + 1)
+    assert np.allclose(got, (1 + (2 * stay - 1) ** np.arange(300)) / 2, atol=1e-3)
+
+
 def test_beliefs_equal_enumeration_on_a_tree():
     import itertools
 
