@@ -12,10 +12,14 @@ damage.  Trees are Parquet tables made by one aggregate per level whose
 groups hold at most ``FANOUT`` rows; they are kept, so a later audit reads
 no record.
 
+Records that the descent leaves are matched by identity (page id and url), not by place:
+equal ones are sound, wherever they lie.  A lost, added or resized record moves all that
+follow in its archive, so those are compared as records, at most one archive's.
+
 A null url or html is written as empty.  Page ids may be null or repeat: records
 are ordered by page id, url and digest, so replicas with the same records
 have the same trees.  A record of one replica only is reported as ``missing`` (from the
-second) or ``extra``; with equal offsets and other bytes, as ``corrupt``.  Equal
+second) or ``extra``; one of both with other bytes, of any length, as ``corrupt``.  Equal
 tables give an empty audit, as do empty ones.  Other columns are ignored.
 """
 
@@ -52,12 +56,12 @@ def record_hashes(pages: DataFrame, record: Column) -> DataFrame:
 
 
 def lay_out(hashes: DataFrame, archives: int) -> DataFrame:
-    """Leaves (level 0): archive, index, start, end, digest, page_id."""
+    """Leaves (level 0): archive, index, start, end, digest, page_id, url_key."""
     order = Window.partitionBy("archive").orderBy("page_id", "url_key", "digest")
     end = F.sum("length").over(order.rowsBetween(Window.unboundedPreceding, 0))
     return (hashes.withColumn("archive", archive_of("page_id", archives)).withColumn("end", end)
             .select(F.lit(0).alias("level"), "archive", (F.row_number().over(order) - 1).cast("long").alias("index"),
-                    (F.col("end") - F.col("length")).alias("start"), "end", "digest", "page_id"))
+                    (F.col("end") - F.col("length")).alias("start"), "end", "digest", "page_id", "url_key"))
 
 
 def merkle_tree(leaves: DataFrame) -> list[DataFrame]:
@@ -87,18 +91,39 @@ def audit(first: list[DataFrame], second: list[DataFrame]) -> DataFrame:
                                      & F.col("a_start").eqNullSafe(F.col("b_start"))
                                      & F.col("a_end").eqNullSafe(F.col("b_end")))))
         suspects = differ.select("archive", F.col("index").alias("parent"))
+    differ = _matched(*(differ.where(f"{x}_digest is not null").select("archive", *[f"{x}_{c}" for c in _RECORD]) for x in "ab"))
     status = (F.when(F.col("b_digest").isNull(), "missing").when(F.col("a_digest").isNull(), "extra").otherwise("corrupt"))
     start, end = F.coalesce("a_start", "b_start"), F.coalesce("a_end", "b_end")
     return differ.select("archive", start.alias("start"), (end - start).alias("length"), F.coalesce("a_page_id", "b_page_id").alias("page_id"),
                          status.alias("status"), F.col("a_digest").alias("first_sha256"), F.col("b_digest").alias("second_sha256"))
 
 
+_RECORD = ("start", "end", "digest", "page_id", "url_key")
+
+
+def _matched(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Records of both sides joined by identity, without those whose bytes are equal.
+    Copies of an identity are matched by equal digests first, then in their order."""
+    for same in (["page_id", "url_key", "digest"], ["page_id", "url_key"]):
+        sides = []
+        for name, side in (("a", a), ("b", b)):
+            keys = [F.col(f"{name}_{c}") for c in same]
+            nth = F.row_number().over(Window.partitionBy("archive", *keys).orderBy(f"{name}_start"))
+            sides.append(side.withColumn(f"{name}_nth", nth).withColumnRenamed("archive", f"{name}_archive"))
+        on = [F.col(f"a_{c}").eqNullSafe(F.col(f"b_{c}")) for c in ("archive", *same, "nth")]
+        both = sides[0].join(sides[1], on, "full").withColumn("archive", F.coalesce("a_archive", "b_archive"))
+        if "digest" in same:
+            odd = settle(both.where("a_digest is null or b_digest is null"))
+            a, b = (odd.where(f"{x}_digest is not null").select("archive", *[f"{x}_{c}" for c in _RECORD]) for x in "ab")
+    return both
+
+
 def _side(tree: list[DataFrame], level: int, name: str) -> DataFrame:
     """A level of a tree with prefixed columns; a tree that is lower has none of it."""
     rows = tree[level] if level < len(tree) else tree[-1].where("false")
-    page = F.col("page_id") if level == 0 else F.lit(None).cast("long")
+    page, url = (F.col(c) if level == 0 else F.lit(None).cast("long") for c in ("page_id", "url_key"))
     return rows.select("archive", "index", F.col("start").alias(f"{name}_start"), F.col("end").alias(f"{name}_end"),
-                       F.col("digest").alias(f"{name}_digest"), page.alias(f"{name}_page_id"))
+                       F.col("digest").alias(f"{name}_digest"), page.alias(f"{name}_page_id"), url.alias(f"{name}_url_key"))
 
 
 def archives_for(hashes: DataFrame, archive_bytes: int = ARCHIVE_BYTES) -> int:

@@ -75,6 +75,27 @@ def test_missing_and_extra_records(spark):
     assert [(r["page_id"], r["status"]) for r in _audit(less, whole, archives=1)] == [(299, "extra")]
 
 
+def test_shifts_accuse_no_sound_record(spark):
+    whole, less = _records(spark, 300), _records(spark, 300, cut={10})
+    assert [(r["page_id"], r["status"]) for r in _audit(whole, less, archives=1)] == [(10, "missing")]
+    assert [(r["page_id"], r["status"]) for r in _audit(less, whole, archives=1)] == [(10, "extra")]
+    record = fixity.warc_record()
+    shorter = F.when(F.col("page_id") == 20, F.expr("substring(html, 2)")).otherwise(F.col("html"))
+    got = _audit(whole, _records(spark, 300, cut={3, 250}).withColumn("html", shorter), archives=1)
+    assert {(r["page_id"], r["status"]) for r in got} == {(3, "missing"), (20, "corrupt"), (250, "missing")} and len(got) == 3
+    bodies = [r[0].encode() for r in whole.orderBy("page_id").select(record).collect()]
+    at = {r["page_id"]: (r["start"], r["length"]) for r in got}
+    assert all(b"".join(bodies)[s: s + n] == bodies[i] for i, (s, n) in at.items())
+
+
+def test_copies_of_a_page_match_by_their_bytes(spark):
+    rows = [(1, "u", h) for h in ("a", "b", "c", "c")] + [(None, None, "x"), (None, None, "y"), (2, None, "z"), (2, "", "z")]
+    first = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for gone in (1, 3, 4, 7):
+        (r,) = _audit(first, spark.createDataFrame(rows[:gone] + rows[gone + 1:], first.schema), archives=1)
+        assert (r["page_id"], r["status"]) == (rows[gone][0], "missing")
+
+
 def test_awkward_pages(spark):
     rows = [(None, None, None, 1), (None, None, None, 1), (1, "", "", 2), (1, "u", "é", 2), (2, "u", "x" * 100_000, 3)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, digest int")
