@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import gc
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dockhand.session import cut_lineage, remove_path
@@ -22,6 +22,26 @@ def text_batches(df: DataFrame) -> DataFrame:
     return df
 
 
+def settle_texts(df: DataFrame, batch_rows: int = BATCH_ROWS) -> DataFrame:
+    """``settle`` a frame whose Python stage reads texts, in small Arrow batches; the session's setting is put back."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = conf.get(key)
+    conf.set(key, str(batch_rows if int(before) <= 0 else min(batch_rows, int(before))))
+    try:
+        return cut_lineage(df)
+    finally:
+        conf.set(key, before)
+
+
+def read_file(spark: SparkSession, path: str) -> bytes:
+    """One small file (a vocabulary, a model): a local file of the driver, or any path that Spark reads."""
+    try:
+        with open(path, "rb") as f:
+            return f.read()
+    except OSError:
+        return bytes(spark.read.format("binaryFile").load(path).select("content").first()[0])
+
+
 def settle(df: DataFrame, release: bool = False) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.  ``release`` after
     a large shuffle: let go of its files now (Spark's cleaner removes those
