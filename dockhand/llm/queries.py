@@ -9,8 +9,8 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dockhand.llm import (decontaminate, digest_index, fixity, host_reputation, jaccard_join, mixing, packing, pii,
-                          quality, sharding)
+from dockhand.llm import (alignment, decontaminate, digest_index, fixity, host_reputation, jaccard_join, lattice, mixing,
+                          packing, pii, quality, repair, sharding)
 from dockhand.session import read_table, scratch_path
 
 
@@ -202,6 +202,22 @@ FROM digests WINDOW g AS (PARTITION BY text_sha256)
 """
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alignment of two tokenizers over every document."""
+    return alignment.align_corpus(read_table(spark, sf_dir, "documents"))
+
+
+def op12_edit_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cheapest repair of every conversation, after planted damage."""
+    conversations = read_table(spark, sf_dir, "conversations")
+    return repair.repair_all(repair.damaged(conversations), conversations)
+
+
+def op13_subword_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language-model scores of every document."""
+    return lattice.lattice_scores(read_table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The training-corpus pipeline over all documents."""
     return corpus_pipeline.run(spark, sf_dir)
@@ -218,5 +234,8 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op8_skip_chain_crf": (op8_skip_chain_crf, None),
     "op9_merkle_fixity": (op9_merkle_fixity, OP9_SQL),
     "op10_digest_index": (op10_digest_index, OP10_SQL),
+    "op11_token_alignment": (op11_token_alignment, None),
+    "op12_edit_lattice": (op12_edit_lattice, None),
+    "op13_subword_lattice": (op13_subword_lattice, None),
     "pipeline": (pipeline, corpus_pipeline.ORACLE_SQL),
 }
