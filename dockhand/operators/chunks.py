@@ -14,6 +14,7 @@ from typing import Any, Callable, Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from dockhand.functions.timefmt import ntz_text
 
@@ -176,10 +177,27 @@ def retire(segments: DataFrame, *, since=None, until=None,
     return chosen()
 
 
-def read_used(df: DataFrame, segments: DataFrame, ts_col: str, granularity: str = "day") -> DataFrame:
-    """Rows of used chunks only (a semi join on the chunk start)."""
+def read_used(df: DataFrame, segments: DataFrame, ts_col: str | None = None, granularity: str = "day",
+              chunk_col: str | None = None) -> DataFrame:
+    """Rows of used chunks only (a semi join on the chunk start).
+
+    Give ``chunk_col``, the partition column that holds the chunk (a date, a
+    timestamp or the text that ``bulk_load_chunks`` writes): the join is then on
+    the partition column itself, so Spark prunes retired chunks' folders before the
+    scan (dynamic partition pruning).  With ``ts_col`` alone the chunk is computed from each row.
+    """
     used = segments.where(F.col("used")).select("chunk_start")
-    return df.join(used, chunk_start(ts_col, granularity) == used["chunk_start"], "left_semi")
+    if chunk_col is None:
+        if ts_col is None:
+            raise ValueError("give chunk_col or ts_col")
+        return df.join(used, chunk_start(ts_col, granularity) == used["chunk_start"], "left_semi")
+    # Spark prunes only for a side that it takes to be selective; a bare flag is not, a comparison
+    # is: this one holds for every start (the type begins with the year 1)
+    used = used.where(F.col("chunk_start") >= ntz_literal(dt.datetime(1, 1, 1)))
+    kind = df.schema[chunk_col].dataType
+    bound = ntz_text(F.col("chunk_start")) if isinstance(kind, T.StringType) else F.col("chunk_start").cast(kind)
+    keys = used.select(bound.alias("__used_chunk")).distinct()
+    return df.join(keys, F.col(chunk_col) == F.col("__used_chunk"), "left_semi")
 
 
 def truncate(df: DataFrame) -> DataFrame:

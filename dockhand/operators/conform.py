@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import Callable, Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -60,20 +60,77 @@ def _strict_cast(c: Column, name: str, src: T.DataType, dst: T.DataType) -> Colu
     return F.when(bad, F.raise_error(msg).cast(dst)).otherwise(out)
 
 
-def conform_schema(df: DataFrame, target: T.StructType, strict: bool = True,
-                   keep_extra: bool = True) -> DataFrame:
-    """Cast each target column to its declared type.
+def _by_name(struct: T.StructType, path: str, exact: bool) -> dict[str, T.StructField]:
+    """Fields by folded name; two fields of one name would be a guess."""
+    out: dict[str, T.StructField] = {}
+    for f in struct.fields:
+        key = f.name if exact else f.name.lower()
+        if key in out:
+            raise KeyError(f"{path}: field name {f.name} is ambiguous")
+        out[key] = f
+    return out
+
+
+def conform_value(c: Column, path: str, src: T.DataType, dst: T.DataType, *, strict: bool = True,
+                  fill_missing: bool = False, refuse_extra: bool = False, exact: bool = False) -> Column:
+    """``c`` of type ``src`` as a value of type ``dst``, nested fields matched by name.
+
+    Structs are rebuilt field by field in the target's order, inside arrays,
+    map keys and map values as well; only leaves are cast.  A field that the source lacks
+    is an error, or NULL with ``fill_missing``; a field that the target lacks
+    is dropped, or an error with ``refuse_extra``.  A NULL struct, array or map
+    stays NULL.  One expression, no Python, no shuffle.
+    """
+    rest = {"strict": strict, "fill_missing": fill_missing, "refuse_extra": refuse_extra, "exact": exact}
+    if src == dst or isinstance(src, T.NullType):
+        return c.cast(dst) if isinstance(src, T.NullType) else c
+    if isinstance(src, T.StructType) and isinstance(dst, T.StructType):
+        have = _by_name(src, path, exact)
+        want = _by_name(dst, path, exact)
+        missing = [f.name for k, f in want.items() if k not in have]
+        extra = [f.name for k, f in have.items() if k not in want]
+        if missing and not fill_missing:
+            raise KeyError(f"{path}: source lacks nested fields {missing}")
+        if extra and refuse_extra:
+            raise KeyError(f"{path}: target lacks nested fields {extra}")
+        fields = []
+        for k, f in want.items():
+            inner = (conform_value(c.getField(have[k].name), f"{path}.{f.name}", have[k].dataType, f.dataType, **rest)
+                     if k in have else F.lit(None).cast(f.dataType))
+            fields.append(inner.alias(f.name))
+        return F.when(c.isNotNull(), F.struct(*fields))
+    if isinstance(src, T.ArrayType) and isinstance(dst, T.ArrayType):
+        return F.transform(c, lambda x: conform_value(x, f"{path}[]", src.elementType, dst.elementType, **rest))
+    if isinstance(src, T.MapType) and isinstance(dst, T.MapType):
+        if src.keyType != dst.keyType:
+            c = F.transform_keys(c, lambda k, _: conform_value(k, f"{path}.key", src.keyType, dst.keyType, **rest))
+        if src.valueType != dst.valueType:
+            c = F.transform_values(c, lambda _, v: conform_value(v, f"{path}.value", src.valueType, dst.valueType, **rest))
+        return c
+    return _strict_cast(c, path, src, dst) if strict else c.try_cast(dst)
+
+
+def matches_case(spark: SparkSession) -> bool:
+    """The session's case rule: True if names must agree in case."""
+    return spark.conf.get("spark.sql.caseSensitive", "false").lower() == "true"
+
 
-    A target column missing from the frame is an error.  Extra columns are
-    kept (``keep_extra``) in place.  ``strict`` raises on any value that
-    does not fit; lenient mode gives NULL.  Types are never widened to text
-    (the staging type is the declared type).
+def conform_schema(df: DataFrame, target: T.StructType, strict: bool = True,
+                   keep_extra: bool = True, fill_missing: bool = False) -> DataFrame:
+    """Cast each target column to its declared type, nested fields by name.
+
+    A target column (or nested field) missing from the frame is an error, or
+    NULL with ``fill_missing``.  Extra columns are kept (``keep_extra``) in place; extra nested fields are
+    dropped, the declared type has no room for them.  ``strict`` raises on
+    any value that does not fit; lenient mode gives NULL.  Types are never
+    widened to text (the staging type is the declared type).
     """
     have = {n.lower(): n for n in df.columns}
-    missing = [f.name for f in target.fields if f.name.lower() not in have]
-    if missing:
-        raise KeyError(f"conform_schema: frame lacks target columns {missing}")
+    missing = [f for f in target.fields if f.name.lower() not in have]
+    if missing and not fill_missing:
+        raise KeyError(f"conform_schema: frame lacks target columns {[f.name for f in missing]}")
     tmap = {f.name.lower(): f for f in target.fields}
+    exact = matches_case(df.sparkSession)
     cols = []
     for n in df.columns:
         f = tmap.get(n.lower())
@@ -81,14 +138,9 @@ def conform_schema(df: DataFrame, target: T.StructType, strict: bool = True,
             if keep_extra:
                 cols.append(_q(n))
             continue
-        src = df.schema[n].dataType
-        if src == f.dataType:
-            cols.append(_q(n).alias(f.name))
-        elif strict:
-            cols.append(_strict_cast(_q(n), n, src, f.dataType).alias(f.name))
-        else:
-            cols.append(_q(n).try_cast(f.dataType).alias(f.name))
-    return df.select(*cols)
+        cols.append(conform_value(_q(n), n, df.schema[n].dataType, f.dataType, strict=strict, fill_missing=fill_missing,
+                                  exact=exact).alias(f.name))
+    return df.select(*cols, *(F.lit(None).cast(f.dataType).alias(f.name) for f in missing))
 
 
 def parse_and_drop(df: DataFrame, parser: Callable[[DataFrame], Column],

@@ -113,10 +113,22 @@ def _stage(reduced: DataFrame, broadcast_rows: int | None) -> tuple[DataFrame, b
     return staged, fits_broadcast(staged, broadcast_rows)
 
 
+# Plan nodes that read, choose or combine rows without computing across them.
+_READS = {"LogicalRelation", "DataSourceV2ScanRelation", "LocalRelation", "Range", "InMemoryRelation", "Project", "Filter", "Union",
+          "SubqueryAlias", "View"}
+
+
 def _is_scan(df: DataFrame) -> bool:
-    """True when reading the frame twice costs two (pruned) scans and nothing more."""
-    plan = df._jdf.queryExecution().optimizedPlan().toString()
-    return not any(word in plan for word in ("Aggregate", "Join", "Window", "Sort", "Generate", "Repartition", "MapIn"))
+    """True when reading the frame twice costs two (pruned) scans and gives the same rows both
+    times.  An allow list: limits, samples, Python functions and all else is staged by the caller."""
+    todo = [df._jdf.queryExecution().optimizedPlan()]
+    while todo:
+        node = todo.pop()
+        if node.nodeName() not in _READS or not node.deterministic():
+            return False
+        children = node.children()
+        todo += [children.apply(k) for k in range(children.size())]
+    return True
 
 
 def _split(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
@@ -165,16 +177,17 @@ def _as_target(df: DataFrame, target: DataFrame,
     With ``order_by``, the ordering is evaluated first (it may use incoming
     columns the target lacks) and carried as one struct column.
     """
-    from dockhand.operators.conform import _strict_cast
+    from dockhand.operators.conform import conform_value, matches_case
     from dockhand.operators.keyed import _orderable
+    exact = matches_case(df.sparkSession)
     cols = []
     for f in target.schema.fields:
         if f.name in df.columns:
             src = df.schema[f.name].dataType
             # a value that does not fit the target type fails the load (as a
-            # database insert would), whatever the session's ANSI setting
-            c = _q(f.name) if src == f.dataType else _strict_cast(_q(f.name), f.name, src, f.dataType)
-            cols.append(c.alias(f.name))
+            # database insert would), whatever the session's ANSI setting; nested
+            # fields go by name, with the same rules as columns
+            cols.append(conform_value(_q(f.name), f.name, src, f.dataType, fill_missing=True, refuse_extra=True, exact=exact).alias(f.name))
         else:
             cols.append(F.lit(None).cast(f.dataType).alias(f.name))
     if order_by:
@@ -235,8 +248,10 @@ def upsert_ignore(target: DataFrame, incoming: DataFrame, keys: Sequence[str],
     inc = _as_target(incoming, target, order_by)
     s_nn, s_null = _split(inc, keys)
     first = first_per_key(s_nn, keys, bool(order_by), "upsert_ignore")
-    t_keys = target.where(~_keys_null(keys)).select(*keys)
     first, small = _stage(first, broadcast_rows)
+    if not _is_scan(target):
+        target = cut_lineage(target)  # read twice below
+    t_keys = target.where(~_keys_null(keys)).select(*keys)
     if small:
         # only the target keys that the incoming rows hit (broadcast semi join)
         t_keys = t_keys.join(F.broadcast(first.select(*keys)), on=keys, how="left_semi")
@@ -355,6 +370,108 @@ def upsert_expr(target: DataFrame, incoming: DataFrame, keys: Sequence[str],
     return _merge(target, red, keys, matched, inserted, broadcast_rows).unionByName(s_null)
 
 
+FOLD_ROWS = 10_000  # rows of one key that a task may fold at once
+
+
+def _fold(rows: Column, init: Column, names: Sequence[str], rules: Mapping[str, str], types: Mapping[str, T.DataType]) -> Column:
+    """Apply the rules to an ordered array of rows, one after another, from ``init``.
+
+    The rule texts name the row so far ``t`` and the incoming row ``s``, which are the
+    variables of the lambda: the SQL that a match would run, unchanged.
+    """
+    made = ", ".join(f"'{c}', CAST({rules.get(c, f't.`{c}`')} AS {types[c].simpleString()})" for c in names)
+    return F.call_function("aggregate", rows, init, F.expr(f"(t, s) -> named_struct({made})"))
+
+
+def upsert_expr_ordered(target: DataFrame, incoming: DataFrame, keys: Sequence[str], rules: Mapping[str, str],
+                        order_by: Sequence[str | Column], associative: bool = False, fold_rows: int = FOLD_ROWS,
+                        broadcast_rows: int | None = None) -> DataFrame:
+    """W4 with repeated keys: rows are applied in order, each rule sees the result of the row before.
+
+    As a database applies single-row INSERT ... ON CONFLICT statements: the
+    first row of a new key is inserted whole, every other row runs the rules
+    (SQL texts over ``t.*``, the row so far, and ``s.*``) on what is there.  Columns
+    without a rule keep what is there.
+
+    One pass groups a key's rows; a key with more than ``fold_rows`` rows fails
+    the job with a clear error, since an arbitrary rule cannot be split.
+    ``associative=True`` says that folding a run of rows first and applying
+    its result gives the same as applying the rows (sums, maxima, first or last values): rows
+    are then ranged over tasks by key and order, each task folds its own runs of at most
+    ``fold_rows``, and only those results are gathered per key, so a
+    key that holds a third of all rows is spread over many tasks.
+    """
+    from dockhand.operators.keyed import _orderable
+    keys = list(keys)
+    if not rules:
+        raise ValueError("upsert_expr_ordered needs a conflict rule (the ON CONFLICT text)")
+    if any(not isinstance(r, str) for r in rules.values()):
+        raise TypeError("ordered rules are SQL texts over t.* and s.*")
+    if not order_by:
+        raise ValueError("upsert_expr_ordered needs order_by")
+    _check_columns(target, incoming, keys, order_by)
+    names = _resolved(rules, target, keys, "rules")
+    texts = {names[c]: r for c, r in rules.items()}
+    inc = _as_target(incoming, target, order_by)
+    s_nn, s_null = _split(inc, keys)
+    rest = [f.name for f in target.schema.fields if f.name not in keys]
+    types = {c: target.schema[c].dataType for c in rest}
+    unordered = [c for c in rest if not _orderable(types[c])]
+    if unordered:
+        raise TypeError(f"upsert_expr_ordered: columns without an order of their own: {unordered}")
+    payload = F.struct(*[_q(c) for c in rest])
+    listed = s_nn.select(*[_q(k) for k in keys], F.struct(_q(_ORD).alias("o"), payload.alias("r")).alias("__x"))
+    if associative:
+        listed = _folded_runs(listed, keys, rest, texts, types, fold_rows)
+    groups = listed.groupBy(*keys).agg(F.count(F.lit(1)).alias(_N), F.sort_array(F.collect_list("__x")).alias("__x"))
+    limit = F.lit(f"upsert_expr_ordered: a key has more than {fold_rows} {'folded runs' if associative else 'rows'}; "
+                  + ("raise fold_rows" if associative else "use associative=True if the rules allow it, or raise fold_rows"))
+    groups = groups.where(F.when(F.col(_N) > fold_rows, F.raise_error(limit)).otherwise(F.lit(True)))
+    rows = F.transform("__x", lambda x: x.getField("r"))
+    groups, small = _stage(groups.select(*keys, rows.alias("__rows")), broadcast_rows)
+    if not _is_scan(target):
+        target = cut_lineage(target)
+    if small:
+        # the target streams past the broadcast groups; new keys are found by a key-only scan
+        seen = target.select(*keys).join(F.broadcast(groups.select(*keys)), keys, "left_semi")
+        body = target.alias("t").join(F.broadcast(groups), keys, "left")
+        fresh = groups.join(seen, keys, "left_anti")
+    else:
+        t_nn, t_null = _split(target, keys)
+        body = t_nn.withColumn(_T, F.lit(True)).alias("t").join(groups, keys, "full_outer")
+    old = F.struct(*[F.col(f"t.`{c}`") for c in rest])
+    given, later = F.element_at("__rows", 1), F.slice("__rows", 2, F.size("__rows"))
+
+    def shaped(frame: DataFrame, row: Column) -> DataFrame:
+        return frame.select(*[_q(k) for k in keys], row.alias("__r")).select(
+            *[_q(c) if c in keys else F.col("__r").getField(c).alias(c) for c in target.columns])
+
+    applied = F.when(F.col("__rows").isNull(), old).otherwise(_fold(F.col("__rows"), old, rest, texts, types))
+    inserted = _fold(later, given, rest, texts, types)
+    if small:
+        out = shaped(body, applied).unionByName(shaped(fresh, inserted))
+    else:
+        out = shaped(body, F.when(F.col(_T).isNull(), inserted).otherwise(applied)).unionByName(t_null)
+    return out.unionByName(s_null.drop(_ORD))
+
+
+def _folded_runs(listed: DataFrame, keys: Sequence[str], rest: Sequence[str], texts: Mapping[str, str],
+                 types: Mapping[str, T.DataType], fold_rows: int) -> DataFrame:
+    """One row per run of a key's rows: the run's rows folded, at the place of its first row.
+
+    Ranging by key and order gives every task a stretch of the order; a run is
+    ``fold_rows`` rows of a key in it, so no row gathers more than that.
+    """
+    ranged = listed.repartitionByRange(*[_q(k) for k in keys], "__x").sortWithinPartitions(*[_q(k) for k in keys], "__x")
+    ranged = ranged.withColumn("__at", F.monotonically_increasing_id())
+    ranged = cut_lineage(ranged.withColumn("__run", F.floor(F.col("__at") / F.lit(fold_rows))))  # runs do not cross a task: ids jump
+    runs = ranged.groupBy(*keys, "__run", F.shiftright("__at", 33).alias("__part")).agg(F.sort_array(F.collect_list("__x")).alias("__x"))
+    first = F.element_at("__x", 1)
+    others = F.transform(F.slice("__x", 2, F.size("__x")), lambda x: x.getField("r"))
+    return runs.select(*[_q(k) for k in keys], F.struct(first.getField("o").alias("o"),
+                                                        _fold(others, first.getField("r"), rest, texts, types).alias("r")).alias("__x"))
+
+
 # The ready-made accumulate policies.
 POLICIES = ("replace", "sum", "coalesce")
 

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from typing import Mapping
+from typing import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dockhand.functions.timefmt import iso_wall_clock
+from dockhand.session import remove_path
 
 # Fixed value: the scheduled-run prefix.
 RUN_ID_PREFIX = "run_id=scheduled__"
@@ -66,3 +67,36 @@ def retention_filter(df: DataFrame, date_col: str, class_col: str, limits: Mappi
         date = F.to_date(F.col(date_col))
     exp = retention_expired(date, F.col(class_col), limits, default_days, run_date)
     return df.where(~exp) if keep else df.where(exp)
+
+
+def retire_partitions(spark: SparkSession, target: str, date_col: str, class_col: str | None = None,
+                      limits: Mapping[str, int | None] | None = None, default_days: int | None = USER_RETAIN_DAYS,
+                      run_date: str | None = None, schema: T.StructType | None = None,
+                      partition_cols: Sequence[str] | None = None, dry_run: bool = False) -> DataFrame:
+    """W20 on whole partitions: drop those whose date has expired, reading no row and no file.
+
+    ``target`` is a catalog table, or (with ``schema`` and ``partition_cols``) a
+    partitioned folder.  The partition list, which the driver holds for planning
+    anyway, is matched with the same rule as ``retention_filter``; expired
+    partitions are dropped through the catalog or the file system.  Returns
+    the expired partitions (also with ``dry_run``, which drops nothing).
+    A partition whose date is NULL or unreadable stays.
+    """
+    from dockhand.sinks.catalog_tables import drop_partitions, folder_partitions, list_partitions
+
+    if (schema is None) != (partition_cols is None):
+        raise ValueError("a folder needs both schema and partition_cols")
+    listed = folder_partitions(spark, target, schema, partition_cols) if schema is not None else list_partitions(spark, target)
+    cols = [c for c in listed.columns if c != "__path"]
+    if date_col not in cols or (class_col is not None and class_col not in cols):
+        raise KeyError(f"{target} is partitioned by {cols}")
+    klass = F.lit(None).cast("string") if class_col is None else F.col(class_col)
+    date = run_id_date(date_col) if isinstance(listed.schema[date_col].dataType, T.StringType) else F.to_date(F.col(date_col))
+    expired = listed.where(retention_expired(date, klass, limits or {}, default_days, run_date)).collect()  # a row per folder
+    if not dry_run and schema is None:
+        drop_partitions(spark, target, [{c: r[c] for c in cols} for r in expired])
+    elif not dry_run:
+        for r in expired:
+            if not remove_path(spark, r["__path"]):
+                raise OSError(f"could not remove {r['__path']}")
+    return spark.createDataFrame([tuple(r[c] for c in cols) for r in expired], T.StructType([listed.schema[c] for c in cols]))

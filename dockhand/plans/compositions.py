@@ -15,6 +15,7 @@ from dockhand.operators.merge import append_load, upsert_accumulate, upsert_expr
 from dockhand.operators.quality import nonempty_guard, require_table
 from dockhand.plans.transforms import dated_transform, user_transform
 from dockhand.session import cut_lineage, remove_path
+from dockhand.sinks.catalog_tables import create_table, publish_table
 from dockhand.sinks.files import export_parquet, export_snapshot, fan_out_write, write_csv, write_text
 from dockhand.sinks.partitions import bulk_load_chunks, stage_and_publish
 from dockhand.sources.files import read_files
@@ -105,6 +106,24 @@ def table_to_partitions(spark: SparkSession, path: str, target_schema: T.StructT
                              **(partitions_generator_kwargs or {}))
 
 
+def table_to_catalog(spark: SparkSession, target: str, *, table: str | None = None, sql: str | None = None,
+                     sql_generator: Callable[..., str] | None = None, sql_generator_kwargs: Mapping[str, Any] | None = None,
+                     column_map: Mapping[str, str] | None = None, rename: str = "before",
+                     transform: Callable[..., DataFrame] | None = None, transform_kwargs: Mapping[str, Any] | None = None,
+                     partitions: Mapping[str, Any] | Sequence[str] | None = None,
+                     partitions_generator: Callable[..., Any] | None = None, overwrite: bool = False,
+                     schema: T.StructType | None = None, partition_cols: Sequence[str] = (), location: str | None = None,
+                     **generator_kwargs: Any) -> str:
+    """X5 into a table of the session catalog: source -> rename / transform -> conform to the
+    table's own description -> staged publish.  With ``schema`` the table is created if it is absent."""
+    df = resolve_source(spark, table=table, sql=sql, sql_generator=sql_generator, **(sql_generator_kwargs or {}))
+    df = _shaped(df, column_map, transform, transform_kwargs, rename)
+    if schema is not None:
+        create_table(spark, target, schema, partition_cols, location=location)
+    require_table(spark, target)
+    return publish_table(df, target, partitions, overwrite, partitions_generator, **generator_kwargs)
+
+
 def table_to_files(spark: SparkSession, store_dir: str, name: str, *, table: str | None = None,
                    sql: str | None = None, sql_generator: Callable[..., str] | None = None,
                    sql_generator_kwargs: Mapping[str, Any] | None = None,

@@ -19,7 +19,7 @@ from dockhand.operators.merge import upsert_update
 from dockhand.sinks.partitions import (bulk_load_chunks, insert_dynamic, insert_static, merge_partitions,
                                        read_partitioned, stage_and_publish)
 from dockhand.sources.documents import read_hits, scan_counts, scan_documents, scan_output_path, write_scan
-from dockhand.sources.files import file_inventory, file_row_counts, read_files
+from dockhand.sources.files import file_row_counts, inventory_with_rows, read_files
 from dockhand.sources.tables import Source, import_query, time_window
 from dockhand.plans.catalog import query, table, view
 
@@ -108,8 +108,8 @@ _TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineit
 @query("file_inventory", " UNION ALL ".join(
     f"SELECT '{t}.parquet' AS file_name, count(*) AS rows, true AS has_bytes FROM {t}" for t in _TABLES))
 def q_file_inventory(spark: SparkSession, sf: str) -> DataFrame:
-    files = file_inventory(spark, sf, glob="*.parquet").select("file_name", (F.col("length") > 0).alias("has_bytes"))
-    return files.join(file_row_counts(spark, sf, glob="*.parquet"), "file_name")
+    files = inventory_with_rows(spark, sf, glob="*.parquet")
+    return files.select("file_name", "rows", (F.col("length") > 0).alias("has_bytes"))
 
 
 @query("import_table", """

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from typing import Any, Callable, Mapping, Sequence
 
+from pyspark.errors import ParseException
 from pyspark.sql import DataFrame, SparkSession
 
 from dockhand.operators.quality import script_validator
@@ -38,3 +39,44 @@ def run_script(spark: SparkSession, sql: str | Sequence[str] | None = None,
         res = spark.sql(validator, args=args) if args else spark.sql(validator)
         return script_validator(res, validator_name, run_date)
     return last
+
+
+def run_script_text(spark: SparkSession, text: str, parameters: Mapping[str, Any] | None = None, schema: str | None = None,
+                    on_error: str | None = None, validator: str | None = None, validator_name: str = "script",
+                    run_date: str | None = None) -> DataFrame:
+    """C1 for a script that is one text of several statements: run them in order, return the last result.
+
+    The text becomes the body of a SQL scripting block, so Spark's own parser
+    finds the statements (semicolons inside literals and comments included)
+    and variables, conditions, loops and handlers may be used; a text that is
+    a whole block already is run as it is.  ``on_error`` is a statement
+    for an exit handler: when any statement fails, the rest is left out and its result is
+    returned; without it the error is raised.  ``parameters`` binds named markers (Spark
+    has no positional ones in scripts).  ``validator`` is as in ``run_script``, run after the script.
+    """
+    if not text or not text.strip():
+        raise ValueError("give a script")
+    if parameters is not None and not isinstance(parameters, Mapping):
+        raise TypeError("a script takes named parameters (a dict)")
+    if schema:
+        spark.catalog.setCurrentDatabase(schema)
+    args = dict(parameters) if parameters else None
+    # a statement must be closed, an empty one is refused: only the parser knows whether the text closed its last
+    whole = text.lstrip()[:5].upper() == "BEGIN"
+    forms = [text.rstrip().rstrip(";")] if whole else [f"BEGIN\n{text}\n{close}END" for close in (";\n", "")]
+    if on_error:
+        # a handler is declared before all else, the text's own variables at the start of its own block
+        handler = f"DECLARE EXIT HANDLER FOR SQLEXCEPTION BEGIN\n{on_error}\n;\nEND;"
+        forms = [f"BEGIN\n{handler}\n{form};\nEND" for form in forms]
+    last = None
+    for k, form in enumerate(forms):
+        try:
+            last = spark.sql(form, args=args) if args else spark.sql(form)
+            break
+        except ParseException:  # raised before any statement runs
+            if k + 1 == len(forms):
+                raise
+    if validator:
+        res = spark.sql(validator, args=args) if args else spark.sql(validator)
+        return script_validator(res, validator_name, run_date)
+    return last

@@ -143,5 +143,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(hpath))
 
 
+def list_paths(spark: SparkSession, pattern: str) -> list[tuple[str, int]]:
+    """(path, modification time) of what matches a glob pattern, in the path's Hadoop FileSystem."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(hpath)
+    return [(f.getPath().toString(), f.getModificationTime()) for f in found or []]
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

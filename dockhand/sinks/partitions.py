@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import uuid
 from typing import Any, Callable, Mapping, Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +19,7 @@ from pyspark.sql import types as T
 from dockhand.functions.timefmt import ntz_text
 from dockhand.operators.chunks import chunk_start
 from dockhand.operators.quality import observed_counts, wrote_rows
-from dockhand.session import cut_lineage, move_path, path_exists, remove_path, scratch_path
+from dockhand.session import cut_lineage, list_paths, move_path, path_exists, remove_path, scratch_path
 
 
 def partition_path(spark: SparkSession, path: str, spec: Mapping[str, Any]) -> str:
@@ -120,10 +121,23 @@ def stage_and_publish(df: DataFrame, path: str, partitions: Mapping[str, Any] |
     return path
 
 
+def restore_table(spark: SparkSession, path: str) -> bool:
+    """Finish or undo a replacement that died between its two renames: the newest old copy
+    comes back when the table's folder is not there.  True if one did."""
+    path = path.rstrip("/")
+    if path_exists(spark, path):
+        return False
+    kept = list_paths(spark, f"{path}__old_*")
+    if kept:
+        move_path(spark, max(kept, key=lambda p: p[1])[0], path)
+    return bool(kept)
+
+
 def replace_table(df: DataFrame, path: str) -> str:
     """Replace an unpartitioned folder: write a new location beside it, then
     swap by renaming.  The old rows stay readable until the new ones are complete."""
     spark, path = df.sparkSession, path.rstrip("/")
+    restore_table(spark, path)
     tag = uuid.uuid4().hex[:12]
     fresh, old = f"{path}__new_{tag}", f"{path}__old_{tag}"
     df.write.parquet(fresh)
@@ -195,9 +209,17 @@ def merge_partitions(spark: SparkSession, path: str, schema: T.StructType, incom
         elsewhere = _in_partitions(target.select(*dict.fromkeys([*keys, *cols])), parts, cols, "left_anti")
         parts = cut_lineage(parts.unionByName(elsewhere.join(wanted, list(keys), "left_semi").select(*cols)).distinct())
     touched = _in_partitions(target.where(_among(target, parts, cols)), parts, cols, "left_semi")
+    # folders as they are: a value may be spelt otherwise than Spark writes it (m=01 of an int is read as 1)
+    folder = F.regexp_extract(F.col("_metadata.file_path"), "^(.*)/[^/]*$", 1)
+    spelt = target.select(*cols, folder.alias("__folder"))
+    folders = _in_partitions(spelt.where(_among(spelt, parts, cols)), parts, cols, "left_semi").distinct().collect()
     result = cut_lineage(merge(touched, incoming))
     emptied = _in_partitions(parts, result.select(*cols).distinct(), cols, "left_anti").collect()
     stage_and_publish(result, path, cols, overwrite=True)
     for row in emptied:
         drop_partition(spark, path, {c: row[c] for c in cols})
+    for row in folders:  # rows of a folder of another spelling were rewritten under Spark's own
+        own = partition_path(spark, "", {c: row[c] for c in cols})
+        if not unquote(row["__folder"]).endswith(own):
+            remove_path(spark, unquote(row["__folder"]))
     return path

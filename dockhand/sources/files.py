@@ -62,3 +62,20 @@ def file_row_counts(spark: SparkSession, root: str, fmt: str = "parquet", *, glo
     if glob:
         r = r.option("pathGlobFilter", glob)
     return r.load(root).groupBy(F.col("_metadata.file_name").alias("file_name")).agg(F.count(F.lit(1)).alias("rows"))
+
+
+def inventory_with_rows(spark: SparkSession, root: str, fmt: str = "parquet", *, glob: str | None = None,
+                        recursive: bool = True) -> DataFrame:
+    """``path, file_name, modified, length, rows`` of every file; files without rows have 0.
+
+    Both reads name a file by its full path, so equal names in several folders stay apart.
+    """
+    def reader(kind: str):
+        r = spark.read.format(kind).option("recursiveFileLookup", str(recursive).lower())
+        return (r.option("pathGlobFilter", glob) if glob else r).load(root)
+
+    files = reader("binaryFile").select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("file_name"),
+        F.col("modificationTime").alias("modified"), "length")
+    rows = reader(fmt).groupBy(F.col("_metadata.file_path").alias("path")).agg(F.count(F.lit(1)).alias("rows"))
+    return files.join(rows, "path", "left").withColumn("rows", F.coalesce("rows", F.lit(0)).cast("long"))
