@@ -21,7 +21,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-
 def _identity(name: str) -> str:
     return name
 
@@ -107,3 +106,53 @@ def json_flatten(df: DataFrame, col: str, schema: T.StructType | None = None,
     cols = flat_columns(schema, F.col("__js"), col_normalize or _identity, sep)
     base = [F.col(f"`{k}`") for k in (keep or [])]
     return df.select(*base, parsed.alias("__js")).select(*base, *cols)
+
+
+MAX_DEPTH = 8  # levels of objects that json_flatten_map opens
+
+
+def _entries(text: Column, prefix: Column | None, normalize: Callable[[Column], Column], sep: str) -> Column:
+    """An object's entries in the order of its text: (name, value as text, whether that is an object)."""
+    def entry(raw: Column, typed: Column) -> Column:
+        key = raw.getField("key")
+        name = key if prefix is None else F.concat(normalize(prefix), F.lit(sep), normalize(key))
+        # a text that looks like an object may be a string: only the typed value tells
+        is_object = F.coalesce(F.schema_of_variant(typed.getField("value")).startswith("OBJECT"), F.lit(False))
+        return F.struct(name.alias("name"), raw.getField("value").alias("value"), is_object.alias("object"))
+
+    found = F.zip_with(F.map_entries(F.from_json(text, "map<string,string>")), F.map_entries(F.from_json(text, "map<string,variant>")), entry)
+    return F.coalesce(found, F.array().cast("array<struct<name:string,value:string,object:boolean>>"))
+
+
+def json_flatten_map(df: DataFrame, col: str, normalize: Callable[[Column], Column] | None = None, sep: str = "_",
+                     keep: list[str] | None = None, name: str = "flat", strict: bool = False, max_depth: int = MAX_DEPTH) -> DataFrame:
+    """F10 without a schema: a JSON text column as one ``map<string,string>`` of flat names to values.
+
+    No pass over the data infers a schema, and keys that differ from row to row do not
+    widen the table.  Names are made as in ``json_flatten``, by a Column function
+    (``snake_case``).  Where several paths give one name, the later one in the
+    text wins.  Scalars are given as text, lists as JSON text, null as NULL; an empty object
+    gives no entry; a key that repeats within an object counts each time.
+
+    One expression per row: objects are opened in place, level by level, so the
+    order of the text is kept and nothing is shuffled.  Objects nested deeper than ``max_depth`` raise.
+    Text that is no JSON object gives a NULL map, or raises if ``strict``.
+    """
+    normalize = normalize or (lambda c: c)
+    text, base = F.col(col), [F.col(f"`{k}`") for k in (keep or [])]
+    level = _entries(text, None, normalize, sep)
+    for _ in range(max_depth - 1):
+        level = F.flatten(F.transform(level, lambda e: F.when(
+            e.getField("object"), _entries(e.getField("value"), e.getField("name"), normalize, sep)).otherwise(F.array(e))))
+    deep = F.lit(f"json_flatten_map: objects nested deeper than {max_depth} levels at ")
+    # by name, then by place in the text: of equal names the last one stays
+    placed = F.array_sort(F.transform(level, lambda e, i: F.struct(
+        F.when(e.getField("object") & (F.size(F.json_object_keys(e.getField("value"))) > 0), F.raise_error(F.concat(deep, e.getField("name"))).cast("string"))
+        .otherwise(e.getField("name")).alias("name"), i.alias("at"), e.getField("value").alias("value"), e.getField("object").alias("object"))))
+    is_object = _is_object(text) & F.try_parse_json(text).isNotNull()
+    other = F.raise_error(F.concat(F.lit("not a JSON object: "), text)).cast("map<string,string>") if strict else F.lit(None).cast("map<string,string>")
+    rows = df.select(*base, text.alias("__text"), is_object.alias("__ok"), placed.alias("__e"))
+    nearest = F.filter("__e", lambda e, i: ~e.getField("object") & F.coalesce(F.get("__e", i + 1).getField("name") != e.getField("name"), F.lit(True)))
+    flat = F.map_from_entries(F.transform(nearest, lambda e: F.struct(e.getField("name"), e.getField("value"))))
+    text = F.col("__text")
+    return rows.select(*base, F.when(text.isNull(), F.lit(None).cast("map<string,string>")).when(F.col("__ok"), flat).otherwise(other).alias(name))

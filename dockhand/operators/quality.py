@@ -3,11 +3,12 @@ completeness gate, target exists (Q1-Q6)."""
 
 from __future__ import annotations
 
+import datetime as dt
 import logging
 from typing import Callable, Sequence
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -143,3 +144,62 @@ def require_table(spark: SparkSession, name: str) -> None:
     """Q6 as a gate: raise when the target table does not exist."""
     if not table_exists(spark, name):
         raise CheckFailed(f"target table {name} does not exist")
+
+
+# Seconds of a chunk, and the second that an index of 0 begins with (weeks begin on a Monday).
+_CHUNK_SECONDS = {"hour": (3_600, 0), "day": (86_400, 0), "week": (604_800, 4 * 86_400)}
+GAP_BLOCK = 10_000  # chunks of one window
+
+
+def missing_ranges(df: DataFrame, ts_col: str, since, until, granularity: str = "day", keys: Sequence[str] = (),
+                   expected_keys: DataFrame | None = None) -> DataFrame:
+    """Q5 / W18 as ranges: the chunks of [since, until) in which ``df`` has no row.
+
+    One row per maximal run of missing chunks: keys, ``missing_from``,
+    ``missing_until`` (exclusive) and ``n_chunks``.  With ``keys`` each key has
+    its own time line; ``expected_keys`` adds keys that have no row at all.  Bounds are cut to whole
+    chunks that begin within them.
+
+    Gaps inside a block of ``GAP_BLOCK`` chunks come from a window per key and
+    block, gaps between blocks from one row per block, so no window holds a
+    whole time line, and no expected chunk is ever listed.
+    """
+    from dockhand.operators.chunks import _ts, chunk_start
+
+    step, origin = _CHUNK_SECONDS[granularity]
+    zero = dt.datetime(1970, 1, 1)
+    first, end = (-(-(int((_ts(v) - zero).total_seconds()) - origin) // step) for v in (since, until))
+    keys = list(keys)
+    out_schema = [*keys, "missing_from", "missing_until", "n_chunks"]
+    start = chunk_start(ts_col, granularity) - F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    seconds = F.extract(F.lit("DAY"), start).cast("long") * 86_400 + F.extract(F.lit("HOUR"), start).cast("long") * 3_600
+    index = F.floor((seconds - F.lit(origin)) / F.lit(step)).cast("long")
+    have = df.select(*[F.col(f"`{k}`") for k in keys], index.alias("__i")).where((F.col("__i") >= first) & (F.col("__i") < end)).distinct()
+    block = F.floor(F.col("__i") / F.lit(GAP_BLOCK))
+    inside = have.withColumn("__next", F.lead("__i").over(Window.partitionBy(*keys, block).orderBy("__i")))
+    blocks = have.groupBy(*keys, block.alias("__b")).agg(F.min("__i").alias("__lo"), F.max("__i").alias("__hi"))
+    blocks = blocks.withColumn("__next", F.lead("__lo").over(Window.partitionBy(*keys).orderBy("__b")))  # a row for each block
+    lines = [F.col(f"`{k}`") for k in keys]
+
+    def gap(frame: DataFrame, lo: Column, hi: Column) -> DataFrame:
+        return frame.select(*lines, lo.cast("long").alias("__lo"), hi.cast("long").alias("__hi")).where(F.col("__lo") < F.col("__hi"))
+
+    ends = blocks.groupBy(*keys).agg(F.min("__lo").alias("__min"), F.max("__hi").alias("__max"))
+    if not keys:  # a time line without rows is missing as a whole
+        ends = ends.select(F.coalesce("__min", F.lit(end)).alias("__min"), F.coalesce("__max", F.lit(end - 1)).alias("__max"))
+    found = (gap(inside, F.col("__i") + 1, F.col("__next"))
+             .unionByName(gap(blocks, F.col("__hi") + 1, F.col("__next")))
+             .unionByName(gap(ends, F.lit(first), F.col("__min"))).unionByName(gap(ends, F.col("__max") + 1, F.lit(end))))
+    if expected_keys is not None and keys:
+        same = None
+        for k in keys:
+            c = F.col(f"e.`{k}`").eqNullSafe(F.col(f"h.`{k}`"))
+            same = c if same is None else same & c
+        absent = expected_keys.select(*lines).distinct().alias("e").join(have.select(*lines).distinct().alias("h"), same, "left_anti")
+        found = found.unionByName(gap(absent, F.lit(first), F.lit(end)))
+
+    def at(i: str) -> Column:
+        return F.timestamp_add("SECOND", F.col(i) * step + origin, F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
+
+    return found.select(*lines, at("__lo").alias("missing_from"), at("__hi").alias("missing_until"),
+                        (F.col("__hi") - F.col("__lo")).alias("n_chunks")).select(*[f"`{c}`" for c in out_schema])

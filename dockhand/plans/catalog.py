@@ -39,5 +39,5 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> str:
 
 def load_all() -> dict[str, tuple[QueryFn, str | None]]:
     # importing the modules registers their queries
-    from dockhand.plans import q_files, q_flows, q_loads, q_scalars, q_tables  # noqa: F401
+    from dockhand.plans import q_files, q_flows, q_loads, q_scalars, q_sources, q_tables  # noqa: F401
     return REGISTRY

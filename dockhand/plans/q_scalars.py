@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dockhand.functions.jsonflat import json_flatten
+from dockhand.functions.jsonflat import json_flatten, json_flatten_map
 from dockhand.functions.maps import map_subset
 from dockhand.functions.names import snake_case, snake_case_name
 from dockhand.functions.timefmt import (business_date, compact_ts, hour_label, hour_path, iso_date,
@@ -157,6 +157,30 @@ def q_json_flatten_mixed(spark: SparkSession, sf: str) -> DataFrame:
                         col_normalize=lambda n: n.lower() + "_upper" if n[:1].isupper() else n)
 
 
+@query("json_flatten_map", """
+SELECT event_id, 'userId' AS name, CAST(user_id AS VARCHAR) AS value FROM events WHERE event_id % 10 > 1
+UNION ALL SELECT event_id, 'event_info_event_type', event_type FROM events WHERE event_id % 10 > 1
+UNION ALL SELECT event_id, 'event_info_tags', '[1,{"a":"b"}]' FROM events WHERE event_id % 10 > 1
+UNION ALL SELECT event_id, 'event_info_none', NULL FROM events WHERE event_id % 10 > 1
+UNION ALL SELECT event_id, 'event_info_props_k', CASE WHEN event_id % 2 = 0 THEN 'later {"k":1}' ELSE json_extract_string(props, '$.k') END
+FROM events WHERE event_id % 10 > 1
+UNION ALL SELECT event_id, 'own_' || (event_id % 97), 'x' FROM events WHERE event_id % 10 > 1
+UNION ALL SELECT event_id, NULL, NULL FROM events WHERE event_id % 10 <= 1
+""")
+def q_json_flatten_map(spark: SparkSession, sf: str) -> DataFrame:
+    """F10 without a schema: keys of their own in each row, clashing names (the later one in the text wins)."""
+    e = table(spark, sf, "events")
+    clash = F.lit('"event_info_props_k":"later {\\"k\\":1}"')
+    nested = F.concat(F.lit('"eventInfo":{"eventType":"'), F.col("event_type"), F.lit('","props":'), F.col("props"),
+                      F.lit(',"empty":{},"tags":[1,{"a":"b"}],"none":null}'))
+    even = F.col("event_id") % 2 == 0
+    doc = F.concat(F.lit('{"userId":'), F.col("user_id").cast("string"), F.lit(","), F.when(even, nested).otherwise(clash), F.lit(","),
+                   F.when(even, clash).otherwise(nested), F.lit(',"own_'), (F.col("event_id") % 97).cast("string"), F.lit('":"x"}'))
+    js = F.when(F.col("event_id") % 10 == 0, "5").when(F.col("event_id") % 10 == 1, "[1]").otherwise(doc)
+    flat = json_flatten_map(e.select("event_id", js.alias("js")), "js", snake_case, keep=["event_id"])
+    return flat.select("event_id", F.explode_outer("flat").alias("name", "value"))
+
+
 @query("map_subset", """
 SELECT event_id,
        '{"k":"' || json_extract_string(props, '$.k') || '","user":"' || CAST(user_id AS VARCHAR) || '"}'

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from typing import Any, Callable, Iterator
+from typing import Any, Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -42,3 +42,26 @@ def pandas_transform(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame],
         for b in batches:
             yield fn(b)
     return df.mapInPandas(run, schema)
+
+
+def pandas_grouped(df: DataFrame, keys: Sequence[str], fn: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]],
+                   schema: T.StructType | str, order_by: Sequence[str] = ()) -> DataFrame:
+    """U3 per group: pandas code that sees one group, a batch of rows at a time.
+
+    ``fn`` takes an iterator over the batches of one group (rows whose keys
+    are equal, NULLs included) and yields any number of result frames.  No group is ever held whole: a
+    group with most of the rows streams through its task in batches of
+    ``spark.sql.execution.arrow.maxRecordsPerBatch`` rows.  What ``fn`` does not
+    read of a group is skipped.  With ``order_by`` the rows of a group arrive in
+    that order (NULLs first); without, in any order.  Groups without rows do not exist, so an empty frame gives no call.
+    """
+    if not keys:
+        raise ValueError("pandas_grouped needs keys; use pandas_transform for code that needs no groups")
+    if order_by:
+        # this shuffle and this sort are those of the grouping: neither is done again
+        df = df.repartition(*keys).sortWithinPartitions(*keys, *order_by)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        yield from fn(batches)
+
+    return df.groupBy(*keys).applyInPandas(run, schema)

@@ -1,0 +1,240 @@
+"""Batched two-phase writes, paged scans, touched-file merges, grouped pandas code, missing ranges."""
+
+import datetime as dt
+import glob
+import json
+import os
+import random
+
+import pandas as pd
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from conftest import rows
+from dockhand.operators.merge import upsert_ignore, upsert_update
+from dockhand.operators.quality import missing_ranges
+from dockhand.plans.transforms import pandas_grouped
+from dockhand.sinks import touched_files as touched
+from dockhand.sinks.batched import FolderSink, batched_write
+from dockhand.sources.paged import page_report, paged_hits, write_pages
+
+DDL = T.StructType.fromDDL
+
+
+def back(spark, path):
+    return spark.read.schema("id long, at string").option("recursiveFileLookup", "true").json(path)
+
+
+# batched writes
+
+def test_batches_are_published_together(spark, tmp_dir):
+    df = spark.range(0, 1050, 1, 3).selectExpr("id", "concat('x', id) AS at")
+    batched_write(df, FolderSink(tmp_dir), 100)
+    assert rows(back(spark, tmp_dir)) == [(i, f"x{i}") for i in range(1050)]
+    sizes = [sum(1 for _ in open(f)) for f in glob.glob(f"{tmp_dir}/write-*/*/*.json")]
+    assert max(sizes) == 100 and len(sizes) == 12  # 350 rows a task: 100, 100, 100, 50
+    batched_write(df.where("id < 5"), FolderSink(tmp_dir), 100)
+    assert back(spark, tmp_dir).count() == 1055
+    batched_write(df.where("id < 5"), FolderSink(tmp_dir), 100, mode="overwrite")
+    assert back(spark, tmp_dir).count() == 5
+    batched_write(df.where("false"), FolderSink(tmp_dir), 100, mode="overwrite")
+    assert glob.glob(f"{tmp_dir}/write-*/*/*.json") == []
+    with pytest.raises(ValueError):
+        batched_write(df, FolderSink(tmp_dir), 0)
+
+
+def test_a_failing_task_leaves_no_row(spark, tmp_dir):
+    batched_write(spark.range(3).selectExpr("id", "'kept' AS at"), FolderSink(tmp_dir), 2)
+    # late in one of four tasks, after its first batches and after other tasks are done
+    bad = spark.range(0, 4000, 1, 4).selectExpr("id", "if(id = 3990, raise_error('broken row'), 'new') AS at")
+    with pytest.raises(Exception, match="broken row"):
+        batched_write(bad, FolderSink(tmp_dir), 100)
+    assert rows(back(spark, tmp_dir)) == [(i, "kept") for i in range(3)]
+    assert glob.glob(f"{tmp_dir}/_staged-*") == []
+
+
+def test_an_attempt_that_did_not_report_is_left_out(spark, tmp_dir):
+    sink = FolderSink(tmp_dir)
+    lost, good = sink.open(0, 1), sink.open(0, 2)
+    for handle in (lost, good):
+        sink.insert(handle, 0, [(1, "x")], ["id", "at"])
+    assert glob.glob(f"{tmp_dir}/write-*") == []
+    sink.publish([good], overwrite=False)
+    assert rows(back(spark, tmp_dir)) == [(1, "x")]
+
+
+# paged scans
+
+def pages(spark, path, n=1030, slices=4, size=100, shards=None):
+    df = spark.range(n).selectExpr("id", "concat('text ', id) AS t")
+    return write_pages(spark, df, path, ["id"], F.struct("t"), F.col("id").cast("string"), slices, size, shards)
+
+
+def failing(n):
+    return F.struct(F.lit(3).alias("total"), F.when(n.isin(2, 5), 2).otherwise(3).alias("successful"), F.when(n == 5, 1).otherwise(0).alias("skipped"))
+
+
+def test_every_hit_of_every_chain(spark, tmp_dir):
+    path = pages(spark, f"{tmp_dir}/p")
+    hits = paged_hits(spark, path, tolerant=False)
+    assert hits.rdd.getNumPartitions() == 4
+    got = sorted((int(r["_id"]), json.loads(r["_source"])["t"], r["slice"], r["page"]) for r in hits.collect())
+    assert got == [(i, f"text {i}", i // 100 % 4, i // 400) for i in range(1030)]
+    report = page_report(spark, path)
+    assert report.count() == 11 and {r["matched"] for r in report.collect()} == {1030}
+    assert sorted(r["hits"] for r in report.collect())[0] == 30
+
+
+def test_partial_pages_are_reported_or_fail(spark, tmp_dir):
+    path = pages(spark, f"{tmp_dir}/p", shards=failing)
+    assert paged_hits(spark, path).count() == 1030
+    assert [(r["slice"], r["page"], r["failed"]) for r in page_report(spark, path).where("failed > 0").collect()] == [(2, 0, 1)]  # 5: skipped, so whole
+    with pytest.raises(Exception, match="only 2 .* of 3 shards answered"):
+        paged_hits(spark, path, tolerant=False).collect()
+
+
+def test_chains_end_at_a_page_without_hits(spark, tmp_dir):
+    envelope = lambda cursor, ids: json.dumps({"_scroll_id": cursor, "hits": {"total": {"value": 9}, "hits": [
+        {"_id": i, "_source": {"é": i}} for i in ids]}, "_shards": {"total": 1, "successful": 1, "skipped": 0}})
+    for name, body in (("start-0", envelope("a", ["1"])), ("a", envelope("b", [])), ("b", envelope(None, ["never"])), ("start-1", envelope(None, []))):
+        with open(f"{tmp_dir}/{name}.json", "w") as f:
+            f.write(body)
+    assert [tuple(r) for r in paged_hits(spark, tmp_dir).collect()] == [("1", '{"é": "1"}', 0, 0)]
+    assert page_report(spark, tmp_dir).count() == 1
+
+
+# touched-file merges
+
+SCHEMA = "k int, v string"
+
+
+def files(path):
+    return {os.path.basename(f): (os.stat(f).st_mtime_ns, os.stat(f).st_size) for f in glob.glob(f"{path}/part-*")}
+
+
+def table_of_files(spark, path):
+    df = spark.range(100).selectExpr("cast(id as int) AS k", "'old' AS v").union(spark.sql("SELECT CAST(NULL AS INT), 'null key'"))
+    df.repartitionByRange(10, "k").write.parquet(path)
+    return files(path)
+
+
+@pytest.mark.parametrize("bound", [1_000_000, 0])
+def test_untouched_files_keep_name_and_time(spark, tmp_dir, bound):
+    path, schema = f"{tmp_dir}/t", DDL(SCHEMA)
+    before = table_of_files(spark, path)
+    inc = spark.createDataFrame([(15, "new"), (17, "new"), (200, "new"), (None, "loose")], schema)
+    old = touched.merge_touched_files(spark, path, schema, inc, ["k"], lambda t, s: upsert_update(t, s, ["k"], ["v"]), bound)
+    after = files(path)
+    assert len(old) == 1 and len(set(before) - set(after)) == 1
+    assert all(after[f] == before[f] for f in set(before) & set(after)) and len(set(before) & set(after)) == len(before) - 1
+    got = spark.read.schema(schema).parquet(path)
+    assert rows(got.where("v <> 'old'"), "k", "v") == sorted([(15, "new"), (17, "new"), (200, "new"), (None, "null key"), (None, "loose")],
+                                                            key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+    assert got.count() == 103 and not glob.glob(f"{path}/_new-*") and not glob.glob(f"{path}/_swap-*")
+
+
+def test_unseen_rows_rewrite_nothing(spark, tmp_dir):
+    path, schema = f"{tmp_dir}/t", DDL(SCHEMA)
+    before = table_of_files(spark, path)
+    inc = spark.createDataFrame([(15, "ignored"), (300, "added"), (None, "loose")], schema)
+    touched.append_unseen(spark, path, schema, inc, ["k"], lambda t, s: upsert_ignore(t, s, ["k"]))
+    assert before.items() <= files(path).items()
+    assert rows(spark.read.schema(schema).parquet(path).where("v IN ('ignored', 'added', 'loose')")) == [(300, "added"), (None, "loose")]
+
+
+def test_a_swap_that_died_is_finished(spark, tmp_dir, monkeypatch):
+    path, schema = f"{tmp_dir}/t", DDL(SCHEMA)
+    table_of_files(spark, path)
+    inc = spark.createDataFrame([(15, "new")], schema)
+    real, calls = touched.remove_path, []
+
+    def dies(session, target):
+        calls.append(target)
+        raise OSError("lost")
+
+    monkeypatch.setattr(touched, "remove_path", dies)  # after the new files are in, before the old are gone
+    with pytest.raises(OSError):
+        touched.merge_touched_files(spark, path, schema, inc, ["k"], lambda t, s: upsert_update(t, s, ["k"], ["v"]))
+    monkeypatch.setattr(touched, "remove_path", real)
+    assert touched.finish_swaps(spark, path) == 1 and touched.finish_swaps(spark, path) == 0
+    assert spark.read.schema(schema).parquet(path).count() == 101
+    # staged but never journalled: dropped, the table as it was
+    spark.range(1).write.parquet(f"{path}/_new-x")
+    assert touched.finish_swaps(spark, path) == 0 and not glob.glob(f"{path}/_new-*")
+
+
+# pandas code per group
+
+def test_a_group_with_most_rows_streams_in_order(spark):
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")
+    try:
+        df = spark.range(5000).selectExpr("if(id % 10 = 0, cast(id % 3 as string), if(id % 10 = 1, null, 'hot')) AS k", "(id * 7919) % 5000 AS v")
+
+        def facts(batches):
+            k, n, most, ordered, last = None, 0, 0, True, -1
+            for b in batches:
+                k, n, most = b["k"].iloc[0], n + len(b), max(most, len(b))
+                ordered = ordered and b["v"].is_monotonic_increasing and b["v"].iloc[0] > last
+                last = b["v"].iloc[-1]
+            yield pd.DataFrame({"k": [k], "n": [n], "most": [most], "ordered": [ordered]})
+
+        out = pandas_grouped(df, ["k"], facts, "k string, n long, most int, ordered boolean", order_by=["v"])
+        got = {r["k"]: r for r in out.collect()}
+        assert got["hot"]["n"] == 4000 and got[None]["n"] == 500 and len(got) == 5
+        assert all(r["most"] <= 100 and r["ordered"] for r in got.values())
+        plan = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        assert plan.count("Exchange") == 1  # ordering by key and column is that of the grouping
+        assert pandas_grouped(df.where("false"), ["k"], facts, "k string, n long, most int, ordered boolean").count() == 0
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    with pytest.raises(ValueError):
+        pandas_grouped(df, [], facts, "k string")
+
+
+# missing ranges
+
+def plain_ranges(present, first, end):
+    out, i = [], first
+    while i < end:
+        if i in present:
+            i += 1
+            continue
+        j = i
+        while j < end and j not in present:
+            j += 1
+        out.append((i, j))
+        i = j
+    return out
+
+
+@pytest.mark.parametrize("block", [10_000, 7])
+def test_ranges_equal_a_walk_over_all_chunks(spark, monkeypatch, block):
+    from dockhand.operators import quality
+    monkeypatch.setattr(quality, "GAP_BLOCK", block)
+    rng = random.Random(block)
+    zero = dt.datetime(1970, 1, 1)
+    first, end = 473_352, 473_352 + 200  # hours since 1970
+    hours = {k: sorted(rng.sample(range(first - 20, end + 20), n)) for k, n in (("a", 60), ("b", 3), (None, 150))}
+    data = [(k, zero + dt.timedelta(hours=h, minutes=rng.randint(0, 59))) for k, hs in hours.items() for h in hs]
+    df = spark.createDataFrame(data, "k string, ts timestamp_ntz")
+    since, until = (zero + dt.timedelta(hours=h) for h in (first, end))
+    want = [(k, zero + dt.timedelta(hours=lo), zero + dt.timedelta(hours=hi), hi - lo)
+            for k, hs in [*hours.items(), ("none", [])] for lo, hi in plain_ranges(set(hs), first, end)]
+    expected = spark.createDataFrame([("a",), ("none",), (None,)], "k string")
+    got = missing_ranges(df, "ts", since, until, "hour", ["k"], expected)
+    key = lambda r: (r[0] is None, r[0] or "", r[1])
+    assert sorted(map(tuple, got.collect()), key=key) == sorted(want, key=key)
+    whole = missing_ranges(df.where("k = 'b'"), "ts", since, until, "hour")
+    assert rows(whole) == [tuple(r[1:]) for r in want if r[0] == "b"]
+
+
+def test_ranges_of_weeks_days_and_no_rows(spark):
+    df = spark.sql("SELECT timestamp_ntz'2024-01-10 13:00:00' AS ts")
+    at = lambda *d: dt.datetime(2024, *d)
+    # Mondays: 2024-01-01, -08, -15, -22; bounds are cut to weeks that begin within them
+    assert rows(missing_ranges(df, "ts", "2023-12-30", "2024-01-23", "week")) == [(at(1, 1), at(1, 8), 1), (at(1, 15), at(1, 29), 2)]
+    assert rows(missing_ranges(df, "ts", "2024-01-09", "2024-01-12")) == [(at(1, 9), at(1, 10), 1), (at(1, 11), at(1, 12), 1)]
+    assert rows(missing_ranges(df.where("false"), "ts", "2024-01-09", "2024-01-12")) == [(at(1, 9), at(1, 12), 3)]
+    assert missing_ranges(df, "ts", "2024-01-10", "2024-01-11").count() == 0

@@ -1,4 +1,5 @@
 import datetime as dt
+import json
 
 import pytest
 from pyspark.sql import functions as F
@@ -154,3 +155,34 @@ def test_select_subset(spark):
     df = spark.createDataFrame([(1, 2, 3)], "a int, b int, c int")
     assert select_subset(df, ["c", "a", "zz"]).columns == ["a", "c"]
     assert select_subset(df, []).columns == []
+
+
+def plain_flatten(data, sep="_", name=None, out=None):
+    from dockhand.functions.names import snake_case_name
+    out = {} if out is None else out
+    for key, value in data.items():
+        path = key if name is None else snake_case_name(name) + sep + snake_case_name(key)
+        if isinstance(value, dict):
+            plain_flatten(value, sep, path, out)
+        else:
+            out[path] = value if value is None or isinstance(value, str) else json.dumps(value, separators=(",", ":"))
+    return out
+
+
+def test_json_flatten_map_equals_a_plain_walk(spark):
+    from dockhand.functions.jsonflat import json_flatten_map
+    from dockhand.functions.names import snake_case
+    docs = [{"userId": 1, "userInfo": {"firstName": "x", "tags": [1, {"a": 2}]}, "e": {}}, {}, {"a_b": 1, "a": {"b": 2}}, {"a": {"b": 2}, "a_b": 1},
+            {"a": {"bC": {"dE": {"f": True}}}, "s": '{"not": "an object"}', "n": None, "é'\"k": {"ü.ü": "v"}}, {"z": {"y": {}}, "aB": {"aB": "1"}}]
+    df = spark.createDataFrame([(i, json.dumps(d, ensure_ascii=False)) for i, d in enumerate(docs)] + [(90, "5"), (91, "{"), (92, None), (93, "[{}]")],
+                               "i int, js string")
+    got = {r["i"]: r["flat"] for r in json_flatten_map(df, "js", snake_case, keep=["i"]).collect()}
+    assert {i: got[i] for i in range(len(docs))} == {i: plain_flatten(d) for i, d in enumerate(docs)}
+    assert all(got[i] is None for i in (90, 91, 92, 93))
+    deep = spark.createDataFrame([('{"a":{"b":{"c":1}}}',)], "js string")
+    assert json_flatten_map(deep, "js", max_depth=3).first()["flat"] == {"a_b_c": "1"}
+    for call in (lambda: json_flatten_map(deep, "js", max_depth=2).collect(), lambda: json_flatten_map(df, "js", strict=True).collect()):
+        with pytest.raises(Exception, match="deeper than 2|not a JSON object"):
+            call()
+    plan = json_flatten_map(df, "js")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Python" not in plan
