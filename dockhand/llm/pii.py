@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dockhand.llm.common import text_batches
+from dockhand.llm.common import settle, text_batches
 
 KINDS = ("email", "ip", "card", "phone")
 FIT_DOCS = 2000
@@ -314,8 +314,16 @@ def _training(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fit_field(docs: DataFrame, most_docs: int = FIT_DOCS, most_nodes: int = FIT_NODES) -> tuple[np.ndarray, np.ndarray] | None:
     """Weights from at most ``most_docs`` documents with candidates (the first by
     a hash of doc_id) and at most ``most_nodes`` of their candidates."""
-    some = (docs.where(F.col("text").rlike("[0-9@]") & (F.length("text") <= 100_000))
-            .select("doc_id", "text", F.xxhash64("doc_id", "text").alias("h")).orderBy("h").limit(most_docs))
+    known = docs.where(F.col("text").rlike("[0-9@]")).select("text", F.xxhash64("doc_id", "text").alias("h"))
+    hashes = settle(known.select("h").distinct())
+    # hashes below the bound are about twice the documents wanted, whatever the corpus holds; only they are ordered
+    share = min(1.0, 2.0 * most_docs / max(1, hashes.count()))
+    bound = min((1 << 63) - 1, -(1 << 63) + int(share * (1 << 64)))
+    last = hashes.where(F.col("h") <= bound).orderBy("h").limit(most_docs).agg(F.max("h")).first()[0]
+    if last is None:
+        last = hashes.agg(F.max("h")).first()[0]
+    # texts stay in the tasks that read them, but for one row of each hash
+    some = known.where(F.col("h") <= F.lit(last)).groupBy("h").agg(F.first("text").alias("text"))
     nodes = some.select("text").mapInArrow(_training, _NODES).orderBy(F.xxhash64("features", "neighbours")).limit(most_nodes).collect()
     if not nodes:
         return None
@@ -345,13 +353,13 @@ def _joined(spans: list[tuple[int, int, str]]) -> str:
     return ",".join(f"{k}:{s}:{e}" for s, e, k in spans)
 
 
-_FOUND = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string"
+_FOUND = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_spans long"
 
 
 def find_pii(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans), one row per row of ``docs``.
+    """(doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_spans), one row per row of ``docs``.
 
-    The counts are of base spans; ``spans`` has the added ones too."""
+    The first four counts are of base spans; ``spans`` has the added ones too, ``n_spans`` counts all."""
     shared = docs.sparkSession.sparkContext.broadcast(fit_field(docs.select("doc_id", "text").where("text is not null")))
 
     def run(batches):
@@ -364,11 +372,12 @@ def find_pii(docs: DataFrame) -> DataFrame:
                 for kind in KINDS:
                     rows[kind].append(sum(s[2] == kind for s in base))
                 rows["sha"].append(hashlib.sha256(_joined(base).encode()).hexdigest())
+                rows["all"].append(len(base) + len(extra))
                 rows["spans"].append(_joined(sorted(base + extra, key=lambda s: (s[0], KINDS.index(s[2])))))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *(pa.array(rows[k], pa.int64()) for k in KINDS), pa.array(rows["sha"], pa.string()),
-                 pa.array(rows["spans"], pa.string())],
-                names=["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"])
+                 pa.array(rows["spans"], pa.string()), pa.array(rows["all"], pa.int64())],
+                names=["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "n_spans"])
 
     return text_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, _FOUND)
 

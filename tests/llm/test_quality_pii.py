@@ -142,3 +142,14 @@ def test_pii_of_awkward_rows(spark):
     text = "a x@y.org b 10.0.0.1"
     spans = ",".join(f"{k}:{s}:{e}" for s, e, k in pii.base_spans(text))
     assert pii.mask(text, spans) == "a [email] b [ip]"
+
+
+def test_field_is_fitted_on_a_bounded_sample_of_all_texts(spark):
+    long_text = "Call +1 (755) 555-9729 or write to jo.doe@mail.example.com now. " * 3000  # no text is too long to learn from
+    field = pii.fit_field(docs(spark, [long_text]).select("doc_id", "text"))
+    assert field is not None
+    same = spark.createDataFrame([(None, "Mail a@b.org or 10.20.30.40")] * 500 + [(i, f"Ring +44 20 7946 0{i:03d}.") for i in range(300)], "doc_id long, text string")
+    plan_texts = pii.fit_field(same.repartition(5), most_docs=50, most_nodes=400)
+    assert plan_texts is not None
+    got = pii.find_pii(docs(spark, ["a@b.org 10.20.30.40", "nothing", None])).collect()
+    assert {r["doc_id"]: r["n_spans"] for r in got} == {0: 2, 1: 0, 2: 0}
