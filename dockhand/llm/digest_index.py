@@ -10,8 +10,8 @@ Two texts are equal when identical after every run of white space
 UTF-8.  A null text counts as empty; empty texts are equal to each other.  Of
 equal texts the first batch's smallest doc_id stays; ``dedupe`` adds a table in
 batches of ascending doc_id, so the smallest of all stays.  Rows with a null
-doc_id never displace others; a group of only such rows has a null keep_id and
-all of it counts as kept.  Rows that repeat a kept doc_id and text are all marked kept.  Other
+doc_id never displace others; a group of only such rows has a null keep_id.  One
+row of a group is kept: of rows that repeat the smallest doc_id, the first read.  Other
 columns are ignored.  An empty table gives an empty result and leaves the index alone.
 
 Adding is safe to repeat: a batch added twice finds all its digests known.
@@ -64,8 +64,12 @@ class DigestIndex:
         """The index as a bucketed table."""
         return self.spark.table(self.table)
 
+    def close(self) -> None:
+        """Take the index out of the session's catalog; its files stay."""
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.table}")
+
     def entries(self) -> DataFrame:
-        """The index as plain files (a join against it can then split hot digests)."""
+        """The index as plain files, for a session without its table."""
         return self.spark.read.schema(_SCHEMA).parquet(self.location)
 
     def add(self, digests: DataFrame) -> None:
@@ -85,7 +89,7 @@ def digests_of(docs: DataFrame) -> DataFrame:
 
 def dedupe(docs: DataFrame, index: DigestIndex, batches: int = 2) -> DataFrame:
     """Add ``docs`` to the index; (doc_id, keep_id, group_size, kept, text_sha256), one row per row."""
-    found = settle(digests_of(docs))
+    found = settle(digests_of(docs).withColumn("row", F.monotonically_increasing_id()))
     low, high = found.agg(F.min("doc_id"), F.max("doc_id")).first()
     if low is None:
         index.add(found)
@@ -94,9 +98,10 @@ def dedupe(docs: DataFrame, index: DigestIndex, batches: int = 2) -> DataFrame:
         for k in range(batches):  # ascending doc_id
             part = found.where((F.col("doc_id") >= cuts[k]) & (F.col("doc_id") < cuts[k + 1]))
             index.add(part.unionByName(found.where("doc_id is null")) if k == batches - 1 else part)
-    sizes = found.groupBy("digest").agg(F.count(F.lit(1)).alias("group_size"))
-    groups = sizes.join(index.entries(), "digest")
-    return found.join(settle(groups), "digest").select(
-        "doc_id", "keep_id", "group_size",
-        F.coalesce(F.col("doc_id") == F.col("keep_id"), F.col("keep_id").isNull()).alias("kept"),
-        F.lower(F.hex("digest")).alias("text_sha256"))
+    # the row that may stay of each digest: the first of those with the smallest doc_id
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("doc_id"), F.col("row").alias("row")))
+    sizes = settle(found.groupBy("digest").agg(F.count(F.lit(1)).alias("group_size"), first.getField("row").alias("first_row")))
+    # settled, so that the index is met in its buckets and not shuffled
+    groups = settle(sizes.hint("merge").join(index.known().hint("merge"), "digest").select("digest", "keep_id", "group_size", "first_row"))
+    stays = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("row") == F.col("first_row"))
+    return found.join(groups, "digest").select("doc_id", "keep_id", "group_size", stays.alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"))

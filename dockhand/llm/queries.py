@@ -191,7 +191,9 @@ FROM laid WHERE lead < 320
 def op10_digest_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact duplicates of all documents, through a new digest index."""
     index = digest_index.DigestIndex(spark, scratch_path(spark, "digest-index"))
-    return digest_index.dedupe(read_table(spark, sf_dir, "documents"), index)
+    found = digest_index.dedupe(read_table(spark, sf_dir, "documents"), index)
+    index.close()
+    return found
 
 
 OP10_SQL = r"""

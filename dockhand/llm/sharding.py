@@ -116,11 +116,20 @@ def number_slots(rows: DataFrame, by: str, total: int, order: list[str]) -> Data
             .withColumn("slot", F.col("offset") + F.col("at") - 1).drop("block", "at", "offset"))
 
 
+def _item(text):
+    """Key of a group of equal texts; a null text is an empty one."""
+    return F.coalesce(F.unhex(F.sha2(text.cast("binary"), 256)), F.unhex(F.sha2(F.lit("").cast("binary"), 256)))
+
+
+def _size(text):
+    return F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + 1
+
+
 def shard_documents(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     """(doc_id, size, text_crc32, law, shard, slot, grown_shard), one row per row of ``docs``."""
     text = F.col("text")
     rows = settle(docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), (F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + 1).alias("size"),
+        F.col("doc_id").cast("long").alias("doc_id"), _size(text).alias("size"),
         F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("text_crc32"),
         F.coalesce(F.unhex(F.sha2(text.cast("binary"), 256)), F.lit(b"")).alias("item")))
     groups = rows.groupBy("item").agg(F.sum("size").alias("size"))
@@ -131,6 +140,11 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
 
 
 def write_shards(docs: DataFrame, path: str, shards: int = SHARDS) -> None:
-    """Write the rows of ``docs`` with unique doc_ids as Parquet, one folder per shard."""
-    place = shard_documents(docs, shards).select("doc_id", "shard")
-    docs.join(place, "doc_id").write.partitionBy("shard").parquet(path)
+    """Write every row of ``docs`` once, with its columns, as Parquet, one folder per shard.
+
+    Rows meet their shard by the digest of their text, which decides it, so null
+    and repeated doc_ids lose and multiply nothing.  A column ``shard`` of the input gives way."""
+    groups = docs.select(_item(F.col("text")).alias("item"), _size(F.col("text")).alias("size")).groupBy("item").agg(F.sum("size").alias("size"))
+    place = settle(shard_groups(groups, shards).select(F.col("item").alias("__item"), "shard"))
+    (docs.drop("shard").withColumn("__item", _item(F.col("text"))).join(place, "__item").drop("__item")
+     .write.partitionBy("shard").parquet(path))

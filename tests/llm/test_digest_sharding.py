@@ -21,7 +21,7 @@ def test_dedupe_awkward_rows(spark, tmp_dir):
     got = dedupe(awkward(spark), index, batches=3).collect()
     rows = sorted(((r["doc_id"], r["keep_id"], r["group_size"], r["kept"]) for r in got), key=str)
     assert rows == sorted([(1, 1, 2, True), (2, 1, 2, False), (3, 3, 1, True), (None, None, 1, True), (4, 4, 1, True),
-                           (5, 5, 2, True), (5, 5, 2, True), (6, 6, 1, True), (7, 7, 1, True)], key=str)
+                           (5, 5, 2, True), (5, 5, 2, False), (6, 6, 1, True), (7, 7, 1, True)], key=str)
     assert next(r for r in got if r["doc_id"] == 1)["text_sha256"] == hashlib.sha256(b"").hexdigest()
 
 
@@ -38,12 +38,26 @@ def test_index_persists_and_adding_again_changes_nothing(spark, tmp_dir):
     assert dedupe(first.where("false"), again).count() == 0 and again.entries().count() == 3
 
 
+def test_one_row_of_equal_rows_is_kept(spark, tmp_dir):
+    table = spark.createDataFrame([(5, "x")] * 3 + [(None, "y")] * 2 + [(9, "x")], "doc_id long, text string").repartition(3)
+    index = DigestIndex(spark, f"{tmp_dir}/i", buckets=4)
+    got = dedupe(table, index).collect()
+    assert Counter((r["doc_id"], r["keep_id"], r["group_size"], r["kept"]) for r in got) == Counter(
+        {(5, 5, 4, True): 1, (5, 5, 4, False): 2, (9, 5, 4, False): 1, (None, None, 2, True): 1, (None, None, 2, False): 1})
+    index.close()
+    assert not spark.catalog.tableExists(index.table)
+    assert DigestIndex(spark, f"{tmp_dir}/i").known().count() == 2
+
+
 def test_anti_join_reads_the_index_in_its_buckets(spark, tmp_dir):
     index = DigestIndex(spark, f"{tmp_dir}/i", buckets=8)
     index.add(digests_of(docs(spark, ["a", "b"])))
     batch = digests_of(docs(spark, ["b", "c"])).groupBy("digest").count().repartition(8, "digest").hint("merge")
     plan = batch.join(index.known().select("digest").hint("merge"), "digest", "left_anti")._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "Bucketed: true" in plan
+    sizes = batch.select("digest", "count")
+    plan = sizes.join(index.known().hint("merge"), "digest")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1  # that of the new digests: the index is not shuffled
 
 
 def test_karmarkar_karp_balances():
@@ -58,6 +72,26 @@ def test_karmarkar_karp_balances():
     assert sorted(np.bincount(karmarkar_karp(np.array([8, 7, 6, 5, 4]), 2), [8, 7, 6, 5, 4])) == [14, 16]
 
 
+def plain_differencing(sizes, k):
+    """Sums of the parts by Karmarkar-Karp on plain lists."""
+    parts = [sorted([0] * (k - 1) + [int(x)]) for x in sizes]
+    while len(parts) > 1:
+        parts.sort(key=lambda p: p[-1] - p[0])
+        a, b = parts.pop(), parts.pop()
+        parts.append(sorted(x + y for x, y in zip(a, reversed(b), strict=True)))
+    return parts[0] if parts else [0] * k
+
+
+def test_karmarkar_karp_equals_the_plain_rule():
+    rng = np.random.RandomState(3)
+    for n, k in ((2, 2), (9, 2), (40, 3), (200, 5), (300, 16)):
+        sizes = rng.choice(10 ** 9, n, replace=False)  # no ties
+        part = karmarkar_karp(sizes, k)
+        got = sorted(int(x) for x in np.bincount(part, sizes, minlength=k))
+        want = plain_differencing(sizes, k)
+        assert [x - got[0] for x in got] == [x - want[0] for x in want]
+
+
 def test_shards(spark, monkeypatch):
     monkeypatch.setattr(sharding, "TOP", 60)
     monkeypatch.setattr(sharding, "CHUNK", 50)
@@ -87,3 +121,7 @@ def test_shards_of_awkward_rows(spark, tmp_dir):
     assert shard_documents(awkward(spark).where("false")).count() == 0
     write_shards(docs(spark, ["a", "b", "c"]), f"{tmp_dir}/s", 2)
     assert spark.read.parquet(f"{tmp_dir}/s").count() == 3
+    rows = [(1, "a", "k"), (None, "b", "k"), (None, None, "k"), (2, "c", "k"), (2, "dd", "k")]
+    write_shards(spark.createDataFrame(rows, "doc_id long, text string, shard string"), f"{tmp_dir}/t", 2)
+    back = spark.read.parquet(f"{tmp_dir}/t").select("doc_id", "text").collect()
+    assert Counter(map(tuple, back)) == Counter(r[:2] for r in rows)
