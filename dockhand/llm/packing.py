@@ -19,15 +19,11 @@ the task's input partition, so a task that runs again writes the same rows.
 
 Null and empty texts give one piece with the end token only.  Null doc_ids
 and repeated rows are packed like others.  Other columns are ignored.  An empty table gives no rows.
-Runs of more than ``LONG_RUN`` characters without white space are cut there before the
-tokeniser sees them (its merge is quadratic in a run's length); decoding
-still gives the text back.
 """
 
 from __future__ import annotations
 
 import base64
-import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -40,7 +36,6 @@ from dockhand.llm.common import text_batches
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 CONTEXT = 2048
 WINDOW = 1 << 20
-LONG_RUN = 4096
 # Fixed value: the vocabulary's published split pattern.
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -49,7 +44,6 @@ SCHEMA = ("part int, row long, n_tokens int, input_ids binary, cu_seqlens array<
 _ARROW = [pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.list_(pa.int32()), pa.list_(pa.int32()),
           pa.list_(pa.int64()), pa.list_(pa.int32())]
 _NAMES = ["part", "row", "n_tokens", "input_ids", "cu_seqlens", "position_resets", "doc_ids", "pieces"]
-_RUN = re.compile(rf"\S{{{LONG_RUN},}}")
 
 
 def read_vocabulary(spark: SparkSession, path: str) -> dict[bytes, int]:
@@ -110,15 +104,6 @@ def best_fit_decreasing(lengths: list[int], capacity: int) -> list[list[int]]:
     return rows
 
 
-def _encode(encoding, text: str) -> list[int]:
-    at, ids = 0, []
-    for run in _RUN.finditer(text):  # rare
-        for lo in range(run.start(), run.end(), LONG_RUN):
-            ids += encoding.encode_ordinary(text[at: lo])
-            at = lo
-    return ids + encoding.encode_ordinary(text[at:])
-
-
 def _packed(part: int, first: int, window: list[tuple], context: int, end: int, dtype) -> pa.RecordBatch:
     rows = best_fit_decreasing([len(ids) for _, _, ids in window], context)
     out: list[tuple] = []
@@ -144,7 +129,7 @@ def pack_batches(batches: Iterable[pa.RecordBatch], part: int, vocabulary: dict[
     held = row = 0
     for batch in batches:
         for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            ids = np.array([*_encode(encoding, text.as_py() or ""), end], dtype)
+            ids = np.array([*encoding.encode_ordinary(text.as_py() or ""), end], dtype)
             for piece, lo in enumerate(range(0, len(ids), context)):
                 window.append((doc_id, piece, ids[lo: lo + context]))
                 held += len(window[-1][2])

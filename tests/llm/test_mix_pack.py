@@ -93,3 +93,14 @@ def test_positions_and_awkward_rows(spark):
     rows = pack_tokens(awkward(spark)).collect()
     assert Counter(d for r in rows for d, p in zip(r["doc_ids"], r["pieces"], strict=True) if p == 0) == Counter([1, 2, 3, None, 4, 5, 5, 6, 7])
     assert pack_tokens(awkward(spark).where("false")).count() == 0
+
+
+def test_long_runs_without_white_space_are_encoded_whole(spark):
+    texts = ["hello,world;function(returned)" * 1000, "文字" * 5000, "Zm9vYmFy" * 3000]
+    encoding = tiktoken.Encoding("t", pat_str=packing.PATTERN, mergeable_ranks=read_vocabulary(spark, packing.VOCABULARY), special_tokens={})
+    got = {i: [] for i in range(len(texts))}
+    found = [(d, p, np.frombuffer(bytes(r["input_ids"]), "<u2")[a:b].tolist()) for r in pack_tokens(docs(spark, texts)).collect()
+             for d, p, a, b in zip(r["doc_ids"], r["pieces"], r["cu_seqlens"], r["cu_seqlens"][1:], strict=False)]
+    for d, _, ids in sorted(found):
+        got[d] += ids
+    assert [got[i][:-1] for i in range(len(texts))] == [encoding.encode_ordinary(t) for t in texts]
