@@ -54,13 +54,13 @@ WITH texts AS (
   SELECT 0 AS kind, doc_id AS id, text FROM documents UNION ALL SELECT 1, item_id, text FROM benchmark),
 words AS (
   SELECT kind, id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda w: w <> '') AS w FROM texts),
+widths AS (SELECT DISTINCT least(len(w), 5) AS width FROM words WHERE kind = 1 AND len(w) > 0),
 shingles AS (
-  SELECT kind, id, unnest(list_distinct(CASE WHEN len(w) = 0 THEN []::VARCHAR[] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
-           ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' ')) END)) AS s
-  FROM words),
-items AS (SELECT id, s, count(*) OVER (PARTITION BY id) AS n FROM shingles WHERE kind = 1)
+  SELECT DISTINCT kind, id, width, unnest(list_transform(range(1, (len(w) - width + 2)::BIGINT), lambda i: array_to_string(w[i:i+width-1], ' '))) AS s
+  FROM words, widths WHERE len(w) >= width AND (kind = 0 OR width = least(len(w), 5))),
+items AS (SELECT id, width, s, count(*) OVER (PARTITION BY id) AS n FROM shingles WHERE kind = 1)
 SELECT d.id AS doc_id, i.id AS item_id, count(*) AS shared, max(i.n) AS item_size, count(*)::DOUBLE / max(i.n) AS containment
-FROM shingles d JOIN items i ON d.s = i.s WHERE d.kind = 0
+FROM shingles d JOIN items i ON d.s = i.s AND d.width = i.width WHERE d.kind = 0
 GROUP BY 1, 2 HAVING count(*) >= 0.75 * max(i.n)
 """
 
