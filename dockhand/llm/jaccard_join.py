@@ -62,6 +62,7 @@ PERCENT = 75
 SMALL = 64      # up to here a band's cells are enumerated, not only compared
 CELL = 2        # shingles a cell holds on average at a band's upper edge
 PAIR_CAP = 32   # larger mixed buckets go through the prefix filter
+LOOSE = 1 << 62  # names of rows without a doc_id begin here
 SALT = 16       # ways a very full bucket is first cut into
 SAMPLE = 32     # one document in so many is read for common shingles
 MOST_COMMON = 2_000_000
@@ -406,6 +407,17 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
 
 def keep_one_per_component(docs: DataFrame) -> DataFrame:
     """Rows of ``docs`` but those whose document links to a smaller doc_id.
-    Repeated rows of the document that stays are kept once per row."""
-    gone = settle(jaccard_components(docs).where("component_id < doc_id").select("doc_id").distinct())
-    return drop_rows(docs, gone, "doc_id")
+    Repeated rows of the document that stays are kept once per row.
+
+    A row without a doc_id is taken as a document named by its text, after all with an id;
+    equal texts among such rows leave one."""
+    loose = docs.where("doc_id is null")
+    if loose.isEmpty():
+        gone = settle(jaccard_components(docs).where("component_id < doc_id").select("doc_id").distinct())
+        return drop_rows(docs, gone, "doc_id")
+    by_text = F.xxhash64("text").bitwiseAND(F.lit(LOOSE - 1)).bitwiseOR(F.lit(LOOSE))
+    keyed = settle(docs.withColumn("__doc", F.coalesce(F.col("doc_id").cast("long"), by_text)))
+    gone = settle(jaccard_components(keyed.select(F.col("__doc").alias("doc_id"), "text")).where("component_id < doc_id")
+                  .select(F.col("doc_id").alias("__doc")).distinct())
+    kept = drop_rows(keyed, gone, "__doc")
+    return kept.where("doc_id is not null").unionByName(kept.where("doc_id is null").dropDuplicates(["__doc"])).select(*docs.columns)

@@ -83,3 +83,17 @@ def test_runs_on_the_given_tables(spark):
     rows = corpus_pipeline.run(spark, SF_SMALL)
     whole = pack_tokens(read_table(spark, SF_SMALL, "documents"))
     assert 0 < rows.count() and rows.columns == whole.columns
+
+
+def test_rows_without_a_doc_id_are_decided_by_their_text(spark, tables):
+    from dockhand.llm.decontaminate import drop_contaminated
+    from dockhand.llm.jaccard_join import keep_one_per_component
+    root, texts = tables
+    rows = [(1, texts[0]), (None, texts[0]), (None, texts[0]), (None, texts[0] + " end"), (None, texts[1]), (None, texts[1]), (None, texts[190]), (2, texts[2])]
+    docs = spark.createDataFrame([(i, t, "en", None, 0) for i, t in rows], DOCS)
+    kept = keep_one_per_component(docs)
+    assert kept.columns == docs.columns
+    assert sorted(map(tuple, kept.select("doc_id", "text").collect()), key=str) == sorted(
+        [(1, texts[0]), (2, texts[2]), (None, texts[1]), (None, texts[190])], key=str)
+    clean = drop_contaminated(docs, read_table(spark, root, "benchmark"))
+    assert clean.count() == 7 and clean.where(docs["text"] == texts[190]).count() == 0
