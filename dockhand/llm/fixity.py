@@ -18,7 +18,9 @@ follow in its archive, so those are compared as records, at most one archive's.
 
 A null url or html is written as empty.  Page ids may be null or repeat: records
 are ordered by page id, url and digest, so replicas with the same records
-have the same trees.  A record of one replica only is reported as ``missing`` (from the
+have the same trees.  Records without a page id are dealt to archives by their url,
+those without either by their bytes: no archive takes them all, and of the last kind a damaged one
+may count as ``missing`` and ``extra``, having no identity but its bytes.  A record of one replica only is reported as ``missing`` (from the
 second) or ``extra``; one of both with other bytes, of any length, as ``corrupt``.  Equal
 tables give an empty audit, as do empty ones.  Other columns are ignored.
 """
@@ -44,22 +46,24 @@ def warc_record(page_id: str = "page_id", url: str = "url", html: str = "html")
 
 
 def archive_of(key: str, archives: int) -> Column:
-    """Archive number: pages are dealt evenly by a hash of their id."""
-    return F.conv(F.substring(F.md5(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")), 1, 8), 16, 10).cast("long") % archives
+    """Archive number: records are dealt evenly by the hash (hexadecimal) in ``key``."""
+    return F.conv(key, 16, 10).cast("long") % archives
 
 
 def record_hashes(pages: DataFrame, record: Column) -> DataFrame:
-    """(page_id, url_key, length, digest) of each record, in one pass over the bytes."""
+    """(page_id, url_key, length, digest, archive_key) of each record, in one pass over the bytes."""
+    digest = F.sha2("__record", 256)
+    key = F.coalesce(F.col("page_id").cast("string"), F.concat(F.lit("url:"), F.col("url")), F.concat(F.lit("sha256:"), digest))
     return (pages.withColumn("__record", record.cast("binary"))
             .select("page_id", F.xxhash64("url").alias("url_key"), F.octet_length("__record").cast("long").alias("length"),
-                    F.sha2("__record", 256).alias("digest")))
+                    digest.alias("digest"), F.substring(F.md5(key.cast("binary")), 1, 8).alias("archive_key")))
 
 
 def lay_out(hashes: DataFrame, archives: int) -> DataFrame:
     """Leaves (level 0): archive, index, start, end, digest, page_id, url_key."""
     order = Window.partitionBy("archive").orderBy("page_id", "url_key", "digest")
     end = F.sum("length").over(order.rowsBetween(Window.unboundedPreceding, 0))
-    return (hashes.withColumn("archive", archive_of("page_id", archives)).withColumn("end", end)
+    return (hashes.withColumn("archive", archive_of("archive_key", archives)).withColumn("end", end)
             .select(F.lit(0).alias("level"), "archive", (F.row_number().over(order) - 1).cast("long").alias("index"),
                     (F.col("end") - F.col("length")).alias("start"), "end", "digest", "page_id", "url_key"))
 

@@ -90,10 +90,15 @@ cdf(source, rate, k, log_p, total) AS (
   UNION ALL
   SELECT source, rate, k + 1, log_p + ln(rate / (k + 1)), total + exp(log_p + ln(rate / (k + 1)))
   FROM cdf WHERE k + 1 < (rate + 12 * sqrt(rate) + 20)::INT),
+named AS (
+  SELECT *, CASE WHEN doc_id IS NOT NULL AND count(*) OVER (PARTITION BY doc_id) = 1 THEN doc_id::VARCHAR ELSE
+    md5(coalesce(doc_id::VARCHAR, '') || chr(31) || coalesce(text, '') || chr(31) || coalesce(lang, '') || chr(31) || coalesce(source, '') || chr(31)
+        || coalesce(n_chars::VARCHAR, '')) || ':' || (row_number() OVER (PARTITION BY doc_id, text, lang, source, n_chars) - 1)::VARCHAR END AS name
+  FROM documents),
 drawn AS (
-  SELECT *, ('0x' || substr(md5('mix-1:' || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS u FROM sized),
+  SELECT *, ('0x' || substr(md5('mix-1:' || name), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS u FROM named),
 counted AS (
-  SELECT d.doc_id, d.text, d.lang, d.source, d.n_chars, count(*) AS n
+  SELECT d.doc_id, d.text, d.lang, d.source, d.n_chars, d.name, count(*) AS n
   FROM drawn d JOIN cdf c ON d.source IS NOT DISTINCT FROM c.source AND c.total <= d.u GROUP BY ALL)
 SELECT doc_id, text, lang, source, n_chars, unnest(range(0, n))::INT AS replica FROM counted
 """
@@ -115,14 +120,19 @@ WITH cut AS (
          regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
   FROM (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages)),
 known AS (SELECT doc_id AS page_id, min(quality) AS good FROM labels WHERE quality IN (0, 1) GROUP BY doc_id),
-hosts AS (
-  SELECT host, split_part(host, '.', -1) AS suffix,
-         CASE WHEN contains(host, '.') THEN split_part(host, '.', -2) || '.' || split_part(host, '.', -1) ELSE host END AS domain,
-         coalesce(sum(good), 0)::DOUBLE AS good, count(good)::DOUBLE AS n
+counted AS (
+  SELECT host, string_split(host, '.') AS labels, coalesce(sum(good), 0)::DOUBLE AS good, count(good)::DOUBLE AS n
   FROM cut LEFT JOIN known USING (page_id) GROUP BY host),
+hosts AS (
+  SELECT host, good, n, array_to_string(labels[-k:], '.') AS suffix, array_to_string(labels[-k - 1:], '.') AS domain
+  FROM (SELECT *, CASE WHEN array_to_string(labels[-2:], '.') IN (
+          'ac.jp', 'ac.uk', 'co.in', 'co.jp', 'co.kr', 'co.nz', 'co.uk', 'co.za', 'com.ar', 'com.au', 'com.br', 'com.cn', 'com.hk', 'com.mx',
+          'com.pl', 'com.sg', 'com.tr', 'com.tw', 'com.ua', 'gov.au', 'gov.uk', 'ne.jp', 'net.au', 'net.uk', 'or.jp', 'org.au', 'org.uk')
+          THEN 2 ELSE 1 END AS k FROM counted)),
 domains AS (SELECT domain, suffix, sum(good) AS good, sum(n) AS n FROM hosts GROUP BY 1, 2),
 suffixes AS (SELECT suffix, sum(good) AS good, sum(n) AS n FROM domains GROUP BY 1),
-s0 AS (SELECT *, (SELECT (sum(good) + 1) / (sum(n) + 2) FROM suffixes) AS mean FROM suffixes),
+corpus AS (SELECT (coalesce(sum(good), 0) + 1) / (coalesce(sum(n), 0) + 2) AS root FROM suffixes),
+s0 AS (SELECT suffixes.*, root AS mean FROM suffixes, corpus),
 sw AS (SELECT CASE WHEN count(*) = 0 OR sum(n - 1) = 0 THEN 1.0 ELSE
          1 / least(0.5, greatest(0.0001, (sum(pow(good / n - mean, 2) * n / (mean * (1 - mean))) - count(*)) / sum(n - 1))) - 1 END AS w
        FROM s0 WHERE n > 0),
@@ -144,7 +154,8 @@ judged AS (
          row_number() OVER (PARTITION BY c.page_id, c.host, c.path ORDER BY length(r.rhost || r.rpath) DESC NULLS LAST) AS k
   FROM cut c JOIN h1 USING (host)
   LEFT JOIN rules r ON (c.host = r.rhost OR ends_with(c.host, '.' || r.rhost)) AND starts_with(c.path, r.rpath))
-SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN upper < 0.5 THEN 'block' ELSE 'allow' END) AS verdict FROM judged WHERE k = 1
+SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN upper < 0.9 * root THEN 'block' ELSE 'allow' END) AS verdict
+FROM judged, corpus WHERE k = 1
 """
 
 
@@ -156,35 +167,51 @@ def op8_skip_chain_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_merkle_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Audit of the page archives against a replica with planted damage.
 
-    The tables hold no second replica, so one is derived from them: its records
-    of pages whose hash of the id leads with 0 to 255 (of 65,536) have a flipped
-    first character, those with 256 to 319 are zeroed; offsets stay.
+    The tables hold no second replica, so one is derived from them.  By the first 16 bits of a
+    hash of the page id, its records have a flipped first character (0 to 255), are
+    zeroed (to 319), lost (to 383), longer by two characters (to 447), or followed by a record of
+    another page id that the first replica lacks (to 511).  Lost, longer and further records move those behind them.
     """
     pages = read_table(spark, sf_dir, "pages")
     record = fixity.warc_record()
     lead = F.conv(F.substring(F.md5(F.concat(F.lit("rot:"), F.col("page_id").cast("string")).cast("binary")), 1, 4), 16, 10).cast("int")
     damaged = (F.when(lead < 256, F.concat(F.lit("?"), F.substring(record, 2, 2147483647)))
-               .when(lead < 320, F.repeat(F.lit("0"), F.octet_length(record))).otherwise(record))
-    return fixity.audit_replicas(fixity.record_hashes(pages, record), fixity.record_hashes(pages, damaged))
+               .when(lead < 320, F.repeat(F.lit("0"), F.octet_length(record)))
+               .when(lead.between(384, 447), F.concat(record, F.lit("\r\n"))).otherwise(record))
+    lost = F.coalesce(lead.between(320, 383), F.lit(False))
+    further = pages.where(lead.between(448, 511)).withColumn("page_id", -1 - F.col("page_id"))
+    second = fixity.record_hashes(pages.where(~lost), damaged).unionByName(fixity.record_hashes(further, record))
+    return fixity.audit_replicas(fixity.record_hashes(pages, record), second)
 
 
 OP9_SQL = r"""
-WITH records AS (
-  SELECT page_id, url, 'WARC/1.0' || chr(13) || chr(10) || 'WARC-Type: resource' || chr(13) || chr(10) || 'WARC-Record-ID: <urn:page:'
+WITH leads AS (SELECT page_id, url, html, ('0x' || substr(md5('rot:' || page_id::VARCHAR), 1, 4))::INT AS lead FROM pages),
+both_sides AS (
+  SELECT page_id, url, html, lead, false AS further FROM leads
+  UNION ALL SELECT -1 - page_id, url, html, lead, true FROM leads WHERE lead BETWEEN 448 AND 511),
+records AS (
+  SELECT *, 'WARC/1.0' || chr(13) || chr(10) || 'WARC-Type: resource' || chr(13) || chr(10) || 'WARC-Record-ID: <urn:page:'
     || coalesce(page_id::VARCHAR, '') || '>' || chr(13) || chr(10) || 'WARC-Target-URI: ' || coalesce(url, '') || chr(13) || chr(10)
     || 'Content-Type: text/html' || chr(13) || chr(10) || 'Content-Length: ' || strlen(coalesce(html, ''))::VARCHAR || chr(13) || chr(10)
-    || chr(13) || chr(10) || coalesce(html, '') || chr(13) || chr(10) || chr(13) || chr(10) AS record,
-    ('0x' || substr(md5('rot:' || page_id::VARCHAR), 1, 4))::INT AS lead
-  FROM pages),
-archived AS (
-  SELECT *, strlen(record)::BIGINT AS length,
-    ('0x' || substr(md5(page_id::VARCHAR), 1, 8))::BIGINT % (SELECT greatest(1, ceil(sum(strlen(record)) / 16777216.0)::BIGINT) FROM records) AS archive
+    || chr(13) || chr(10) || coalesce(html, '') || chr(13) || chr(10) || chr(13) || chr(10) AS record
+  FROM both_sides),
+sides AS (
+  SELECT *, CASE WHEN NOT further THEN record END AS one,
+    CASE WHEN further THEN record WHEN lead < 256 THEN '?' || substr(record, 2) WHEN lead < 320 THEN repeat('0', strlen(record)::BIGINT)
+         WHEN lead BETWEEN 320 AND 383 THEN NULL WHEN lead BETWEEN 384 AND 447 THEN record || chr(13) || chr(10) ELSE record END AS two
   FROM records),
+archived AS (
+  SELECT *, ('0x' || substr(md5(coalesce(page_id::VARCHAR, 'url:' || url, 'sha256:' || sha256(coalesce(one, two)))), 1, 8))::BIGINT
+    % (SELECT greatest(1, ceil(sum(strlen(one)) / 16777216.0)::BIGINT) FROM sides) AS archive
+  FROM sides),
 laid AS (
-  SELECT *, (sum(length) OVER (PARTITION BY archive ORDER BY page_id ROWS UNBOUNDED PRECEDING) - length)::BIGINT AS start FROM archived)
-SELECT archive, start, length, page_id, 'corrupt' AS status, sha256(record) AS first_sha256,
-  sha256(CASE WHEN lead < 256 THEN '?' || substr(record, 2) ELSE repeat('0', length) END) AS second_sha256
-FROM laid WHERE lead < 320
+  SELECT *, coalesce(sum(strlen(one)) OVER before, 0)::BIGINT AS start_one, coalesce(sum(strlen(two)) OVER before, 0)::BIGINT AS start_two
+  FROM archived
+  WINDOW before AS (PARTITION BY archive ORDER BY page_id NULLS FIRST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+SELECT archive, CASE WHEN one IS NULL THEN start_two ELSE start_one END AS start, strlen(coalesce(one, two))::BIGINT AS length, page_id,
+  CASE WHEN two IS NULL THEN 'missing' WHEN one IS NULL THEN 'extra' ELSE 'corrupt' END AS status,
+  sha256(one) AS first_sha256, sha256(two) AS second_sha256
+FROM laid WHERE one IS DISTINCT FROM two
 """
 
 

@@ -3,6 +3,8 @@
 import re
 import string
 
+import duckdb
+
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
 
@@ -50,3 +52,11 @@ def components(sets, percent=75):
                 x, y = sorted((root(a), root(b)))
                 parent[y] = x
     return {i: root(i) for i in ids}
+
+
+def duck_folders(folder, *tables):
+    """DuckDB with the tables that Spark wrote as Parquet folders."""
+    con = duckdb.connect()
+    for t in tables:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{folder}/{t}.parquet/*.parquet')")
+    return con

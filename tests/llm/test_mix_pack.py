@@ -4,13 +4,16 @@ from collections import Counter
 import numpy as np
 import pytest
 import tiktoken
-from helpers import awkward, docs
+from helpers import awkward, docs, duck_folders
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from dockhand.llm import packing
 from dockhand.llm.mixing import poisson_mix, source_rates
 from dockhand.llm.packing import best_fit_decreasing, pack_tokens, position_ids, read_vocabulary
+from dockhand.llm.queries import OP4_SQL, op4_poisson_mix
+from oracle import compare
 
 
 def test_rates_hit_the_target_shares(spark):
@@ -41,6 +44,30 @@ def test_large_rates_do_not_underflow(spark):
     assert cdf == sorted(cdf) and cdf[-1] == pytest.approx(1, abs=1e-9) and cdf[1200] == pytest.approx(0.5, abs=0.02)
 
 
+def test_rows_without_an_own_id_are_drawn_one_by_one(spark):
+    rows = [(None, f"text {i % 40}", "en", "a", 9) for i in range(2000)] + [(7, "same", "en", "b", 4)] * 2000 + [(100 + i, "own", "en", "c", 3) for i in range(2000)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").withColumn("replica", F.lit("mine"))
+    for seed in ("x", "y", "z"):
+        mixed = poisson_mix(table, epochs=1.0, seed=seed, weights={"a": 8.0, "b": 5.0, "c": 4.0})
+        got = Counter(r["source"] for r in mixed.select("source").collect())
+        total = sum({"a": 8.9, "b": 5.0, "c": 4.0}[s] * 2000 for s in "abc")
+        for source, weight, size in (("a", 8, 8.75), ("b", 5, 5), ("c", 4, 4)):
+            assert abs(got[source] * size / (total * weight / 17) - 1) < 0.12
+        in_parts = mixed.groupBy("source", F.spark_partition_id().alias("part")).count().where("count > 0")
+        assert mixed.rdd.getNumPartitions() == 1 or {r["source"]: r["n"] for r in in_parts.groupBy("source").agg(F.count("part").alias("n")).collect()}["b"] > 1
+    again = poisson_mix(table.repartition(5), seed="x")
+    assert Counter(map(tuple, again.collect())) == Counter(map(tuple, poisson_mix(table, seed="x").collect()))
+    kept = poisson_mix(table, replica="copy")
+    assert kept.columns == [*table.columns, "copy"] and {r["replica"] for r in kept.select("replica").distinct().collect()} == {"mine"}
+
+
+def test_sql_of_the_mix_names_rows_alike(spark, tmp_path):
+    rows = [(None, f"t{i % 5}", "en", "a", i % 2) for i in range(60)] + [(i % 30, "x\n" * (i % 3), None, "b", 1) for i in range(90)] + [(500, None, None, None, None)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    ok, message = compare(op4_poisson_mix(spark, str(tmp_path)), duck_folders(tmp_path, "documents"), OP4_SQL)
+    assert ok, message
+
+
 def test_mix_of_awkward_rows(spark):
     table = awkward(spark)
     mixed = poisson_mix(table, epochs=50.0)

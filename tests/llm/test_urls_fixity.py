@@ -1,7 +1,10 @@
+from helpers import duck_folders
 from pyspark.sql import functions as F
 
 from dockhand.llm import fixity
-from dockhand.llm.host_reputation import host_reputation, judge
+from dockhand.llm.host_reputation import domain_of, host_reputation, judge, suffix_of
+from dockhand.llm.queries import OP7_SQL, OP9_SQL, op9_merkle_fixity
+from oracle import compare
 
 
 def _pages(spark):
@@ -42,6 +45,33 @@ def test_bad_host_is_blocked_unless_a_rule_allows(spark):
     assert "Python" not in plan and "NestedLoop" not in plan and "Cartesian" not in plan
 
 
+def test_bound_follows_the_corpus_and_its_sql_blocks_alike(spark, tmp_path):
+    # 41 good pages in 100 overall; the hosts of one domain under a two-label suffix have one in twenty, one host of another has none
+    rows, labels = [], []
+    for host, n, good in [(f"s{i}.dull.co.uk", 60, 3) for i in range(6)] + [(f"s{i}.fine.co.uk", 60, 30) for i in range(25)] + [("lone.fine.org", 200, 0)]:
+        for j in range(n):
+            rows.append((len(rows), f"http://{host.upper()}/p{j}", "h"))
+            labels.append((len(labels), int(j < good), 0))
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    known = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    for name, table in (("pages", pages), ("labels", known)):
+        table.coalesce(1).write.parquet(str(tmp_path / f"{name}.parquet"))
+    got = {r["host"]: r["verdict"] for r in judge(pages, known).where("rule is null").collect()}
+    blocked = {h for h, v in got.items() if v == "block"}
+    assert blocked == {f"s{i}.dull.co.uk" for i in range(6)} | {"lone.fine.org"}  # the others, at 50 in 100, are not
+    ok, message = compare(judge(*(spark.read.parquet(str(tmp_path / f"{t}.parquet")) for t in ("pages", "labels"))), duck_folders(tmp_path, "pages", "labels"), OP7_SQL)
+    assert ok, message
+
+
+def test_domains_under_suffixes(spark):
+    hosts = ["a.b.example.co.uk", "example.co.uk", "co.uk", "a.example.com", "com", "", "x.notco.uk", "blog.city.kawasaki.jp"]
+    frame = spark.createDataFrame([(h,) for h in hosts], "host string").withColumn("suffix", suffix_of("host", ("co.uk", "city.kawasaki.jp")))
+    got = {r["host"]: (r["suffix"], r["domain"]) for r in frame.withColumn("domain", domain_of("host", "suffix")).collect()}
+    assert got == {"a.b.example.co.uk": ("co.uk", "example.co.uk"), "example.co.uk": ("co.uk", "example.co.uk"), "co.uk": ("co.uk", "co.uk"),
+                   "a.example.com": ("com", "example.com"), "com": ("com", "com"), "": ("", ""), "x.notco.uk": ("uk", "notco.uk"),
+                   "blog.city.kawasaki.jp": ("city.kawasaki.jp", "blog.city.kawasaki.jp")}
+
+
 def _records(spark, n=700, cut=()):
     rows = [(i, f"http://h/{i}", f"<p>page {i}</p>" * (1 + i % 5)) for i in range(n) if i not in cut]
     return spark.createDataFrame(rows, "page_id long, url string, html string")
@@ -100,3 +130,25 @@ def test_awkward_pages(spark):
     rows = [(None, None, None, 1), (None, None, None, 1), (1, "", "", 2), (1, "u", "é", 2), (2, "u", "x" * 100_000, 3)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, digest int")
     assert _audit(pages, pages) == [] and len(_audit(pages, pages.where("page_id = 1"), archives=1)) >= 3
+
+
+def test_planted_damage_equals_its_sql(spark, tmp_path):
+    rows = [(i, f"http://h/{i}", f"<p>é {i}</p>" * (1 + i % 400)) for i in range(8000)] + [(None, f"http://n/{i % 30}", "x") for i in range(40)]
+    spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(2).write.parquet(str(tmp_path / "pages.parquet"))
+    got = op9_merkle_fixity(spark, str(tmp_path))
+    ok, message = compare(got.where("page_id is not null"), duck_folders(tmp_path, "pages"), OP9_SQL)
+    assert ok, message
+    kinds = {r["status"]: r["n"] for r in got.groupBy("status").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert set(kinds) == {"corrupt", "missing", "extra"}
+    assert got.where("status = 'corrupt' and first_sha256 = second_sha256").isEmpty() and got.select("archive").distinct().count() > 1
+
+
+def test_records_without_a_page_id_fill_all_archives(spark):
+    rows = [(None, None if i % 3 == 0 else f"http://h/{i}", f"page {i}") for i in range(3000)]
+    pages, record = spark.createDataFrame(rows, "page_id long, url string, html string"), fixity.warc_record()
+    hashes = fixity.record_hashes(pages, record)
+    per = [r["count"] for r in hashes.groupBy(fixity.archive_of("archive_key", 16).alias("a")).count().collect()]
+    assert len(per) == 16 and max(per) < 2 * min(per)
+    changed = F.when(F.col("html").isin("page 4", "page 100"), F.concat(record, F.lit("x"))).otherwise(record)
+    got = fixity.audit_replicas(hashes, fixity.record_hashes(pages, changed), 16).collect()
+    assert [r["status"] for r in got] == ["corrupt", "corrupt"]
