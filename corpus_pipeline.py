@@ -31,7 +31,7 @@ def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents repeated to their source's target rate, globally shuffled."""
-    return mixing.poisson_mix(docs).select(*docs.columns)
+    return mixing.poisson_mix(docs, replica="__replica").select(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
