@@ -1,15 +1,18 @@
 """Quality classifier: nearest-neighbour voting over latent-semantic vectors.
 
-* **Terms** of a text are its hashed trigrams of character shapes (letters
-  fold to ``a``/``A``, digits to ``0``, everything else stays), so a model
-  reads layout, case, symbols and punctuation in any language, plus one term
-  that counts words equal to the word before.
-* **Vectors** are log-scaled term counts times inverse document frequency,
-  projected on the leading singular directions of the labelled sample and
-  scaled to length one.
+* **Terms** of a text are of two sorts.  Hashed trigrams of character shapes (letters
+  fold to ``a``/``A``, digits to ``0``, everything else stays) read layout, case, symbols and
+  punctuation; one term more counts words equal to the word before.  Hashed trigrams of its letters
+  (A-Z lower-cased, bytes from 128 as they are, all else a space) read the language: random
+  letters have the shapes of words, not their trigrams.
+* **Vectors** are log-scaled shape counts and square roots of letter counts, each times inverse document
+  frequency and scaled to length one, side by side, projected on the leading singular directions of the
+  labelled sample and scaled to length one again.
 * **Model.** A bounded sample of labelled rows: at most ``PER_CLASS`` of each
-  class, the first by a hash of doc_id.  Its size does not grow with the
-  corpus (4,000 vectors of 64 floats, 1 MB), so it is broadcast.
+  class, the first by a hash of doc_id.  Of the good ones, one in ``SCRAMBLE`` is also learnt from
+  with its letters a-z replaced at random, as a bad text: otherwise texts like none of the
+  sample would pass at the base rate.  The sample does not grow with the
+  corpus (some 4,250 vectors of ``RANK`` floats, 2 MB), so it is broadcast.
 * **Score.** Every document's cosine products with all sample vectors are
   computed exactly, block by block; the ``NEIGHBOURS`` nearest vote with
   weight similarity ** ``POWER``, plus a vote of weight ``PRIOR`` for the base
@@ -17,13 +20,14 @@
 
 Null and empty texts have no terms and score the base rate.  Without usable
 labels, or with labels of one class only, every score is the base rate (0.5
-without labels).  Rows with a null label or doc_id teach nothing; a doc_id
+without labels).  Of references that tie at the last neighbour any may vote.  Rows with a null label or doc_id teach nothing; a doc_id
 with contradicting labels counts as its lowest.  Repeated rows score alike.
 Labels, lang, source and doc_id never enter a score.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -37,13 +41,17 @@ from dockhand.llm.common import text_batches
 from dockhand.llm.shingles import slices, text_buffers, word_hashes
 
 PER_CLASS = 2000
-RANK = 64
+RANK = 96
+SCRAMBLE = 8
+SHAPE_SHARE = 0.6
 NEIGHBOURS = 25
 POWER = 8
 PRIOR = 0.5
 THRESHOLD = 0.7
 TERMS = 1024
-_WIDTH = TERMS + 1  # the last term: words that repeat the word before
+_SHAPES = TERMS + 1  # the last shape term: words that repeat the word before
+_WIDTH = _SHAPES + TERMS
+_NOISE = 2  # label of a scrambled text until it joins the bad ones
 _BLOCK = 512
 _PIECE = 1 << 20
 
@@ -52,6 +60,9 @@ _SHAPE[ord("a"):ord("z") + 1] = _SHAPE[128:] = ord("a")
 _SHAPE[ord("A"):ord("Z") + 1] = ord("A")
 _SHAPE[ord("0"):ord("9") + 1] = ord("0")
 _SHAPE[[9, 11, 12, 13]] = 32
+_LETTER = np.full(256, 32, np.uint8)
+_LETTER[128:] = np.arange(128, 256)
+_LETTER[ord("a"):ord("z") + 1] = _LETTER[ord("A"):ord("Z") + 1] = np.arange(ord("a"), ord("z") + 1)
 
 
 @dataclass
@@ -63,25 +74,46 @@ class QualityModel:
     base_rate: float
 
 
+def _trigrams(folded: np.ndarray) -> np.ndarray:
+    """Counts of hashed trigrams of a text's folded bytes; those of three spaces are none."""
+    out = np.zeros(TERMS, np.float32)
+    for lo in range(0, max(0, len(folded) - 2), _PIECE):
+        b = folded[lo: lo + _PIECE + 2].astype(np.uint32)
+        h = b[:-2] * np.uint32(0x9E3779B1) ^ b[1:-1] * np.uint32(0x85EBCA77) ^ b[2:] * np.uint32(0xC2B2AE3D)
+        h = (h ^ (h >> np.uint32(15))) * np.uint32(0x2C1B3C6D) >> np.uint32(22)
+        out += np.bincount(h[(b[:-2] != 32) | (b[1:-1] != 32) | (b[2:] != 32)], minlength=TERMS)
+    return out
+
+
 def term_counts(column: pa.Array) -> np.ndarray:
-    """Counts of each text's terms, one row per text."""
+    """Counts of each text's terms, one row per text: shapes, repeated words, letters."""
     raw, offsets = text_buffers(column)
     out = np.zeros((len(column), _WIDTH), np.float32)
     words, per_text = word_hashes(raw, offsets)
     same = np.concatenate([[False], words[1:] == words[:-1]]) if len(words) else np.zeros(0, bool)
     at = 0
     for i in range(len(column)):
-        shaped = _SHAPE[raw[offsets[i]: offsets[i + 1]]]
-        for lo in range(0, max(0, len(shaped) - 2), _PIECE):
-            b = shaped[lo: lo + _PIECE + 2].astype(np.uint32)
-            h = b[:-2] * np.uint32(0x9E3779B1) ^ b[1:-1] * np.uint32(0x85EBCA77) ^ b[2:] * np.uint32(0xC2B2AE3D)
-            h = (h ^ (h >> np.uint32(15))) * np.uint32(0x2C1B3C6D) >> np.uint32(22)
-            out[i, :TERMS] += np.bincount(h, minlength=TERMS)
+        text = raw[offsets[i]: offsets[i + 1]]
+        out[i, :TERMS], out[i, _SHAPES:] = _trigrams(_SHAPE[text]), _trigrams(_LETTER[text])
         out[i, TERMS] = same[at + 1: at + per_text[i]].sum()
         at += per_text[i]
     return out
 
 
+def scrambled(text: str) -> str:
+    """The text with every letter a-z replaced by a random one (the same each time)."""
+    raw = np.frombuffer(text.encode(), np.uint8).copy()
+    small = (raw >= ord("a")) & (raw <= ord("z"))
+    raw[small] = np.random.RandomState(zlib.crc32(raw.tobytes())).randint(ord("a"), ord("z") + 1, small.sum())
+    return raw.tobytes().decode()
+
+
+def weighted(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    """Term vectors of length one; ``SHAPE_SHARE`` of its square is shapes, the rest letters."""
+    shapes, letters = _unit(np.log1p(counts[:, :_SHAPES]) * idf[:_SHAPES]), _unit(np.sqrt(counts[:, _SHAPES:]) * idf[_SHAPES:])
+    return _unit(np.concatenate([np.sqrt(SHAPE_SHARE) * shapes, np.sqrt(1 - SHAPE_SHARE) * letters], axis=1)).astype(np.float32)
+
+
 def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
 
@@ -89,8 +121,10 @@ def _unit(x: np.ndarray) -> np.ndarray:
 def _counts_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for batch in slices(whole, "text"):
-            packed = [row.tobytes() for row in term_counts(batch.column(1))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], names=["label", "terms"])
+            labels, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            noise = [scrambled(t) for y, t in zip(labels, texts, strict=True) if y == 1 and t and zlib.crc32(t.encode()) % SCRAMBLE == 0]
+            packed = [row.tobytes() for row in term_counts(pa.array(texts + noise, pa.string()))]
+            yield pa.RecordBatch.from_arrays([pa.array(labels + [_NOISE] * len(noise), pa.int64()), pa.array(packed, pa.binary())], names=["label", "terms"])
 
 
 def held_out(key: str = "doc_id"):
@@ -113,12 +147,14 @@ def fit_quality(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS)
     rows = sample.mapInArrow(_counts_of, "label long, terms binary").collect()
     rows.sort(key=lambda r: (r["label"], bytes(r["terms"])))
     y = np.array([r["label"] for r in rows], np.float32)
-    if not len(y) or y.min() == y.max():
+    if not len(y) or not {0, 1} <= set(y.tolist()):
         return QualityModel(np.ones(_WIDTH, np.float32), np.zeros((_WIDTH, 1), np.float32),
                             np.zeros((0, 1), np.float32), np.zeros(0, np.float32), 0.5 if base is None else float(base))
     counts = np.frombuffer(b"".join(bytes(r["terms"]) for r in rows), np.float32).reshape(len(rows), _WIDTH)
-    idf = (np.log((1 + len(counts)) / (1 + (counts > 0).sum(0))) + 0.1).astype(np.float32)
-    x = _unit(np.log1p(counts) * idf).astype(np.float32)
+    real = counts[y != _NOISE]
+    idf = (np.log((1 + len(real)) / (1 + (real > 0).sum(0))) + 0.1).astype(np.float32)
+    x = weighted(counts, idf)
+    y[y == _NOISE] = 0
     # right singular vectors of the sample, from its small Gram matrix
     _, vectors = np.linalg.eigh((x.T @ x).astype(np.float64))
     projection = np.ascontiguousarray(vectors[:, ::-1][:, :RANK]).astype(np.float32)
@@ -130,7 +166,7 @@ def score_texts(column: pa.Array, model: QualityModel) -> np.ndarray:
     counts = term_counts(column)
     if not len(model.labels):
         return np.full(len(counts), model.base_rate)
-    vectors = _unit(_unit(np.log1p(counts) * model.idf) @ model.projection).astype(np.float32)
+    vectors = _unit(weighted(counts, model.idf) @ model.projection).astype(np.float32)
     near, out = min(NEIGHBOURS, len(model.labels)), np.empty(len(counts))
     for at in range(0, len(counts), _BLOCK):
         cosine = vectors[at: at + _BLOCK] @ model.references.T

@@ -1,7 +1,10 @@
+import math
 import random
 import re
+import string
 import zlib
 
+import pyarrow as pa
 import pytest
 from helpers import awkward, docs
 from hypothesis import given, settings
@@ -33,6 +36,30 @@ def test_held_out_labels_teach_nothing(spark):
     assert (model.references == other.references).all() and (model.labels == other.labels).all() and model.base_rate == other.base_rate
 
 
+def test_random_letters_are_rejected(spark):
+    table, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    model = quality.fit_quality(table, labels)
+    good = [r["text"] for r in table.join(labels.where("quality = 1"), "doc_id").where("length(text) > 60").select("text").collect()]
+    rng, letters = random.Random(4), string.ascii_lowercase
+    cipher = str.maketrans(letters, "".join(rng.sample(letters, 26)))
+    strange = ["".join(rng.choice(letters) if c in letters else c for c in t) for t in good]
+    plain, noise, secret = (quality.score_texts(pa.array(x), model) for x in (good, strange, [t.translate(cipher) for t in good]))
+    assert (plain >= 0.7).mean() > 0.98 and (noise < 0.7).mean() > 0.97 and (secret < 0.7).mean() > 0.95 and (plain > noise).mean() > 0.98
+
+
+def test_votes_equal_a_plain_loop(spark):
+    table, labels = (spark.read.parquet(f"{SF_MID}/{t}.parquet") for t in ("documents", "labels"))
+    model = quality.fit_quality(table, labels)
+    texts = [r["text"] for r in table.where("text is not null").orderBy("doc_id").limit(60).collect()]
+    got = quality.score_texts(pa.array(texts), model)
+    for text, score in zip(texts, got, strict=True):
+        x = quality.weighted(quality.term_counts(pa.array([text])), model.idf)[0].astype(float) @ model.projection.astype(float)
+        near = sorted(((float(x @ r) / math.sqrt(float(x @ x)), float(y)) for r, y in zip(model.references.astype(float), model.labels, strict=True)), reverse=True)[:quality.NEIGHBOURS]
+        votes = [(max(0.0, c) ** quality.POWER, y) for c, y in near]
+        plain = (sum(w * y for w, y in votes) + quality.PRIOR * model.base_rate) / (sum(w for w, _ in votes) + quality.PRIOR)
+        assert abs(plain - score) < 1e-3
+
+
 def test_quality_of_awkward_rows(spark):
     labels = spark.createDataFrame([(1, 1, 0), (4, 0, 0), (4, 1, 0), (5, 1, 0), (7, None, 0), (None, 1, 0), (99, 0, 1)], "doc_id long, quality int, toxic int")
     got = quality.classify(awkward(spark), labels).collect()
