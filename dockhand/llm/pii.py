@@ -7,21 +7,26 @@ cards; digit counts).
 **The field** labels candidate tokens (number groups and words with ``@``) with
 a kind or as other; all other words are observed as other, so they need no
 node.  A node has features of its shape and of the word before it.  Neighbouring candidates are joined by
-chain edges; candidates with the same key, however far apart (equal digits or the
-same last seven digits; the same address in any case), by skip edges whose potential is shared and favours
-equal labels.  Candidates under a base span are observed.  Loopy
+chain edges; candidates with the same key, however far apart, by skip edges whose potential is shared and favours
+equal labels.  Equal keys have: numbers of the same four small parts (whatever stands between them), else of the same
+last seven digits; addresses of the same local part and first label of the domain, in any case.
+All repeats of a key are joined to one hub, so edges grow with the tokens and not
+with their square, and any two repeats are two steps apart, wherever they stand.  A hub is a label
+to be inferred like any other, without evidence of its own.  Tokens that are written alike are one piece of evidence
+for it, not many: each sends its message with the weight 1 / (their number), so that
+fifty short forms do not outvote the one full form.
+Candidates under a base span are observed.  Loopy
 sum-product message passing runs over each document until the messages settle
 (the limit of rounds grows with the nodes).  A candidate whose belief in a kind reaches ``CERTAIN`` and
 that overlaps no base span is an added span of that kind: a number written
 without its country code, say, in a document that spells it out elsewhere.
-All repeats of a key are joined to one hub, so edges grow with the tokens and not
-with their square, and any two repeats are two steps apart, wherever they stand.  A hub is
-observed if one of its candidates is: each repeat then meets that label directly.
 
-The weights are fitted by pseudo-likelihood (each label given its features and its
-neighbours' labels, of repeats the one before and the one after) on the base labels of at most ``FIT_DOCS`` documents, with
-the decisive features hidden at random, so that the rest of a token's shape and its
-neighbours carry weight as well.
+The weights are fitted by pseudo-likelihood on the same graph (each label given its features, its chain
+neighbours' labels and its hub's) over at most ``FIT_DOCS`` documents.  Labels are the base ones; a token that shares
+its key with a base span takes that span's.  As texts seldom hold such tokens, each learnt text
+with base spans gets two more at hashed places: one span in another form, and a token of
+that form with other digits or letters, which is other.  The decisive features are hidden
+at random, so that the rest of a token's shape and its neighbours carry weight as well.
 
 A null text counts as empty; texts without a digit or ``@`` have no spans.  Spans are in code points, end
 exclusive, of the whole text.  Null and repeated doc_ids are kept, one row per input
@@ -32,9 +37,10 @@ added.
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 from bisect import bisect_left
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -54,6 +60,7 @@ CERTAIN = 0.97
 CONSISTENCY = 4.0  # log potential that skip edges give to equal labels, besides the fitted one
 OBSERVED = 12.0    # log potential of a base span's kind at the candidates it covers
 HIDE = 0.3
+STEPS, RATE, DECAY = 300, 0.05, 1e-4  # of the fit
 CHAIN_REACH = 40   # characters between neighbouring candidates
 _NEAR_WORDS = 64   # hashed buckets of the word before
 
@@ -72,7 +79,9 @@ _PATTERNS = (("ip", re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")), ("card",
 _ANY = re.compile(r"[0-9@]")
 _SPACE = re.compile(r"\s")
 _NUMBER = re.compile(r"\+?\(?[0-9](?:[\x20().-]{0,2}[0-9])*")
+_GROUPS = re.compile(r"[0-9]+")
 _OTHER = len(KINDS)
+_BLOCK = 4096  # candidates whose features are held at once
 
 
 def luhn(digits: str) -> bool:
@@ -193,25 +202,29 @@ def _node(text: str, start: int, end: int) -> np.ndarray:
 
 def _key(token: str) -> str:
     if "@" in token:
-        return token.lower().strip(".,;:<>()\"'")
-    digits = _digits(token)
+        local, _, domain = token.lower().strip(".,;:<>()\"'").partition("@")
+        return f"{local}@{domain.partition('.')[0]}"
+    groups = _GROUPS.findall(token)
+    if len(groups) == 4 and all(map(_small, groups)):
+        return ".".join(g.lstrip("0") or "0" for g in groups)
+    digits = "".join(groups)
     return digits[-7:] if len(digits) >= 7 else ""
 
 
-def graph(text: str) -> tuple[list[tuple[int, int]], np.ndarray, list[tuple[int, int, int]]]:
-    """Nodes (spans), their features, and edges (i, j, type): 0 chain, 1 skip (a repeat and the next one)."""
+def graph(text: str) -> tuple[list[tuple[int, int]], list[tuple[int, int, int]], list[list[int]]]:
+    """Nodes (spans), chain edges (i, j, 0) and hubs (the nodes of each key that several share)."""
     spans = candidates(text)
-    edges, last = [], {}
+    chain = [(j - 1, j, 0) for j in range(1, len(spans)) if spans[j][0] - spans[j - 1][1] <= CHAIN_REACH]
+    members: dict[str, list[int]] = defaultdict(list)
     for j, (start, end) in enumerate(spans):
-        if j and start - spans[j - 1][1] <= CHAIN_REACH:
-            edges.append((j - 1, j, 0))
         key = _key(text[start:end])
         if key:
-            if key in last:
-                edges.append((last[key], j, 1))
-            last[key] = j
-    features = np.array([_node(text, *s) for s in spans]) if spans else np.zeros((0, _WIDTH))
-    return spans, features, edges
+            members[key].append(j)
+    return spans, chain, [nodes for nodes in members.values() if len(nodes) > 1]
+
+
+def node_features(text: str, spans: list[tuple[int, int]]) -> np.ndarray:
+    return np.array([_node(text, *s) for s in spans]) if spans else np.zeros((0, _WIDTH))
 
 
 def _truth(spans: list[tuple[int, int]], base: list[tuple[int, int, str]]) -> list[int]:
@@ -220,8 +233,21 @@ def _truth(spans: list[tuple[int, int]], base: list[tuple[int, int, str]]) -> li
     return [next((k for k, c in enumerate(covers) if c.meets(*span)), _OTHER) for span in spans]
 
 
-def beliefs(unary: np.ndarray, edges: list[tuple[int, int, int]], pair: np.ndarray) -> np.ndarray:
-    """Marginals by loopy sum-product; ``unary`` nodes x labels and ``pair`` type x labels x labels are log potentials."""
+def _entities(truth: list[int], hubs: list[list[int]]) -> tuple[list[int], list[int]]:
+    """Labels of the nodes, where a token of a key takes its base spans' kind (the most frequent), and of the hubs."""
+    labels, of_hub = list(truth), []
+    for nodes in hubs:
+        kinds = [truth[i] for i in nodes if truth[i] != _OTHER]
+        of_hub.append(max(sorted(set(kinds)), key=kinds.count) if kinds else _OTHER)
+        for i in nodes:
+            labels[i] = of_hub[-1] if truth[i] == _OTHER else truth[i]
+    return labels, of_hub
+
+
+def beliefs(unary: np.ndarray, edges: list[tuple[int, int, int]], pair: np.ndarray, weight: np.ndarray | None = None) -> np.ndarray:
+    """Marginals by loopy sum-product; ``unary`` nodes x labels and ``pair`` type x labels x labels are log potentials.
+
+    ``weight`` (one per edge, else 1) scales the log messages that go from an edge's first node to its second."""
     if not edges:
         x = np.exp(unary - unary.max(1, keepdims=True))
         return x / x.sum(1, keepdims=True)
@@ -229,12 +255,13 @@ def beliefs(unary: np.ndarray, edges: list[tuple[int, int, int]], pair: np.ndarr
     src, dst = np.concatenate([i, j]), np.concatenate([j, i])
     potential = np.exp(np.concatenate([pair[kind], pair[kind].transpose(0, 2, 1)]))
     back = np.concatenate([np.arange(len(i)) + len(i), np.arange(len(i))])
+    scale = np.concatenate([np.ones(len(i)) if weight is None else weight, np.ones(len(i))])[:, None]
     message, total = np.zeros((len(src), unary.shape[1])), unary.copy()
     at = np.arange(len(src))  # messages that may still change
     for _ in range(ROUNDS + ROUNDS_PER_NODE * len(unary)):
         out = total[src[at]] - message[back[at]]
         out = np.exp(out - out.max(1, keepdims=True))
-        new = np.log(np.einsum("el,elm->em", out, potential[at]) + 1e-300)
+        new = np.log(np.einsum("el,elm->em", out, potential[at]) + 1e-300) * scale[at]
         new -= np.logaddexp.reduce(new, axis=1, keepdims=True)
         change = new - message[at]
         moved = np.abs(change).max(1) > SETTLED
@@ -252,23 +279,14 @@ def beliefs(unary: np.ndarray, edges: list[tuple[int, int, int]], pair: np.ndarr
     return x / x.sum(1, keepdims=True)
 
 
-def with_hubs(unary: np.ndarray, edges: list[tuple[int, int, int]], observed: dict[int, int]) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
-    """Skip edges replaced by edges to one hub for all candidates of a key;
-    ``observed`` (node: label) makes the hub observed as well, whatever the number of its repeats."""
-    out, hub, members = [e for e in edges if e[2] == 0], {}, []
-    for i, j, kind in edges:
-        if kind == 1:
-            if i not in hub:
-                hub[i] = len(members)
-                members.append([i])
-            hub[j] = hub[i]
-            members[hub[i]].append(j)
-    own = np.zeros((len(members), unary.shape[1]))
-    for h, nodes in enumerate(members):
-        out += [(i, len(unary) + h, 1) for i in nodes]
-        for label in {observed[i] for i in nodes if i in observed}:
-            own[h, label] = OBSERVED * len(nodes)
-    return np.concatenate([unary, own]), out
+def hub_edges(tokens: list[str], hubs: list[list[int]]) -> tuple[list[tuple[int, int, int]], list[float]]:
+    """Skip edges (node, hub, 1), hubs numbered after the nodes, and the weight of the message to the hub."""
+    edges, weights = [], []
+    for h, nodes in enumerate(hubs):
+        alike = Counter(tokens[i] for i in nodes)
+        edges += [(i, len(tokens) + h, 1) for i in nodes]
+        weights += [1 / alike[tokens[i]] for i in nodes]
+    return edges, weights
 
 
 def fit(features: np.ndarray, neighbours: np.ndarray, labels: np.ndarray, seed: int = 1) -> tuple[np.ndarray, np.ndarray]:
@@ -282,33 +300,82 @@ def fit(features: np.ndarray, neighbours: np.ndarray, labels: np.ndarray, seed:
     for column in _DECISIVE:
         hidden[rng.rand(len(hidden)) < HIDE, column] = 0
     one, sums = np.eye(k)[labels], np.minimum(neighbours, 3)
-    for step in range(300):
-        rate = 2.0 / (1 + step / 100)
+    # Adam: nodes with a hub are few, so their gradients are small and must not learn more slowly for it
+    slope, size = [np.zeros_like(weights), np.zeros_like(pair)], [np.zeros_like(weights), np.zeros_like(pair)]
+    for step in range(1, STEPS + 1):
         logits = hidden @ weights.T + np.einsum("ntl,tlm->nm", sums, pair)
         p = np.exp(logits - logits.max(1, keepdims=True))
         gap = one - p / p.sum(1, keepdims=True)
-        weights += rate * (gap.T @ hidden / len(labels) - 1e-4 * weights)
         grad = np.einsum("ntl,nm->tlm", sums, gap) / len(labels)
-        pair += rate * ((grad + grad.transpose(0, 2, 1)) / 2 - 1e-4 * pair)
+        for k, (x, g) in enumerate(((weights, gap.T @ hidden / len(labels)), (pair, (grad + grad.transpose(0, 2, 1)) / 2))):
+            g = g - DECAY * x
+            slope[k] = 0.9 * slope[k] + 0.1 * g
+            size[k] = 0.99 * size[k] + 0.01 * g * g
+            x += RATE * (slope[k] / (1 - 0.9 ** step)) / (np.sqrt(size[k] / (1 - 0.99 ** step)) + 1e-8)
     return weights, pair
 
 
 _NODES = "features binary, neighbours binary, label int"
 
 
+def _other_form(token: str, kind: str, rng: random.Random) -> str:
+    """A base span as people shorten or regroup it, so that the patterns do not match."""
+    if kind == "email":
+        local, _, domain = token.partition("@")
+        return f"{local}@{domain.partition('.')[0]}"
+    groups = _GROUPS.findall(token)
+    digits = "".join(groups)
+    if kind == "ip":
+        return rng.choice("- ").join(groups)
+    if kind == "card":
+        return ".".join(digits[k:k + 4] for k in range(0, len(digits), 4))
+    parts = [x for x in (digits[-10:-7], digits[-7:-4], digits[-4:]) if x]
+    return rng.choice(("", "0")) + rng.choice("- .").join(parts)
+
+
+def _unlike(token: str, rng: random.Random) -> str:
+    """A token of the same form with other digits, or other letters before its ``@``."""
+    local = token.partition("@")[0]
+    if len(local) < len(token):
+        return "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") if c.isalpha() else c for c in local) + token[len(local):]
+    return "".join(rng.choice("0123456789") if "0" <= c <= "9" else c for c in token)
+
+
+def planted(text: str) -> str:
+    """``text`` with one of its base spans in another form, and a token of that form that names nobody."""
+    base = base_spans(text)
+    if not base:
+        return text
+    rng = random.Random(hashlib.md5(text.encode("utf-8", "surrogatepass")).digest())
+    start, end, kind = rng.choice(base)
+    form, covered = _other_form(text[start:end], kind, rng), _Cover(base)
+    places = []
+    for token in (form, _unlike(form, rng)):
+        at = text.find(" ", rng.randrange(len(text)))
+        places.append((len(text) if at < 0 or covered.meets(at, at + 1) else at, token))
+    for at, token in sorted(places, reverse=True):
+        text = f"{text[:at]} {token}{text[at:]}"
+    return text
+
+
 def _training(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for text in batch.column(0):
-            spans, features, edges = graph(text.as_py())
-            labels = _truth(spans, base_spans(text.as_py()))
+            text = planted(text.as_py())
+            spans, chain, hubs = graph(text)
+            labels, of_hub = _entities(_truth(spans, base_spans(text)), hubs)
             near = np.zeros((len(spans), 2, _OTHER + 1))
-            for i, j, t in edges:
+            for i, j, t in chain:
                 near[i, t, labels[j]] += 1
                 near[j, t, labels[i]] += 1
-            if spans:
+            for nodes, label in zip(hubs, of_hub, strict=True):
+                near[nodes, 1, label] = 1
+            for lo in range(0, len(spans), _BLOCK):
+                part = slice(lo, lo + _BLOCK)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([x.tobytes() for x in features], pa.binary()), pa.array([x.tobytes() for x in near], pa.binary()),
-                     pa.array(labels, pa.int32())], names=["features", "neighbours", "label"])
+                    [pa.array([x.tobytes() for x in node_features(text, spans[part])], pa.binary()),
+                     pa.array([x.tobytes() for x in near[part]], pa.binary()), pa.array(labels[part], pa.int32())],
+                    names=["features", "neighbours", "label"])
 
 
 def fit_field(docs: DataFrame, most_docs: int = FIT_DOCS, most_nodes: int = FIT_NODES) -> tuple[np.ndarray, np.ndarray] | None:
@@ -334,16 +401,20 @@ def fit_field(docs: DataFrame, most_docs: int = FIT_DOCS, most_nodes: int = FIT_
 
 def added_spans(text: str, base: list[tuple[int, int, str]], field) -> list[tuple[int, int, str]]:
     """Spans that the field adds to the base ones."""
-    spans, features, edges = graph(text)
-    if not spans or field is None:
+    if field is None:
+        return []
+    spans, chain, hubs = graph(text)
+    if not spans:
         return []
     weights, pair = field
-    unary = features @ weights.T
+    unary = np.concatenate([node_features(text, spans[lo:lo + _BLOCK]) @ weights.T for lo in range(0, len(spans), _BLOCK)])
     truth = np.array(_truth(spans, base))
     seen = np.flatnonzero(truth != _OTHER)
     unary[seen, truth[seen]] += OBSERVED
-    unary, edges = with_hubs(unary, edges, {int(i): int(truth[i]) for i in seen})
-    belief = beliefs(unary, edges, pair + np.array([0, CONSISTENCY])[:, None, None] * np.eye(_OTHER + 1))[: len(spans)]
+    skip, to_hub = hub_edges([text[s:e] for s, e in spans], hubs)
+    belief = beliefs(np.concatenate([unary, np.zeros((len(hubs), _OTHER + 1))]), chain + skip,
+                     pair + np.array([0, CONSISTENCY])[:, None, None] * np.eye(_OTHER + 1),
+                     np.array([1.0] * len(chain) + to_hub))[: len(spans)]
     covered = _Cover(base)
     return [(*span, KINDS[kind]) for span, kind, p in zip(spans, belief.argmax(1), belief.max(1), strict=True)
             if kind != _OTHER and p >= CERTAIN and not covered.meets(*span)]

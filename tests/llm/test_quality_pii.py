@@ -180,3 +180,74 @@ def test_field_is_fitted_on_a_bounded_sample_of_all_texts(spark):
     assert plan_texts is not None
     got = pii.find_pii(docs(spark, ["a@b.org 10.20.30.40", "nothing", None])).collect()
     assert {r["doc_id"]: r["n_spans"] for r in got} == {0: 2, 1: 0, 2: 0}
+
+
+_SHORT_FORMS = {
+    "email": [lambda t: t.partition("@")[0] + "@" + t.partition("@")[2].partition(".")[0], lambda t: (t.partition("@")[0] + "@" + t.partition("@")[2].partition(".")[0]).upper()],
+    "ip": [lambda t: t.replace(".", "-"), lambda t: t.replace(".", " ")],
+    "card": [lambda t: ".".join(re.findall("[0-9]{1,4}", re.sub("[^0-9]", "", t))), lambda t: "--".join(re.findall("[0-9]{1,4}", re.sub("[^0-9]", "", t)))],
+    "phone": [lambda t: "0{} {} {}".format(*_parts(t)), lambda t: "({}) {}-{}".format(*_parts(t)), lambda t: "{}{}{}".format(*_parts(t))],
+}
+
+
+def _parts(t):
+    digits = re.sub("[^0-9]", "", t)
+    return digits[-10:-7], digits[-7:-4], digits[-4:]
+
+
+def test_field_finds_planted_forms_of_every_kind_in_texts_it_has_not_seen(spark):
+    table = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").where("text is not null")
+    field = pii.fit_field(table.where("doc_id % 2 = 0").select("doc_id", "text"))
+    texts = [r["text"] for r in table.where("doc_id % 2 = 1").select("text").collect()]
+    rng, found, false, total = random.Random(4), {}, {}, {}
+    for text in texts:
+        for s, e, kind in pii.base_spans(text)[:2]:
+            for n, form in enumerate(_SHORT_FORMS[kind]):
+                token = form(text[s:e])
+                before = text + " and later on some words that say nothing much, then "
+                for counts, put in ((found, token), (false, pii._unlike(token, rng))):
+                    whole = before + put + " once more"
+                    added = pii.added_spans(whole, pii.base_spans(whole), field)
+                    counts[kind, n] = counts.get((kind, n), 0) + any(a <= len(before) + 1 and b >= len(before) + len(put) - 1 and k == kind for a, b, k in added)
+                total[kind, n] = total.get((kind, n), 0) + 1
+    assert {k for k, _ in total} == set(pii.KINDS) and min(total.values()) >= 30
+    for key, n in total.items():
+        assert found[key] >= 0.95 * n and false[key] <= 0.02 * n, (key, found[key], false[key], n)
+
+
+def test_hub_is_inferred_not_observed():
+    """Against enumeration: one key of three tokens, two written alike, one of them under a base span."""
+    import itertools
+
+    import numpy as np
+    rng = np.random.RandomState(1)
+    unary, pair = rng.randn(3, 3), rng.randn(2, 3, 3)
+    pair = pair + pair.transpose(0, 2, 1)
+    edges, weights = pii.hub_edges(["a", "b", "c"], [[0, 1, 2]])
+    assert edges == [(0, 3, 1), (1, 3, 1), (2, 3, 1)] and weights == [1, 1, 1]
+    total = np.zeros((4, 3))
+    full = np.concatenate([unary, np.zeros((1, 3))])
+    for y in itertools.product(range(3), repeat=4):
+        p = np.exp(sum(full[i, y[i]] for i in range(4)) + sum(pair[t, y[i], y[j]] for i, j, t in edges))
+        for i in range(4):
+            total[i, y[i]] += p
+    assert np.allclose(pii.beliefs(full, edges, pair, np.array(weights)), total / total.sum(1, keepdims=True), atol=1e-4)
+    assert pii.hub_edges(["a", "b", "a"], [[0, 1, 2]])[1] == [0.5, 1, 0.5]
+
+
+def test_planted_forms_depend_on_the_text_alone():
+    text = "Call +1 (755) 555-9729 or write to jo.doe@mail.example.com now."
+    once = pii.planted(text)
+    assert once == pii.planted(text) and len(once) > len(text) and pii.planted("no one here") == "no one here"
+    for kind, token, want in (("email", "jo.doe@mail.example.com", "jo.doe@mail"), ("card", "4111111111111111", "4111.1111.1111.1111")):
+        assert pii._other_form(token, kind, random.Random(0)) == want
+    assert pii._key("10-20-30-40") == pii._key("10.20.30.40") and pii._key("Jo.Doe@Mail") == pii._key("jo.doe@mail.example.com")
+
+
+def test_a_text_of_many_numbers_is_read_in_blocks(monkeypatch):
+    import numpy as np
+    weights, pair = np.random.RandomState(0).randn(5, pii._WIDTH) / 4, np.zeros((2, 5, 5))
+    text = "Call +1 (755) 555-9729. " + " w ".join(str(n) for n in range(1000, 1300)) + " and 755-555-9729"
+    whole = pii.added_spans(text, pii.base_spans(text), (weights, pair))
+    monkeypatch.setattr(pii, "_BLOCK", 7)
+    assert pii.added_spans(text, pii.base_spans(text), (weights, pair)) == whole
