@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import gc
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,17 +24,24 @@ def text_batches(df: DataFrame) -> DataFrame:
     return df
 
 
-def settle_texts(df: DataFrame, batch_rows: int = BATCH_ROWS) -> DataFrame:
-    """``settle`` a frame whose Python stage reads texts, in small Arrow batches; the session's setting is put back."""
-    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+@contextmanager
+def small_batches(spark: SparkSession, batch_rows: int = BATCH_ROWS) -> Iterator[None]:
+    """Small Arrow batches for the jobs run inside; the session's setting is put back."""
+    conf, key = spark.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
     before = conf.get(key)
     conf.set(key, str(batch_rows if int(before) <= 0 else min(batch_rows, int(before))))
     try:
-        return cut_lineage(df)
+        yield
     finally:
         conf.set(key, before)
 
 
+def settle_texts(df: DataFrame, batch_rows: int = BATCH_ROWS) -> DataFrame:
+    """``settle`` a frame whose Python stage reads texts, in small Arrow batches."""
+    with small_batches(df.sparkSession, batch_rows):
+        return cut_lineage(df)
+
+
 def read_file(spark: SparkSession, path: str) -> bytes:
     """One small file (a vocabulary, a model): a local file of the driver, or any path that Spark reads."""
     try:

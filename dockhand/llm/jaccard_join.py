@@ -53,7 +53,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from dockhand.llm.common import discard, drop_rows, settle, small_side, take_rows, text_batches
+from dockhand.llm.common import discard, drop_rows, settle, small_batches, small_side, take_rows
 from dockhand.llm.graph import connected_components
 from dockhand.llm.shingles import mix, shingle_sets, slices
 
@@ -63,7 +63,9 @@ SMALL = 64      # up to here a band's cells are enumerated, not only compared
 CELL = 2        # shingles a cell holds on average at a band's upper edge
 PAIR_CAP = 32   # larger mixed buckets go through the prefix filter
 LOOSE = 1 << 62  # names of rows without a doc_id begin here
-SALT = 16       # ways a very full bucket is first cut into
+SALT = 16       # ways a very full bucket is first cut into, at least
+PART_ROWS = 4096  # rows that such a part has on average, at most
+SHARE = 16      # one set in so many is counted to find the very full buckets
 SAMPLE = 32     # one document in so many is read for common shingles
 MOST_COMMON = 2_000_000
 _PLAIN = 0.88   # share of a set's shingles that the number of cells allows to be not common
@@ -257,20 +259,25 @@ def _linked(docs: DataFrame, meta: DataFrame, pairs: DataFrame) -> DataFrame:
 def _shared(rows: DataFrame, sample: DataFrame) -> DataFrame:
     """(key, id, leader) of every row whose key has another id.  The leader is the
     smallest id, or, where rows have an ``r`` (shingles that few other sets have), the
-    id of least r: the set nearest to what its group has in common.  Keys that are frequent in ``sample`` are first cut into
-    ``SALT`` parts by id, so that no task takes a whole hot bucket; the parts'
-    leaders are then brought together."""
-    hot = settle(sample.groupBy("key").count().where("count >= 64").select("key"))
+    id of least r: the set nearest to what its group has in common.  Keys that are frequent in ``sample``
+    (of one id in ``SHARE``) are first cut into parts by id, as many as the count asks for, so that no task takes
+    a whole hot bucket however large the corpus is; the parts' leaders are then brought together."""
+    hot = settle(sample.groupBy("key").count().where("count >= 64"))
     if hot.isEmpty():
         return _led(rows, ["key"]).select("key", "id", F.col("lead.id").alias("leader"))
-    marked = (rows.join(small_side(hot).withColumn("hot", F.lit(True)), "key", "left")
-              .withColumn("salt", F.when(F.col("hot"), F.pmod(F.xxhash64("id"), F.lit(SALT))).otherwise(F.lit(-1))))
-    parts = settle(_led(marked, ["key", "salt"], keep_single=F.col("salt") >= 0), release=True)
+    parts = settle(_led(_salted(rows, hot), ["key", "salt"], keep_single=F.col("salt") >= 0), release=True)
     heads = settle(parts.where("salt >= 0").groupBy("key").agg(F.min("lead").alias("head")))
     return (parts.join(small_side(heads), "key", "left")
             .select("key", "id", F.coalesce("head.id", "lead.id").alias("leader")))
 
 
+def _salted(rows: DataFrame, hot: DataFrame) -> DataFrame:
+    """``rows`` with the number of their part of a hot key, else -1; ``hot`` is (key, count in the sample)."""
+    ways = F.greatest(F.lit(SALT), F.ceil(F.col("count") * SHARE / PART_ROWS))
+    return (rows.join(small_side(hot.select("key", ways.cast("long").alias("ways"))), "key", "left")
+            .withColumn("salt", F.coalesce(F.pmod(F.xxhash64("id"), F.col("ways")), F.lit(-1))).drop("ways"))
+
+
 def _led(rows: DataFrame, by: list[str], keep_single=None) -> DataFrame:
     order = [c for c in ("r", "id") if c in rows.columns]
     w = Window.partitionBy(*by).orderBy(*order)
@@ -356,7 +363,11 @@ def common_shingles(docs: DataFrame) -> np.ndarray:
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id), one row per row of ``docs`` (doc_id, text, ...)."""
-    docs = text_batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
+    with small_batches(docs.sparkSession):  # every step that reads texts is settled in here
+        return _components(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
+
+
+def _components(docs: DataFrame) -> DataFrame:
     common = docs.sparkSession.sparkContext.broadcast(common_shingles(docs))
     found = settle(docs.mapInArrow(_features(common), FEATURES))
     key = ["set_hi", "set_lo", "n_shingles"]
@@ -372,7 +383,7 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     several = others.select("doc_id").unionByName(meta.select("doc_id")).groupBy("doc_id").count().where("count > 1")
     tied = settle(others.join(several, "doc_id", "left_semi").select(F.col("doc_id").alias("a"), F.col("rep").alias("b")))
     rows = nodes.select(F.explode("sigs").alias("key"), F.col("doc_id").alias("id"))
-    sample = (nodes.where(F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(16)) == 0)
+    sample = (nodes.where(F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(SHARE)) == 0)
               .select(F.explode("sigs").alias("key")))
     shared = settle(_shared(rows, sample), release=True)
     discard(found)  # the signatures are the largest table; all that is read from here on was settled apart
@@ -396,7 +407,7 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
         comp = with_links(_pairs_across(mixed.where(few)))
     if not crowd.isEmpty():
         prefix, own = _rare_first(node_docs, crowd)
-        shared = settle(_shared(prefix, prefix.where(F.pmod(F.xxhash64("id", F.lit("sample")), F.lit(16)) == 0).select("key")))
+        shared = settle(_shared(prefix, prefix.where(F.pmod(F.xxhash64("id", F.lit("sample")), F.lit(SHARE)) == 0).select("key")))
         comp = with_links(_pairs_with_leader(shared))
         mixed = _labelled(shared, comp)
         if not mixed.isEmpty():

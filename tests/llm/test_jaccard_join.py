@@ -119,6 +119,32 @@ def test_one_of_each_group_stays_with_all_columns(spark):
     assert sorted((r["doc_id"] for r in kept.collect()), key=str) == [1, 2, 3, 4, 5, 5, 7, None]
 
 
+def test_a_hot_bucket_is_cut_by_its_count(spark, monkeypatch):
+    monkeypatch.setattr(J, "PART_ROWS", 100)
+    rows = spark.range(8000).selectExpr("id % 10 = 0 as rare", "id").selectExpr("if(rare, id % 7, -5) as key", "id")
+    sample = rows.where(J.F.pmod(J.F.xxhash64("id", J.F.lit("sample")), J.F.lit(J.SHARE)) == 0).select("key")
+    hot = sample.groupBy("key").count().where("count >= 64")
+    salted = J._salted(rows, hot)
+    parts = {(r["key"], r["salt"]): r["count"] for r in salted.groupBy("key", "salt").count().collect()}
+    hot_parts = [n for (key, _), n in parts.items() if key == -5]
+    assert sum(hot_parts) == 7200 and len(hot_parts) > 60 and max(hot_parts) < 200
+    assert all(salt == -1 for key, salt in parts if key != -5)
+    got = J._shared(rows, sample).collect()
+    least = {-5: 1, **{k: min(i for i in range(0, 8000, 10) if i % 7 == k) for k in range(7)}}
+    assert sorted(r["id"] for r in got) == list(range(8000)) and all(r["leader"] == least[r["key"]] for r in got)
+
+
+def test_the_join_leaves_the_session_as_it_was(spark):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "5000")
+        assert J.jaccard_components(docs(spark, ["a b c d e f", "a b c d e f", "x"])).count() == 3
+        assert spark.conf.get(key) == "5000"
+    finally:
+        spark.conf.set(key, before)
+
+
 def test_word_hashes_follow_word_boundaries():
     column = pa.array(["a b", None, "", "A\tB", "ab", " a  b\n"])
     hashes, counts = word_hashes(*text_buffers(column))
