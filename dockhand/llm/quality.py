@@ -123,10 +123,14 @@ def _counts_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(whole, "text"):
             labels, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             noise = [scrambled(t) for y, t in zip(labels, texts, strict=True) if y == 1 and t and zlib.crc32(t.encode()) % SCRAMBLE == 0]
-            packed = [row.tobytes() for row in term_counts(pa.array(texts + noise, pa.string()))]
+            packed = [zlib.compress(row.tobytes(), 1) for row in term_counts(pa.array(texts + noise, pa.string()))]
             yield pa.RecordBatch.from_arrays([pa.array(labels + [_NOISE] * len(noise), pa.int64()), pa.array(packed, pa.binary())], names=["label", "terms"])
 
 
+def _unpacked(rows: list) -> np.ndarray:
+    return np.frombuffer(b"".join(zlib.decompress(r["terms"]) for r in rows), np.float32).reshape(len(rows), _WIDTH)
+
+
 def held_out(key: str = "doc_id"):
     """True for the quarter of ids that no label is learnt from."""
     return F.crc32(F.col(key).cast("string").cast("binary")) % 4 == 2
@@ -144,16 +148,21 @@ def fit_quality(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS)
         ids = some if ids is None else ids.unionByName(some)
     sample = (docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").groupBy("doc_id", "label")
               .agg(F.max("text").alias("text")).select(F.col("label").cast("long").alias("label"), "text"))
+    # counts are mostly zeros: they travel compressed and are laid out a block of rows at a time
     rows = sample.mapInArrow(_counts_of, "label long, terms binary").collect()
-    rows.sort(key=lambda r: (r["label"], bytes(r["terms"])))
+    rows.sort(key=lambda r: (r["label"], r["terms"]))
     y = np.array([r["label"] for r in rows], np.float32)
     if not len(y) or not {0, 1} <= set(y.tolist()):
         return QualityModel(np.ones(_WIDTH, np.float32), np.zeros((_WIDTH, 1), np.float32),
                             np.zeros((0, 1), np.float32), np.zeros(0, np.float32), 0.5 if base is None else float(base))
-    counts = np.frombuffer(b"".join(bytes(r["terms"]) for r in rows), np.float32).reshape(len(rows), _WIDTH)
-    real = counts[y != _NOISE]
-    idf = (np.log((1 + len(real)) / (1 + (real > 0).sum(0))) + 0.1).astype(np.float32)
-    x = weighted(counts, idf)
+    blocks = [slice(at, at + _BLOCK) for at in range(0, len(rows), _BLOCK)]
+    seen = np.zeros(_WIDTH, np.int64)
+    for block in blocks:
+        seen += (_unpacked(rows[block])[y[block] != _NOISE] > 0).sum(0)
+    idf = (np.log((1 + (y != _NOISE).sum()) / (1 + seen)) + 0.1).astype(np.float32)
+    x = np.empty((len(rows), _WIDTH), np.float32)
+    for block in blocks:
+        x[block] = weighted(_unpacked(rows[block]), idf)
     y[y == _NOISE] = 0
     # right singular vectors of the sample, from its small Gram matrix
     _, vectors = np.linalg.eigh((x.T @ x).astype(np.float64))
